@@ -13,8 +13,9 @@ DATE_FORMAT = "yyyy-MM-dd HH:mm:ss Z"
 
 def _lines(block: Column) -> Column:
     """Non-blank lines; a carriage return inside a subject also ends a line."""
-    text = F.replace(block, F.lit("\r"), F.lit("\n"))
-    return F.filter(F.split(text, "\n"), lambda line: line != "")
+    returns = F.replace(block, F.lit("\r"), F.lit("\n"))
+    text = F.when(block.contains("\r"), returns).otherwise(block)
+    return F.array_remove(F.split(text, "\n"), "")
 
 
 def _author_index(lines: Column) -> Column:

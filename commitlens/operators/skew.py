@@ -7,6 +7,8 @@ from commitlens.scratch import checkpoint_root
 
 # Largest group left to one task.
 MAX_GROUP_ROWS = 10_000_000
+# Most hot groups whose keys are broadcast; beyond, the join shuffles.
+MAX_BROADCAST_GROUPS = 200_000
 CHUNK = "__chunk"
 
 
@@ -26,15 +28,18 @@ def split_hot_groups(
     A group above `max_group_rows` is hot. Hot rows are range-partitioned by key
     and order and get the partition's number as `__chunk`: it grows along a
     group, and a chunk is of bounded size. They are checkpointed, because a lost
-    task might otherwise draw other boundaries. Finding the hot groups takes one
-    counting pass; there are at most rows / `max_group_rows` of them.
+    task might otherwise draw other boundaries. Finding out whether there are
+    hot groups takes one counting pass.
     """
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_group_rows)
-    hot_rows = hot.agg(F.sum("n")).first()[0]
-    if not hot_rows:
+    groups, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if not groups:
         return df, None
     checkpoint_root(df.sparkSession)
+    hot = hot.select(*keys).checkpoint()
     matches = _same_keys(df, hot, keys)
+    if groups <= MAX_BROADCAST_GROUPS:
+        hot = F.broadcast(hot)
     chunks = -(-2 * hot_rows // max_group_rows)
     chunked = (
         df.join(hot, matches, "left_semi")

@@ -1,6 +1,6 @@
 """Logs to table in one pass."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.operators.ingest import parse_blocks, rejects, well_formed
@@ -19,22 +19,18 @@ def ingest_logs(
     """
     paths = [logs] if isinstance(logs, str) else list(logs)
     parsed = parse_blocks(read_blocks(spark, *paths))
-    seen = Observation("ingest")
-    counted = parsed.observe(
-        seen,
+    metrics = [
         F.count(F.lit(1)).alias("blocks"),
         F.count_if(F.col("reject").isNotNull()).alias("rejected_blocks"),
         F.coalesce(
             F.sum(F.when(F.col("reject").isNull(), F.size("extra") - F.size("files"))), F.lit(0)
         ).alias("stray_lines"),
-    )
-    replace_repos(spark, well_formed(counted), root)
-    counts = dict(seen.get)
+    ]
+    seen = Observation("ingest")
+    replaced = replace_repos(spark, well_formed(parsed.observe(seen, *metrics)), root)
+    # Without a row to write, adaptive execution drops the plan and its metrics.
+    counts = dict(seen.get) if replaced else parsed.agg(*metrics).first().asDict()
     if rejects_to and (counts["rejected_blocks"] or counts["stray_lines"]):
         rejects(parsed).write.mode("append").parquet(rejects_to)
     return counts
 
-
-def parsed_logs(spark: SparkSession, *logs: str) -> DataFrame:
-    """Logs parsed but not written."""
-    return parse_blocks(read_blocks(spark, *logs))

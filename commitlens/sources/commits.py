@@ -67,8 +67,8 @@ def _write(commits: DataFrame, path: str) -> None:
     )
 
 
-def replace_repos(spark: SparkSession, commits: DataFrame, root: str) -> None:
-    """Write `commits`, replacing every repository that occurs in it.
+def replace_repos(spark: SparkSession, commits: DataFrame, root: str) -> int:
+    """Write `commits`, replacing every repository that occurs in it; returns how many.
 
     All rows are first written to a staging folder inside the table (readers
     skip names that start with `_`), then each repository's folder is swapped in
@@ -78,15 +78,14 @@ def replace_repos(spark: SparkSession, commits: DataFrame, root: str) -> None:
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     _write(commits, staging)
     fs = _filesystem(spark, root)
-    for status in fs.listStatus(_path(spark, staging)):
-        folder = status.getPath()
-        if not status.isDirectory():
-            continue
+    folders = [s.getPath() for s in fs.listStatus(_path(spark, staging)) if s.isDirectory()]
+    for folder in folders:
         target = _path(spark, root, folder.getName())
         fs.delete(target, True)
         if not fs.rename(folder, target):
             raise OSError(f"cannot move {folder} to {target}")
     fs.delete(_path(spark, staging), True)
+    return len(folders)
 
 
 def replace_repo(spark: SparkSession, commits: DataFrame, root: str, repo_id: str) -> None:

@@ -46,7 +46,10 @@ def read_blocks(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def log_sizes(spark: SparkSession, *paths: str) -> DataFrame:
-    """Bytes and megabytes of log text per repository, without reading any content."""
+    """Bytes and megabytes of log text per repository, without reading any content.
+
+    Spark skips empty files, so an empty log has no row.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
