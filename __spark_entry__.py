@@ -315,12 +315,12 @@ def oracle_sql() -> dict[str, str]:
             FROM commits WHERE key % 97 = 5
             UNION ALL
             SELECT repo_id, 'date', commit_hash || chr(10) || 'parents: ' || chr(10) || 'message: bad' || chr(10)
-                || 'author: x@y.z' || chr(10) || 'date: 2001-02-30 01:02:03 +0000' || chr(10)
+                || 'author: x@y.z' || chr(10) || 'date: 2001-02-30 01:02:03 +0000'
             FROM commits WHERE key % 101 = 7
             UNION ALL
             SELECT repo_id, 'header', substr(commit_hash, 1, 39) || chr(10) || 'parents: ' || chr(10)
                 || 'message: short' || chr(10) || 'author: x@y.z' || chr(10) || 'date: '
-                || strftime(moment, '%Y-%m-%d %H:%M:%S') || ' ' || zone || chr(10)
+                || strftime(moment, '%Y-%m-%d %H:%M:%S') || ' ' || zone
             FROM commits WHERE key % 103 = 9""",
         "commits_after_rewrite": _SCALARS,
         "commits_per_author_top20": _TOP,
@@ -366,6 +366,19 @@ def oracle_sql() -> dict[str, str]:
             SELECT repo_id, count(*) AS commits, count(DISTINCT author) AS authors,
                 min(date) AS first_date, max(date) AS last_date
             FROM commits GROUP BY repo_id""",
+        # The bytes of each piece of log text; a line end counts with its line.
+        "log_sizes": """
+            SELECT repo_id, CAST(sum(n) AS BIGINT) AS size_bytes, round(sum(n) / 1048576.0::DOUBLE, 2) AS size_mb
+            FROM (
+                SELECT repo_id, 112 + greatest(41 * len(parent_keys) - 1, 0) + strlen(message) + strlen(author)
+                    + CASE WHEN key % 97 = 5 THEN strlen('warning: inexact rename in ' || key) + 1 ELSE 0 END
+                    + CASE WHEN key % 101 = 7 THEN 119 ELSE 0 END
+                    + CASE WHEN key % 103 = 9 THEN 120 ELSE 0 END AS n
+                FROM commits
+                UNION ALL
+                SELECT repo_id, strlen(status) + strlen(filename) + CASE WHEN status IN ('R', 'C') THEN 1 ELSE 2 END
+                FROM files)
+            GROUP BY repo_id""",
         "repo_list": "SELECT DISTINCT repo_id FROM commits",
         "commits_per_repo": 'SELECT repo_id, count(*) AS "count" FROM commits GROUP BY repo_id',
     }

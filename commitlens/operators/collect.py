@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.operators.skew import CHUNK, MAX_GROUP_ROWS, split_hot_groups
+from commitlens.operators.skew import CHUNK, split_hot_groups
+
+# Most values in one array: a row, unlike a sorted group, cannot spill.
+MAX_VALUES = 100_000
 
 
 def collect_ordered(
@@ -11,17 +14,17 @@ def collect_ordered(
     keys: list[str],
     order: list[str],
     value: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_values: int = MAX_VALUES,
 ) -> DataFrame:
     """`(keys, part, values)`: the non-null values of each key, in order.
 
-    A group has one row with part 0. A group above `max_group_rows` would not fit
-    one row: it comes as several, each a stretch of the order, ascending by part.
+    A group has one row with part 0. A group of more than `max_values` rows may
+    not fit one row: it comes as several, each a stretch of the order, ascending by part.
     """
     item = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("__value")))
     values = F.transform(F.sort_array(F.collect_list(item)), lambda x: x["__value"]).alias("values")
     ordinary, hot = split_hot_groups(
-        df.select(*dict.fromkeys([*keys, *order, value])), keys, order, max_group_rows
+        df.select(*dict.fromkeys([*keys, *order, value])), keys, order, max_values
     )
     result = ordinary.groupBy(*keys).agg(values).select(*keys, F.lit(0).alias("part"), "values")
     if hot is None:

@@ -21,8 +21,8 @@ def _lines(block: Column) -> Column:
 def _author_index(lines: Column) -> Column:
     """0-based position of the author line; 3 unless the subject spans lines."""
     usual = F.get(lines, F.lit(3)).startswith("author:")
-    found = F.array_position(F.transform(lines, lambda x: x.startswith("author:")), True)
-    return F.when(usual, F.lit(3)).when(found > 3, found.cast("int") - 1)
+    before = F.substring_index(F.array_join(lines, "\n"), "\nauthor:", 1)
+    return F.when(usual, F.lit(3)).otherwise(F.greatest(F.size(F.split(before, "\n")), F.lit(3)))
 
 
 def _is_file_line(line: Column) -> Column:
@@ -42,14 +42,14 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
         "author_at", _author_index(lines)
     )
     parents_line, subject_line = F.get(lines, F.lit(1)), F.get(lines, F.lit(2))
-    date_line = F.get(lines, at + 1)
+    author_line, date_line = F.get(lines, at), F.get(lines, at + 1)
     subject = F.array_join(F.slice(lines, F.lit(3), at - 2), " ")
     dated = F.when(date_line.startswith("date:"), after("date:", date_line))
     fields = F.struct(
         F.regexp_extract(F.get(lines, F.lit(0)), HASH_LINE, 1).alias("commit_hash"),
         F.when(parents_line.startswith("parents:"), after("parents:", parents_line)).alias("parents"),
         F.when(subject_line.startswith("message:"), after("message:", subject)).alias("message"),
-        F.lower(after("author:", F.get(lines, at))).alias("author"),
+        F.when(author_line.startswith("author:"), F.lower(after("author:", author_line))).alias("author"),
         dated.alias("dated"),
         F.try_to_timestamp(dated, F.lit(DATE_FORMAT)).alias("committed_at"),
         F.slice(lines, at + 3, F.greatest(F.size(lines) - at - 2, F.lit(0))).alias("extra"),
@@ -71,7 +71,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
             ),
         ).alias("files"),
         "message",
-        F.filter(F.split("parents", r"\s+"), lambda x: x != "").alias("parents"),
+        F.array_remove(F.split("parents", r"\s+"), "").alias("parents"),
         "repo_id",
         "committed_at",
         F.when(~headed, "header").when(F.col("committed_at").isNull(), "date").alias("reject"),
@@ -89,10 +89,14 @@ def rejects(parsed: DataFrame) -> DataFrame:
     """`(repo_id, reason, text)`: every block not ingested and every stray line.
 
     A stray line (`reason` = `stray`) stands after a well-formed header but is no
-    file line, such as a warning git printed into the log.
+    file line, such as a warning git printed into the log. A block's text comes
+    without its `commit: ` and without line ends behind it, wherever it stood.
     """
-    strays = F.filter("extra", lambda x: ~_is_file_line(x))
-    found = F.when(
-        F.col("reject").isNotNull(), F.array(F.struct(F.col("reject").alias("reason"), F.col("block").alias("text")))
-    ).otherwise(F.transform(strays, lambda x: F.struct(F.lit("stray").alias("reason"), x.alias("text"))))
+    body = F.rtrim(F.regexp_replace("block", "^commit: ", ""), F.lit("\r\n"))
+    bad_block = F.array(F.struct(F.col("reject").alias("reason"), body.alias("text")))
+    strays = F.transform(
+        F.filter("extra", lambda x: ~_is_file_line(x)),
+        lambda x: F.struct(F.lit("stray").alias("reason"), x.alias("text")),
+    )
+    found = F.when(F.col("reject").isNotNull(), bad_block).otherwise(strays)
     return parsed.select("repo_id", F.inline(found))

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-ROWS_ONLY = {"log_sizes": 5, "commits_sample": 5, "explain_plan": 1}
+ROWS_ONLY = {"commits_sample": 5, "explain_plan": 1}
 
 
 @pytest.fixture(scope="module")
