@@ -1,6 +1,7 @@
 """The commits table on shared storage: parquet under `repo_id=/author_first_char=`."""
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS
 
 MAX_RECORDS_PER_FILE = 5_000_000
+SWAP_THREADS = 16
 
 
 def _path(spark: SparkSession, *parts: str) -> JavaObject:
@@ -79,11 +81,15 @@ def replace_repos(spark: SparkSession, commits: DataFrame, root: str) -> int:
     _write(commits, staging)
     fs = _filesystem(spark, root)
     folders = [s.getPath() for s in fs.listStatus(_path(spark, staging)) if s.isDirectory()]
-    for folder in folders:
+
+    def swap(folder: JavaObject) -> None:
         target = _path(spark, root, folder.getName())
         fs.delete(target, True)
         if not fs.rename(folder, target):
             raise OSError(f"cannot move {folder} to {target}")
+
+    with ThreadPoolExecutor(SWAP_THREADS) as pool:
+        list(pool.map(swap, folders))
     fs.delete(_path(spark, staging), True)
     return len(folders)
 

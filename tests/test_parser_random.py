@@ -1,0 +1,71 @@
+"""Generated logs: whatever a field holds, the parser gives back its stripped text."""
+
+import random
+
+import pytest
+
+import commitlens as cl
+from commitlens.functions.text import WHITESPACE
+
+SPACES = [" ", "  ", "\t", "\x0b", "\x1f", "\x85", "\xa0", " ", "　"]
+WORDS = ["make", "merge", "author:", "parents:", "message:", "date:", "commit:", "commit: " + "a" * 40,
+         "state", "é", "日本", "😀", "M", "\\", "$1", "%s", "'", '"', "\x00x"]
+
+
+def text(rnd, words, edges=SPACES + [""]):
+    inside = "".join(rnd.choice(words) + rnd.choice(SPACES) for _ in range(rnd.randrange(4)))
+    return rnd.choice(edges) + inside + rnd.choice(edges)
+
+
+def made(rnd, i):
+    parents = [f"{rnd.getrandbits(160):040x}" for _ in range(rnd.randrange(4))]
+    subject = "\r".join(
+        part for part in (text(rnd, WORDS) for _ in range(rnd.choice([1, 1, 1, 2, 3])))
+        if not part.startswith("author:")
+    )
+    author = text(rnd, ["Ann@X.org", "TOM@y", "İ@x", "ß@z"], ["", " "])
+    files = []
+    for _ in range(rnd.choice([0, 0, 1, 5])):
+        name = text(rnd, [w for w in WORDS if w != "M"]) + "f" + rnd.choice(SPACES + [""])
+        files.append((rnd.choice("AMDTUXB"), rnd.choice(["", "100"]), name))
+    hour, zone = rnd.randrange(24), rnd.choice(["+0000", "-0330", "+1400"])
+    lines = [f"commit: {i:040x}", "parents: " + " ".join(parents), "message: " + subject,
+             "author: " + author, f"date: 2024-02-{1 + i % 29:02d} {hour:02d}:00:59 {zone}"]
+    lines += [""] * (rnd.randrange(2) if files else 0) + [f"{s}{score}\t{name}" for s, score, name in files]
+    shown = " ".join(part for part in ("message: " + subject).split("\r") if part)
+    wanted = (
+        f"{i:040x}", parents, shown[len("message:"):].strip(), author.strip().lower(),
+        f"2024-02-{1 + i % 29:02d}", f"{hour:02d}:00:59{zone}",
+        [(s, (score + "\t" + name).strip()) for s, score, name in files],
+    )
+    return "\n".join(lines) + "\n", wanted
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_fields_come_back(spark, tmp_path, seed):
+    rnd = random.Random(seed)
+    commits = [made(rnd, i) for i in range(2000)]
+    (tmp_path / "a_b.gitlog").write_text("\n".join(log for log, _ in commits), encoding="utf-8", newline="")
+    parsed = cl.parse_blocks(cl.read_blocks(spark, str(tmp_path)))
+    assert cl.rejects(parsed).collect() == []
+    got = {
+        r.commit_hash: (r.commit_hash, r.parents, r.message, r.author, str(r.date), r.timestamp,
+                        [tuple(f) for f in r.files])
+        for r in cl.well_formed(parsed).collect()
+    }
+    for _, wanted in commits:
+        assert got[wanted[0]] == wanted
+    assert len(got) == len(commits)
+
+
+def test_bytes_that_are_no_text(spark, tmp_path):
+    log = b"commit: " + b"a" * 40 + b"\nparents: \nmessage: caf\xe9\nauthor: j\xfcrg@x\ndate: 2024-01-01 00:00:00 +0000\n\nM\tna\xefve\n"
+    (tmp_path / "a_b.gitlog").write_bytes(log)
+    row = cl.well_formed(cl.parse_blocks(cl.read_blocks(spark, str(tmp_path)))).first()
+    assert (row.message, row.author) == ("caf�", "j�rg@x")
+    assert row.files[0].filename == "na�ve"
+
+
+def test_white_space_is_pythons():
+    assert all(c.isspace() for c in WHITESPACE)
+    assert set(SPACES) - {"  "} <= set(WHITESPACE)

@@ -121,3 +121,13 @@ def test_status_report_reads_statuses_only(spark, small):
     schema = next(l for l in plan.splitlines() if "ReadSchema" in l)
     assert "files:array<struct<status:string>>" in schema
     assert "filename" not in schema and "author" not in schema.replace("author_first_char", "")
+
+
+def test_a_kept_rollup_serves_the_overview(spark, commits):
+    rollup = cl.author_months(commits).persist()
+    try:
+        reports = cl.overview(commits)
+        for name in ("commits_per_author", "commit_activity", "active_authors"):
+            assert "InMemoryTableScan" in plan_of(reports[name])
+    finally:
+        rollup.unpersist()
