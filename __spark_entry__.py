@@ -20,10 +20,10 @@ from commitlens.scratch import fresh_folder
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 CREATED_FILES_SQL = """
--- authors with the most files created
+-- who added most files
 SELECT author, count(*) AS n_files
-FROM (SELECT author, explode(files) AS file FROM commits)
-WHERE file.status = 'A'
+FROM commits LATERAL VIEW inline(files) AS status, filename
+WHERE status = 'A'
 GROUP BY author
 ORDER BY n_files DESC, author
 LIMIT 5;

@@ -89,9 +89,10 @@ def run_sql(
 def explain_sql(
     spark: SparkSession, commits: DataFrame, text: str, repos: list[str] | None = None
 ) -> DataFrame:
-    """One row `plan`: the formatted plan of a statement, or why it does not parse."""
+    """One row `plan`: the formatted plan of a statement, or why there is none."""
     register_view(commits, repos)
     try:
-        return spark.sql(f"EXPLAIN FORMATTED {text}")
+        lines = spark.sql(f"EXPLAIN FORMATTED {text}")
+        return lines.agg(F.array_join(F.collect_list("plan"), "\n").alias("plan"))
     except ParseException as error:
         return spark.createDataFrame([(f"{error}\n{text}",)], "plan string")

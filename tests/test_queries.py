@@ -16,11 +16,12 @@ def commits(spark, small):
     return cl.read_commits(spark, bridge.table_of(spark, small))
 
 
+# A file's field may be written as of a struct or as of a map.
 DELETED_SQL = """
-SELECT author, count(*) AS n_files
-FROM (SELECT author, explode(files) AS file FROM commits)
-WHERE file['status'] = 'D' -- a map's and a struct's field alike
-GROUP BY author ORDER BY n_files DESC, author LIMIT 5
+WITH changes AS (SELECT author, explode(files) AS file FROM commits)
+SELECT author, count_if(file['status'] = 'D') AS n_files
+FROM changes WHERE file.status <> 'A'
+GROUP BY author ORDER BY 2 DESC, 1 LIMIT 5
 """
 
 
@@ -45,11 +46,15 @@ def test_explain(spark, commits):
     plan = cl.explain_sql(spark, commits, "SELECT * FROM commits WHERE repo_id = 'org_p1'").collect()
     assert len(plan) == 1
     assert "PartitionFilters" in plan[0].plan
+    (commented,) = cl.explain_sql(spark, commits, contract.CREATED_FILES_SQL).collect()
+    assert "TakeOrderedAndProject" in commented.plan
+    (unresolved,) = cl.explain_sql(spark, commits, "SELECT no_column FROM commits").collect()
+    assert "UNRESOLVED_COLUMN" in unresolved.plan
 
 
 def test_explain_of_nonsense_is_a_row(spark, commits):
     (plan,) = cl.explain_sql(spark, commits, "SELEC 1").collect()
-    assert "SELEC 1" in plan.plan
+    assert "SELEC 1" in plan.plan and "PARSE_SYNTAX_ERROR" in plan.plan
     with pytest.raises(AnalysisException):
         cl.run_sql(spark, commits, "SELECT no_column FROM commits").collect()
 
