@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.scratch import checkpoint_root
+from commitlens.scratch import stored
 
 # Largest group left to one task.
 MAX_GROUP_ROWS = 10_000_000
@@ -27,7 +27,7 @@ def split_hot_groups(
 
     A group above `max_group_rows` is hot. Hot rows are range-partitioned by key
     and order and get the partition's number as `__chunk`: it grows along a
-    group, and a chunk is of bounded size. They are checkpointed, because a lost
+    group, and a chunk is of bounded size. They are stored, because a lost
     task might otherwise draw other boundaries. Finding out whether there are
     hot groups takes one counting pass.
     """
@@ -35,16 +35,14 @@ def split_hot_groups(
     groups, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("n")).first()
     if not groups:
         return df, None
-    checkpoint_root(df.sparkSession)
-    hot = hot.select(*keys).checkpoint()
+    hot = stored(hot.select(*keys))
     matches = _same_keys(df, hot, keys)
     if groups <= MAX_BROADCAST_GROUPS:
         hot = F.broadcast(hot)
     chunks = -(-2 * hot_rows // max_group_rows)
-    chunked = (
+    chunked = stored(
         df.join(hot, matches, "left_semi")
         .repartitionByRange(chunks, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
-        .checkpoint()
     )
     return df.join(hot, matches, "left_anti"), chunked

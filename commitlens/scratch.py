@@ -1,14 +1,14 @@
-"""The folder every executor can reach, for checkpoints and derived tables."""
+"""The folder every executor can reach, for derived tables."""
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-def checkpoint_root(spark: SparkSession) -> str:
+def shared_root(spark: SparkSession) -> str:
     """The folder `spark.checkpoint.dir` names.
 
     Where that is unset, a local session gets a temporary folder; a cluster
@@ -20,7 +20,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="commitlens-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -28,4 +27,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession) -> str:
     """An unused path in that folder."""
     name = f"commitlens-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
-    return f"{checkpoint_root(spark)}/{name}"
+    return f"{shared_root(spark)}/{name}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` computed now and read back from parquet: its lineage ends there.
+
+    Unlike a checkpoint it is computed once and can be read column by column.
+    """
+    folder = fresh_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
