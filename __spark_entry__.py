@@ -139,7 +139,7 @@ def _share_of(spark: SparkSession, path: str, parts: int) -> int:
 
 def _event_type_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few and large keys: every event type is hot and split."""
-    bound = _share_of(spark, f"{sf_dir}/events.parquet", 20)
+    bound = _share_of(spark, f"{sf_dir}/events.parquet", 8)
     events = _events(spark, sf_dir)
     return cl.assign_blocks(
         events, ["event_type"], ["ts", "event_id"], F.col("user_id") % 50 == 0, "event_id", bound
@@ -147,7 +147,7 @@ def _event_type_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_type_block_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bound = _share_of(spark, f"{sf_dir}/events.parquet", 1000)
+    bound = _share_of(spark, f"{sf_dir}/events.parquet", 400)
     events = _events(spark, sf_dir)
     return cl.block_bounds(
         events, ["event_type"], ["ts", "event_id"], F.col("user_id") % 50 == 0, "event_id", bound

@@ -44,21 +44,23 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     parents_line, subject_line = F.get(lines, F.lit(1)), F.get(lines, F.lit(2))
     author_line, date_line = F.get(lines, at), F.get(lines, at + 1)
     subject = F.array_join(F.slice(lines, F.lit(3), at - 2), " ")
-    dated = F.when(date_line.startswith("date:"), after("date:", date_line))
-    fields = F.struct(
+    cut = located.select(
+        "repo_id",
+        "block",
         F.regexp_extract(F.get(lines, F.lit(0)), HASH_LINE, 1).alias("commit_hash"),
         F.when(parents_line.startswith("parents:"), after("parents:", parents_line)).alias("parents"),
         F.when(subject_line.startswith("message:"), after("message:", subject)).alias("message"),
         F.when(author_line.startswith("author:"), F.lower(after("author:", author_line))).alias("author"),
-        dated.alias("dated"),
-        F.try_to_timestamp(dated, F.lit(DATE_FORMAT)).alias("committed_at"),
+        F.when(date_line.startswith("date:"), after("date:", date_line)).alias("dated"),
         F.slice(lines, at + 3, F.greatest(F.size(lines) - at - 2, F.lit(0))).alias("extra"),
-    )
-    # A generator, because Spark would push a filter on `reject` below a plain
-    # projection and so parse every block twice.
-    cut = located.select("repo_id", "block", F.inline(F.array(fields)))
+    ).withColumn("committed_at", F.try_to_timestamp("dated", F.lit(DATE_FORMAT)))
+    # Spark would push a filter on `reject` down to the scan and so parse every
+    # block twice; it does not push one below a generator.
+    kept = ["repo_id", "block"]
+    fields = [c for c in cut.columns if c not in kept]
+    once = cut.select(*kept, F.inline(F.array(F.struct(*fields))))
     headed = (F.col("commit_hash") != "") & F.concat("parents", "message", "author", "dated").isNotNull()
-    return cut.select(
+    return once.select(
         "author",
         F.lower(F.substring("author", 1, 1)).alias("author_first_char"),
         "commit_hash",
