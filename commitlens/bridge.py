@@ -5,11 +5,14 @@ real ones hard: subjects that quote headers or hold a carriage return, empty
 authors and subjects, renames, git warnings, broken headers, impossible dates.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.plans.ingest import ingest_logs
 from commitlens.scratch import fresh_folder
+from commitlens.sources.files import exists
 
 _COMMIT = {
     "hash": "sha1(cast(o_orderkey AS string))",
@@ -86,29 +89,26 @@ def write_logs(spark: SparkSession, sf_dir: str, folder: str) -> None:
     )
 
 
-_logs: dict[tuple[str, str], str] = {}
-_tables: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
-def _session(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, sf_dir
+def _once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
+    """Folder that `write` filled earlier in this session, or fills now."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _written or not exists(spark, _written[key]):
+        folder = f"{fresh_folder(spark)}/{what}"
+        write(folder)
+        _written[key] = folder
+    return _written[key]
 
 
 def logs_of(spark: SparkSession, sf_dir: str) -> str:
     """Folder of rendered logs; written once per session."""
-    key = _session(spark, sf_dir)
-    if key not in _logs:
-        folder = f"{fresh_folder(spark)}/logs"
-        write_logs(spark, sf_dir, folder)
-        _logs[key] = folder
-    return _logs[key]
+    return _once(spark, sf_dir, "logs", lambda folder: write_logs(spark, sf_dir, folder))
 
 
 def table_of(spark: SparkSession, sf_dir: str) -> str:
     """Commits table ingested from those logs; written once per session."""
-    key = _session(spark, sf_dir)
-    if key not in _tables:
-        root = f"{fresh_folder(spark)}/commits"
-        ingest_logs(spark, logs_of(spark, sf_dir), root)
-        _tables[key] = root
-    return _tables[key]
+    return _once(
+        spark, sf_dir, "commits", lambda root: ingest_logs(spark, logs_of(spark, sf_dir), root)
+    )

@@ -8,19 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS
+from commitlens.sources.files import filesystem, hadoop_path
 
 MAX_RECORDS_PER_FILE = 5_000_000
 SWAP_THREADS = 16
 
 
-def _path(spark: SparkSession, *parts: str) -> JavaObject:
-    return spark._jvm.org.apache.hadoop.fs.Path("/".join(parts))
-
-
-def _filesystem(spark: SparkSession, path: str) -> JavaObject:
-    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
 def _repo_dir(spark: SparkSession, repo_id: str) -> str:
     utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     return utils.getPartitionPathString("repo_id", repo_id)
@@ -36,9 +29,9 @@ def read_commits(spark: SparkSession, root: str, repos: list[str] | None = None)
     if repos is None:
         found = [root]
     else:
-        fs = _filesystem(spark, root)
+        fs = filesystem(spark, root)
         folders = [f"{root}/{_repo_dir(spark, repo)}" for repo in dict.fromkeys(repos)]
-        found = [folder for folder in folders if fs.exists(_path(spark, folder))]
+        found = [folder for folder in folders if fs.exists(hadoop_path(spark, folder))]
     commits = reader.parquet(*found) if found else spark.createDataFrame([], COMMITS_SCHEMA)
     # An empty author's key is stored as the null partition.
     return commits.withColumn(
@@ -79,18 +72,18 @@ def replace_repos(spark: SparkSession, commits: DataFrame, root: str) -> int:
     """
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     _write(commits, staging)
-    fs = _filesystem(spark, root)
-    folders = [s.getPath() for s in fs.listStatus(_path(spark, staging)) if s.isDirectory()]
+    fs = filesystem(spark, root)
+    folders = [s.getPath() for s in fs.listStatus(hadoop_path(spark, staging)) if s.isDirectory()]
 
     def swap(folder: JavaObject) -> None:
-        target = _path(spark, root, folder.getName())
+        target = hadoop_path(spark, root, folder.getName())
         fs.delete(target, True)
         if not fs.rename(folder, target):
             raise OSError(f"cannot move {folder} to {target}")
 
     with ThreadPoolExecutor(SWAP_THREADS) as pool:
         list(pool.map(swap, folders))
-    fs.delete(_path(spark, staging), True)
+    fs.delete(hadoop_path(spark, staging), True)
     return len(folders)
 
 
