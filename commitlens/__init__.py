@@ -1,5 +1,6 @@
 """Commit-history analytics on Spark: git-log text in, DataFrames out."""
 
+from commitlens.functions.repo_url import is_repo_url, repo_id
 from commitlens.operators.blocks import assign_blocks, block_bounds
 from commitlens.operators.collect import collect_ordered
 from commitlens.operators.ingest import parse_blocks, rejects, well_formed
@@ -52,6 +53,7 @@ __all__ = [
     "file_status_shares",
     "files_by_author",
     "ingest_logs",
+    "is_repo_url",
     "list_repos",
     "log_sizes",
     "merge_commits",
@@ -62,6 +64,7 @@ __all__ = [
     "read_commits",
     "register_view",
     "rejects",
+    "repo_id",
     "replace_repo",
     "replace_repos",
     "repositories",

@@ -3,7 +3,6 @@
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,49 +52,44 @@ def _laid_out(commits: DataFrame) -> DataFrame:
     )
 
 
-def _write(commits: DataFrame, path: str) -> None:
-    (
-        _laid_out(commits)
-        .write.partitionBy(*PARTITION_COLUMNS)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .parquet(path)
-    )
-
-
-def replace_repos(spark: SparkSession, commits: DataFrame, root: str) -> int:
+def replace_repos(
+    spark: SparkSession, commits: DataFrame, root: str, repos: list[str] | None = None
+) -> int:
     """Write `commits`, replacing every repository that occurs in it; returns how many.
 
+    With `repos`, exactly those are replaced, by nothing if they have no rows.
+
     All rows are first written to a staging folder inside the table (readers
     skip names that start with `_`), then each repository's folder is swapped in
     by rename. A failed job leaves the table as it was; running it again gives
     the same table. A reader may miss a repository during its swap.
     """
+    if repos is not None:
+        commits = commits.filter(F.col("repo_id").isin(list(repos)))
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    _write(commits, staging)
+    (
+        _laid_out(commits)
+        .write.partitionBy(*PARTITION_COLUMNS)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .parquet(staging)
+    )
     fs = filesystem(spark, root)
-    folders = [s.getPath() for s in fs.listStatus(hadoop_path(spark, staging)) if s.isDirectory()]
+    written = {s.getPath().getName() for s in fs.listStatus(hadoop_path(spark, staging)) if s.isDirectory()}
+    emptied = {_repo_dir(spark, repo) for repo in repos or []} - written
 
-    def swap(folder: JavaObject) -> None:
-        target = hadoop_path(spark, root, folder.getName())
-        fs.delete(target, True)
-        if not fs.rename(folder, target):
-            raise OSError(f"cannot move {folder} to {target}")
+    def swap(folder: str) -> None:
+        fs.delete(hadoop_path(spark, root, folder), True)
+        if folder in written and not fs.rename(
+            hadoop_path(spark, staging, folder), hadoop_path(spark, root, folder)
+        ):
+            raise OSError(f"cannot move {staging}/{folder} to {root}")
 
     with ThreadPoolExecutor(SWAP_THREADS) as pool:
-        list(pool.map(swap, folders))
+        list(pool.map(swap, written | emptied))
     fs.delete(hadoop_path(spark, staging), True)
-    return len(folders)
+    return len(written)
 
 
 def replace_repo(spark: SparkSession, commits: DataFrame, root: str, repo_id: str) -> None:
     """Replace one repository by its rows in `commits`, which may be none."""
-    one = commits.filter(F.col("repo_id") == repo_id)
-    (
-        _laid_out(one)
-        .drop("repo_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("author_first_char")
-        .parquet(f"{root}/{_repo_dir(spark, repo_id)}")
-    )
+    replace_repos(spark, commits, root, [repo_id])

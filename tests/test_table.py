@@ -83,10 +83,29 @@ def test_replace_one_repository(spark, tmp_path, root):
     fresh = cl.well_formed(cl.parse_blocks(cl.read_blocks(spark, newer)))
     cl.replace_repo(spark, fresh, root, "a_b")
     assert hashes(cl.read_commits(spark, root)) == [H["3"], H["4"]]
+    assert folders(root) == ["repo_id=a_b/author_first_char=y", "repo_id=c_d/author_first_char=a"]
     cl.replace_repo(spark, fresh.filter("false"), root, "a_b")
     assert hashes(cl.read_commits(spark, root)) == [H["3"]]
 
 
+def test_replace_by_rows_of_the_same_table(spark, tmp_path, root):
+    logs = write_logs(tmp_path / "1", a_b=[commit(H["1"], author="x@x"), commit(H["2"], author="y@y")])
+    cl.ingest_logs(spark, logs, root)
+    cl.replace_repo(spark, cl.read_commits(spark, root).filter("author <> 'x@x'"), root, "a_b")
+    assert hashes(cl.read_commits(spark, root)) == [H["2"]]
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path, root):
+    cl.ingest_logs(spark, write_logs(tmp_path / "1", a_b=[commit(H["1"])]), root)
+    broken = cl.read_commits(spark, root).withColumn(
+        "message", F.when(F.col("message") != "", F.raise_error(F.lit("lost")).cast("string"))
+    )
+    for replace in (cl.replace_repos, lambda *args: cl.replace_repo(*args, "a_b")):
+        with pytest.raises(Exception, match="lost"):
+            replace(spark, broken, root)
+    assert hashes(cl.read_commits(spark, root)) == [H["1"]]
+
+
 def test_keys_read_back_as_written(spark, tmp_path, root):
     commits = [commit(H["1"], author="7@x"), commit(H["2"], author=""), commit(H["3"], author="%@x")]
     cl.ingest_logs(spark, write_logs(tmp_path / "logs", **{"12": commits, "007": commits[:1]}), root)
