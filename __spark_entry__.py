@@ -8,6 +8,7 @@ SQL works on the two tables alone and never sees the text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,6 +162,16 @@ def _conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _llm():
+    """The training-data queries, or nothing where their subpackage is not installed."""
+    spec = find_spec("commitlens.llm")
+    if spec is None or spec.origin is None:
+        return None
+    from commitlens.llm import queries
+
+    return queries
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Authors with the most files created, through the SQL door."""
     return cl.run_sql(spark, _commits(spark, SMOKE_DIR), CREATED_FILES_SQL)
@@ -170,7 +181,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_commits(query: Callable[[DataFrame], DataFrame]):
         return lambda spark, sf_dir: query(_commits(spark, sf_dir))
 
-    return {
+    llm = _llm()
+    return (llm.queries() if llm else {}) | {
         "ingest_commits": _ingest_commits,
         "ingest_files": _ingest_files,
         "ingest_parents": _ingest_parents,
@@ -382,7 +394,8 @@ def oracle_sql() -> dict[str, str]:
         "repo_list": "SELECT DISTINCT repo_id FROM commits",
         "commits_per_repo": 'SELECT repo_id, count(*) AS "count" FROM commits GROUP BY repo_id',
     }
-    return {name: _COMMITS + sql for name, sql in over_commits.items()} | {
+    llm = _llm()
+    return (llm.oracle_sql() if llm else {}) | {name: _COMMITS + sql for name, sql in over_commits.items()} | {
         "repo_url_parse": r"""
             WITH urls AS (
                 SELECT page_id, url FROM pages
