@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from commitlens.llm.packing import pack
 from commitlens.llm.token_store import scan_token_store, write_token_store
 from commitlens.llm.tokens import default_tokenizer
 
@@ -19,8 +20,15 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_token_store(manifest)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), default_tokenizer(), end_id=0, capacity=2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store}
+    return {
+        "op1_token_store": op1_token_store,
+        "op5_best_fit_packing": op5_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
