@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from commitlens.llm.packing import pack
+from commitlens.llm.simhash import simhash_groups
 from commitlens.llm.token_store import scan_token_store, write_token_store
 from commitlens.llm.tokens import default_tokenizer
 
@@ -24,10 +26,17 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), default_tokenizer(), end_id=0, capacity=2048)
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_groups(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    hexadecimal = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", hexadecimal.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op7_simhash_near_dedup": op7_simhash_near_dedup,
     }
 
 
