@@ -11,6 +11,7 @@ from commitlens.llm.packing import pack
 from commitlens.llm.simhash import simhash_groups
 from commitlens.llm.token_store import scan_token_store, write_token_store
 from commitlens.llm.tokens import default_tokenizer
+from commitlens.llm.warc import read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_token_store(manifest)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = read_warc(write_warc(_table(spark, sf_dir, "pages")), payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "status")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), default_tokenizer(), end_id=0, capacity=2048)
 
@@ -35,6 +41,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
+        "op3_warc": op3_warc,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
     }

@@ -29,7 +29,7 @@ def open_output(uri: str) -> BinaryIO:
     """A binary stream to `uri`; its folder is made when missing."""
     system, path = _located(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str) -> BinaryIO:
