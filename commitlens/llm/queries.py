@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.llm.packing import pack
+from commitlens.llm.quality import rules_of, score_quality
 from commitlens.llm.simhash import simhash_groups
 from commitlens.llm.token_store import scan_token_store, write_token_store
 from commitlens.llm.tokens import default_tokenizer
@@ -38,12 +39,18 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, rules_of(docs, _table(spark, sf_dir, "labels"))).drop("rule")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
         "op3_warc": op3_warc,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op9_quality_rules": op9_quality_rules,
     }
 
 
