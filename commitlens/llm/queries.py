@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commitlens.llm.language import identify_language, learn_dictionaries
 from commitlens.llm.packing import pack
 from commitlens.llm.quality import rules_of, score_quality
 from commitlens.llm.simhash import simhash_groups
@@ -44,6 +45,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, rules_of(docs, _table(spark, sf_dir, "labels"))).drop("rule")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+    dictionaries = learn_dictionaries(docs.filter(~held_out))
+    return identify_language(docs, dictionaries).withColumn("held_out", held_out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
@@ -51,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op9_quality_rules": op9_quality_rules,
+        "op10_language_id": op10_language_id,
     }
 
 
