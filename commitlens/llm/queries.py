@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.llm.language import identify_language, learn_dictionaries
+from commitlens.llm.ngram_filter import score_texts
 from commitlens.llm.packing import pack
 from commitlens.llm.quality import rules_of, score_quality
 from commitlens.llm.simhash import simhash_groups
@@ -40,6 +41,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return score_texts(_table(spark, sf_dir, "documents"), ~held_out)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return score_quality(docs, rules_of(docs, _table(spark, sf_dir, "labels"))).drop("rule")
@@ -58,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": op3_warc,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
         "op10_language_id": op10_language_id,
     }
