@@ -14,6 +14,7 @@ from commitlens.llm.quality import rules_of, score_quality
 from commitlens.llm.simhash import simhash_groups
 from commitlens.llm.token_store import scan_token_store, write_token_store
 from commitlens.llm.tokens import default_tokenizer
+from commitlens.llm.vector_index import search
 from commitlens.llm.warc import read_warc, write_warc
 
 
@@ -35,6 +36,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), default_tokenizer(), end_id=0, capacity=2048)
 
 
+def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
     hexadecimal = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_store": op1_token_store,
         "op3_warc": op3_warc,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_vector_search": op6_vector_search,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
