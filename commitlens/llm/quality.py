@@ -28,7 +28,7 @@ MAX_REPEAT_PERCENT = 50
 # Labelled rows that teach the rules at most.
 SAMPLE_ROWS = 20_000
 MIN_PRECISION = 0.95
-MIN_COVERED = 5
+MIN_COVERED = 3
 MAX_RULES = 32
 MAX_CONDITIONS = 4
 # Thresholds tried per statistic.
@@ -199,8 +199,9 @@ def learn_rules(
         if not tried:
             break
         (precision, p), k = max(tried)
-        both = _precision(rule[:-k], table, bad & left)[0]
-        if p < MIN_COVERED or min(precision, both) < min_precision * p / (p + 1):
+        rows = {name: values[left] for name, values in table.items()}
+        all_precision, all_p = _precision(rule[:-k], rows, bad[left])
+        if p < MIN_COVERED or precision < min_precision * p / (p + 1) or all_precision < min_precision * all_p / (all_p + 1):
             break
         rules.append(rule[:-k])
         left &= ~_covered(rules[-1], table, len(bad))

@@ -20,10 +20,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commitlens.llm.components import connected_components
+from commitlens.llm.rows import unused_name
 from commitlens.llm.tokens import slices
 from commitlens.scratch import stored
 
@@ -56,17 +57,20 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """`(key, fp)`, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, also: str | None = None) -> DataFrame:
+    """`(key, hash, fp)`: `also` as it is, a long, and the fingerprint as a signed long."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.record_batch([part.column(0), _signed(found)], ["key", "fp"])
+                found = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], np.uint64)
+                yield pa.record_batch([part.column(0), part.column(1), _signed(found)], ["key", "hash", "fp"])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(of, "key long, fp long")
+    extra = F.col(also) if also else F.lit(None)
+    rows = docs.select(
+        F.col(key).cast("long").alias("key"), extra.cast("long").alias("hash"), F.col(text).cast("string").alias("text")
+    )
+    return rows.mapInArrow(of, "key long, hash long, fp long")
 
 
 # --- Variants of fingerprints, on plain arrays -----------------------------------
@@ -197,9 +201,11 @@ def _hot_buckets(fps: DataFrame, bits: int, radius: int, most: int) -> dict[int,
 def find_links(
     spark: SparkSession, fps: DataFrame, distance: int, most_variants: int = MOST_VARIANTS
 ) -> DataFrame:
-    """`(a, b)`: links that connect all fingerprints within `distance`, none longer.
+    """`(a, b)`: pairs that connect exactly what chains of links within `distance` connect.
 
-    `fps` holds distinct fingerprints `fp` as longs and should be stored.
+    A bucket's task gives one pair for each member of a group but its smallest, to
+    that smallest: the links between them are all verified, and most need not
+    leave the task. `fps` holds distinct fingerprints `fp` as longs and should be stored.
     """
     radius = distance - distance // 2
     bits = _leading_bits(fps.count(), radius)
@@ -232,6 +238,14 @@ def find_links(
     return sent.groupBy("bucket", "part").applyInArrow(meet, "a long, b long")
 
 
+def _roots_of(rows: DataFrame, distance: int, most_variants: int) -> DataFrame:
+    """`(fp, root)` of each distinct fingerprint in `rows`; the root is the smallest of its component."""
+    distinct = stored(rows.select("fp").distinct())
+    links = stored(find_links(rows.sparkSession, distinct, distance, most_variants))
+    roots = stored(connected_components(links)).withColumnRenamed("node", "fp")
+    return distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(
     docs: DataFrame,
     shingle: int = 4,
@@ -249,13 +263,37 @@ def simhash_groups(
     which is null if no row in it has a key. Repeated rows stay. An empty table
     gives no row; columns other than key and text are not read.
     """
-    spark = docs.sparkSession
     rows = stored(fingerprints(docs, key, text, shingle))
-    distinct = stored(rows.groupBy("fp").agg(F.min("key").alias("first")))
-    links = stored(find_links(spark, distinct.select("fp"), distance, most_variants))
-    roots = stored(connected_components(links))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    named = named.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = stored(_roots_of(rows, distance, most_variants))
+    first = stored(rows.groupBy("fp").agg(F.min("key").alias("first")))
+    named = named.join(first, "fp")
     smallest = stored(named.groupBy("root").agg(F.min("first").alias("component")))
     components = stored(named.join(smallest, "root").select("fp", "component"))
     return rows.join(components, "fp").select(F.col("key").alias(key), "fp", "component")
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    shingle: int = 4,
+    distance: int = 4,
+    key: str = "doc_id",
+    text: str = "text",
+    most_variants: int = MOST_VARIANTS,
+) -> DataFrame:
+    """One row of `docs` for each group of near duplicates, columns unchanged.
+
+    That with the smallest key stays, before any with a null key; among equal keys
+    the text with the smallest hash. Of rows that repeat both, one stays.
+    """
+    hashed = F.xxhash64(F.col(text).cast("string"))
+    light = fingerprints(docs.withColumn(hash_ := unused_name(docs, "__hash"), hashed), key, text, shingle, hash_)
+    light = stored(light)
+    named = stored(_roots_of(light, distance, most_variants))
+    best = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash")).alias("b")
+    keepers = stored(light.join(named, "fp").groupBy("root").agg(best).select("b.key", "b.hash"))
+    rows = docs.withColumn(hash_, hashed)
+    same = rows[key].cast("long").eqNullSafe(keepers["key"]) & rows[hash_].eqNullSafe(keepers["hash"])
+    number = unused_name(docs, "__number")
+    along = Window.partitionBy(F.col(key), hash_).orderBy(hash_)
+    kept = rows.join(keepers, same, "left_semi").withColumn(number, F.row_number().over(along))
+    return kept.filter(F.col(number) == 1).select(*(kept[c] for c in docs.columns))
