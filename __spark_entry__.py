@@ -162,14 +162,18 @@ def _conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _llm():
-    """The training-data queries, or nothing where their subpackage is not installed."""
+def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """The training-data queries and their SQL; none where their subpackage is not installed."""
     spec = find_spec("commitlens.llm")
     if spec is None or spec.origin is None:
-        return None
-    from commitlens.llm import queries
+        return {}, {}
+    import corpus_pipeline
+    from commitlens.llm import queries as llm
 
-    return queries
+    sql = llm.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm.queries() | {"pipeline": corpus_pipeline.run}, sql
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -181,8 +185,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_commits(query: Callable[[DataFrame], DataFrame]):
         return lambda spark, sf_dir: query(_commits(spark, sf_dir))
 
-    llm = _llm()
-    return (llm.queries() if llm else {}) | {
+    return _llm()[0] | {
         "ingest_commits": _ingest_commits,
         "ingest_files": _ingest_files,
         "ingest_parents": _ingest_parents,
@@ -394,8 +397,7 @@ def oracle_sql() -> dict[str, str]:
         "repo_list": "SELECT DISTINCT repo_id FROM commits",
         "commits_per_repo": 'SELECT repo_id, count(*) AS "count" FROM commits GROUP BY repo_id',
     }
-    llm = _llm()
-    return (llm.oracle_sql() if llm else {}) | {name: _COMMITS + sql for name, sql in over_commits.items()} | {
+    return _llm()[1] | {name: _COMMITS + sql for name, sql in over_commits.items()} | {
         "repo_url_parse": r"""
             WITH urls AS (
                 SELECT page_id, url FROM pages

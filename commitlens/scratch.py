@@ -2,11 +2,20 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from commitlens.sources.files import filesystem, hadoop_path
+
 SETTING = "spark.checkpoint.dir"
 
+# A local session's own folder, by application.
+_local_roots: dict[str, str] = {}
+# Folders made within the scopes that are open now, innermost last.
+_scopes: list[list[str]] = []
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder `spark.checkpoint.dir` names.
@@ -19,15 +28,33 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="commitlens-")
-        context.setCheckpointDir(root)
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="commitlens-")
+        root = _local_roots[context.applicationId]
     return root.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession) -> str:
-    """An unused path in that folder."""
-    name = f"commitlens-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
-    return f"{shared_root(spark)}/{name}"
+    """An unused path in that folder, deleted when its scope or the session ends."""
+    name = f"commitlens-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+    outer = f"{shared_root(spark)}/{name}"
+    fs, path = filesystem(spark, outer), hadoop_path(spark, outer)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    if _scopes:
+        _scopes[-1].append(outer)
+    return f"{outer}/data"
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Frees what is stored inside, at its end; results must be written or collected by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            filesystem(spark, folder).delete(hadoop_path(spark, folder), True)
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Folders on whatever file system a path names."""
+"""Folders and small files on whatever file system a path names."""
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
@@ -15,3 +15,37 @@ def filesystem(spark: SparkSession, path: str) -> JavaObject:
 
 def exists(spark: SparkSession, path: str) -> bool:
     return filesystem(spark, path).exists(hadoop_path(spark, path))
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    if not exists(spark, path):
+        return []
+    return [s.getPath().getName() for s in filesystem(spark, path).listStatus(hadoop_path(spark, path))]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = filesystem(spark, path).open(hadoop_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    stream = filesystem(spark, path).create(hadoop_path(spark, path), False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    filesystem(spark, path).delete(hadoop_path(spark, path), True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; fails if `target` is there or the file system refuses."""
+    fs = filesystem(spark, source)
+    if fs.exists(hadoop_path(spark, target)) or not fs.rename(
+        hadoop_path(spark, source), hadoop_path(spark, target)
+    ):
+        raise OSError(f"cannot rename {source} to {target}")
