@@ -5,7 +5,9 @@ equal size, so lists are balanced. Every vector goes to its nearest list, and a
 boundary vector also to others that are nearly as near, unless a list it is in
 already stands between. A query walks a graph of the centroids in memory, takes
 the lists whose distance is within a ratio of the nearest, and is compared with
-every vector in them, in double precision.
+every vector in them, in double precision. Neighbouring lists share a cell, so
+that a query travels once per cell; its nearest cell is searched first, and the
+others then only report what is no worse than what that one found.
 
 The largest inner product is a smallest distance once each vector gets one more
 coordinate that makes all equally long.
@@ -18,18 +20,20 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.scratch import stored
 
-# Vectors that centroids are learned from, and centroids, at most.
+# Vectors that centroids are learned from, and their bytes; centroids, at most.
 SAMPLE_ROWS = 65_536
+SAMPLE_BYTES = 32 << 20
 MAX_LISTS = 16_384
-# Vectors a list has on average before replicas.
+# Vectors a list has on average before replicas, and lists in a cell.
 LIST_ROWS = 128
-# Rows of a list that one scan holds; longer lists are cut, and all cuts scanned.
-BLOCK_ROWS = 4_096
+CELL_LISTS = 16
+# Vectors, and queries, of a cell that one scan holds; what is more is dealt to several.
+BLOCK_ROWS = 1 << 15
 # Replicas of a vector at most, and how much farther their centroids may be (squared).
 REPLICAS = 4
 BOUNDARY = 1.10
@@ -44,29 +48,29 @@ _SEED = 11
 # --- Centroids and their graph, on plain arrays ----------------------------------
 
 
-def _halves(points: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Two-means with equal halves: which points belong to the second."""
+def _parts_of(points: np.ndarray, rng: np.random.Generator, n: int) -> np.ndarray:
+    """Two-means of fixed sizes: which points belong to the second, `n // 2` parts of `n`."""
     a, b = points[rng.choice(len(points), 2, replace=False)]
+    cut = max(1, len(points) - len(points) * (n // 2) // n)
     for _ in range(6):
         lean = points @ (b - a)
         second = np.zeros(len(points), bool)
-        second[np.argsort(lean, kind="stable")[len(points) // 2 :]] = True
+        second[np.argsort(lean, kind="stable")[min(cut, len(points) - 1) :]] = True
         a, b = points[~second].mean(axis=0), points[second].mean(axis=0)
     return second
 
 
 def learn_centroids(sample: np.ndarray, lists: int, seed: int = _SEED) -> np.ndarray:
-    """Means of `lists` parts of the sample, of equal size within one split."""
-    rng, parts = np.random.default_rng(seed), [sample]
-    while len(parts) < lists:
-        parts.sort(key=len)
-        largest = parts.pop()
-        if len(largest) < 2:
-            parts.append(largest)
-            break
-        second = _halves(largest, rng)
-        parts += [largest[~second], largest[second]]
-    return np.array([part.mean(axis=0) for part in parts if len(part)])
+    """Means of `lists` parts of the sample of nearly equal size; neighbours stand together."""
+    rng = np.random.default_rng(seed)
+
+    def parts(points: np.ndarray, n: int) -> list[np.ndarray]:
+        if n <= 1 or len(points) < 2:
+            return [points.mean(axis=0)]
+        second = _parts_of(points, rng, n)
+        return parts(points[~second], n - n // 2) + parts(points[second], n // 2)
+
+    return np.array(parts(sample, min(lists, len(sample))))
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -101,7 +105,7 @@ class CentroidGraph:
         self.entries = ring[: max(1, int(np.sqrt(n)))]
 
     def within(self, query: np.ndarray, ratio: float) -> np.ndarray:
-        """Centroids whose squared distance is at most `ratio` times the nearest's.
+        """Centroids whose squared distance is at most `ratio` times the nearest's, nearest first.
 
         The walk goes on until the next candidate is clearly beyond that.
         """
@@ -127,7 +131,8 @@ class CentroidGraph:
                 break
             found.append((d, node))
             visit(self.links[node])
-        return np.array([node for d, node in found if d <= best * ratio + 1e-12], np.int64)
+        near = sorted(pair for pair in found if pair[0] <= best * ratio + 1e-12)
+        return np.array([node for _, node in near], np.int64)
 
 
 def lists_of(vectors: np.ndarray, centroids: np.ndarray) -> Iterator[list[int]]:
@@ -157,11 +162,9 @@ def augmented(vectors: np.ndarray, longest: float) -> np.ndarray:
 # --- Over the table --------------------------------------------------------------
 
 
-def _matrix(batch: pa.RecordBatch | pa.Table, column: str) -> np.ndarray:
-    array = batch.column(column)
-    array = array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
-    n = len(array)
-    return array.flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 1))
+def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of packed doubles as rows."""
+    return np.array([np.frombuffer(x) for x in column.to_pylist()])
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -172,46 +175,117 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
 
 
-def _top(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores; equal ones by smaller id."""
-    if len(ids) > 4 * k:
-        cut = np.partition(scores, len(scores) - k)[len(scores) - k]
-        places = np.flatnonzero(scores >= cut)
-    else:
-        places = np.arange(len(ids))
-    return places[np.lexsort((ids[places], -scores[places]))][:k]
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as bytes: doubles, with minus zero as zero, so that equal ones are equal bytes."""
+    for batch in batches:
+        if batch.num_rows:
+            column = batch.column(1)
+            flat, ends = column.flatten().to_numpy() + 0.0, np.cumsum(column.value_lengths().to_numpy())
+            raw = [flat[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            yield pa.record_batch([batch.column(0), pa.array(raw, pa.binary())], ["id", "v"])
+
+
+class _Best:
+    """The best members per query so far, and a score that the k-th best cannot fall below."""
+
+    def __init__(self, floor: np.ndarray, k: int):
+        self.floor, self.k, self.found = floor.copy(), k, []
+
+    def add(self, queries: np.ndarray, members: np.ndarray, scores: np.ndarray) -> None:
+        # One more than k: the query itself may be among them.
+        if scores.shape[1] > self.k:
+            kth = np.partition(scores, scores.shape[1] - self.k - 1, axis=1)[:, scores.shape[1] - self.k - 1]
+            self.floor[queries] = np.maximum(self.floor[queries], kth)
+        row, column = np.nonzero(scores >= self.floor[queries][:, None])
+        self.found.append((queries[row], members[column], scores[row, column]))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each query's members at or above its floor, once each."""
+        if not self.found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        query, member, score = (np.concatenate(x) for x in zip(*self.found))
+        good = score >= self.floor[query]
+        query, member, score = query[good], member[good], score[good]
+        _, once = np.unique(query * (member.max(initial=0) + 1) + member, return_index=True)
+        return query[once], member[once], score[once]
 
 
 _FOUND = "query_id long, vec_id long, score double"
 
 
-def _scan_block(k: int):
+def _scan_cell(k: int):
     def scan(group: pa.Table) -> pa.Table:
-        is_query = group["is_query"].to_numpy()
-        ids, vectors = group["id"].to_numpy(), _matrix(group, "v")
-        lists, members = group["members"].to_pylist(), np.flatnonzero(~is_query)
-        queries, out = np.flatnonzero(is_query), ([], [], [])
-        if len(queries) and len(members):
-            first = ids[members]
-            for at in range(0, len(queries), 256):
-                rows = queries[at : at + 256]
-                scores = vectors[rows] @ vectors[members].T
-                for q, row in zip(rows.tolist(), scores):
-                    best = _top(first, row, k + 1)
-                    # All copies of a vector share its score; each has its own id.
-                    pairs = [(-row[b], m) for b in best.tolist() for m in lists[members[b]] if m != ids[q]]
-                    for score, member in sorted(pairs)[:k]:
-                        for column, value in zip(out, (ids[q], member, -score)):
-                            column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
-        return pa.table([pa.array(c, t) for c, t in zip(out, kinds)], ["query_id", "vec_id", "score"])
+        is_query = group["is_query"].to_numpy(zero_copy_only=False)
+        members, queries = group.filter(pa.array(~is_query)), group.filter(pa.array(is_query))
+        out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if members.num_rows and queries.num_rows:
+            table, asked = _vectors(members["v"]), _vectors(queries["v"])
+            in_list, by_list = _positions(members["lists"]), _positions(queries["lists"])
+            best = _Best(queries["floor"].to_numpy(), k)
+            for number, mine in in_list.items():
+                theirs = by_list.get(number, [])
+                for at in range(0, len(theirs), 512):
+                    some = theirs[at : at + 512]
+                    best.add(some, mine, asked[some] @ table[mine].T)
+            query, member, score = best.pairs()
+            # All copies of a vector share its score; each has its own id.
+            copies = members["members"].combine_chunks()
+            ids, sizes = copies.flatten().to_numpy(), copies.value_lengths().to_numpy()
+            first, many = np.cumsum(sizes) - sizes, sizes[member]
+            at = np.repeat(first[member] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            query, vec_id, score = queries["id"].to_numpy()[np.repeat(query, many)], ids[at], np.repeat(score, many)
+            order = np.lexsort((vec_id, -score, query))
+            order = order[query[order] != vec_id[order]]
+            query, vec_id, score = query[order], vec_id[order], score[order]
+            rank = np.arange(len(query)) - np.searchsorted(query, query)
+            out = [x[rank < k] for x in (query, vec_id, score)]
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, out))))
 
     return scan
 
 
+def _positions(lists: pa.ChunkedArray) -> dict[int, np.ndarray]:
+    """List number to the rows that name it."""
+    column = lists.combine_chunks()
+    numbers, rows = column.flatten().to_numpy(), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+    order = np.argsort(numbers, kind="stable")
+    numbers, rows = numbers[order], rows[order]
+    cuts = np.flatnonzero(np.diff(numbers, prepend=-1))
+    return {int(numbers[a]): rows[a:b] for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(numbers)])}
+
+
+def _by_cell(found: list[np.ndarray]) -> tuple[np.ndarray, list[int], list[list[int]], list[bool]]:
+    """For each row's lists, nearest first: row numbers, cells, the lists in each, is it the nearest's."""
+    rows, cells, lists, nearest = [], [], [], []
+    for row, numbers in enumerate(found):
+        own: dict[int, list[int]] = {}
+        for number in numbers:
+            own.setdefault(int(number) // CELL_LISTS, []).append(int(number))
+        for place, (cell, inside) in enumerate(own.items()):
+            rows.append(row)
+            cells.append(cell)
+            lists.append(inside)
+            nearest.append(place == 0)
+    return np.array(rows, np.int64), cells, lists, nearest
+
+
+_POSTED = "cell int, lists array<int>, v binary, members array<long>"
+_ASKED = "cell int, lists array<int>, nearest boolean, v binary, id long"
+
+
+def _index(distinct: DataFrame, size: int, list_rows: int):
+    """The centroid graph, and the length that all vectors are brought to."""
+    width, longest = distinct.select(F.octet_length("v"), "norm").agg(F.max("octet_length(v)"), F.max("norm")).first()
+    longest = float(np.sqrt(longest))
+    rows = min(SAMPLE_ROWS, SAMPLE_BYTES // width)
+    sample = distinct.select("v").orderBy(F.xxhash64("v"), "v").limit(rows).toArrow()
+    lists = max(1, min(MAX_LISTS, size // list_rows, sample.num_rows))
+    return CentroidGraph(learn_centroids(augmented(_vectors(sample["v"]), longest), lists)), longest
+
+
 def search(
     vectors: DataFrame,
-    is_query,
+    is_query: Column,
     k: int = 20,
     key: str = "vec_id",
     vector: str = "embedding",
@@ -222,7 +296,7 @@ def search(
 
     `is_query` is a condition on `id`, the key; every other row is a candidate.
     Ties go to the smaller key. Vectors that are null, zero, or hold a null or a
-    number that is not finite take no part, nor do null keys; all vectors must be
+    number that is not finite take no part, nor do null keys; all others must be
     equally long. Rows that repeat a key are candidates each, and one query. An
     empty table gives no row.
 
@@ -231,67 +305,93 @@ def search(
     holds is not found.
     """
     spark = vectors.sparkSession
-    rows = stored(usable(vectors, key, vector))
+    rows = stored(usable(vectors, key, vector).mapInArrow(_packed, "id long, v binary"))
     # A third of all vectors may be equal: only the first keys of each reach its group.
     copies = Window.partitionBy("v").orderBy("id")
     kept = rows.withColumn("n", F.row_number().over(copies)).filter(F.col("n") <= k + 1)
-    distinct = stored(kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("members")))
-    size, longest = distinct.agg(
-        F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    ).first()
+    distinct = kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("members"))
+    distinct = stored(distinct.mapInArrow(_with_norm, "v binary, members array<long>, norm double"))
+    size = distinct.count()
     if not size:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    longest = float(np.sqrt(longest))
-    sample = distinct.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE_ROWS).toPandas()
-    lists = max(1, min(MAX_LISTS, size // list_rows, len(sample)))
-    points = augmented(np.array(sample["v"].tolist(), float), longest)
-    graph = CentroidGraph(learn_centroids(points, lists))
+    graph, longest = _index(distinct, size, list_rows)
     # At most `MAX_LISTS` centroids and their links.
     shared = spark.sparkContext.broadcast(graph)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                found = list(lists_of(augmented(_matrix(batch, "v"), longest), shared.value.centroids))
-                at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                found = list(lists_of(augmented(_vectors(batch["v"]), longest), shared.value.centroids))
+                at, cells, lists, _ = _by_cell(found)
                 part = batch.take(pa.array(at))
-                columns = [pa.array([c for x in found for c in x], pa.int32()), part["v"], part["members"]]
-                yield pa.record_batch(columns, ["list", "v", "members"])
+                columns = [pa.array(cells, pa.int32()), pa.array(lists, pa.list_(pa.int32())), part["v"], part["members"]]
+                yield pa.record_batch(columns, ["cell", "lists", "v", "members"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                asked = np.pad(_matrix(batch, "v"), ((0, 0), (0, 1)))
+                asked = np.pad(_vectors(batch["v"]), ((0, 0), (0, 1)))
                 # A query's length does not change which vectors are nearest.
                 asked *= longest / np.sqrt((asked**2).sum(axis=1))[:, None]
-                found = [shared.value.within(q, prune) for q in asked]
-                part = batch.take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
-                columns = [pa.array(np.concatenate(found), pa.int32()), part["v"], part["id"]]
-                yield pa.record_batch(columns, ["list", "v", "id"])
-
-    posted = stored(distinct.mapInArrow(post, "list int, v array<double>, members array<long>"))
-    per_list = posted.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    per_list = stored(per_list.select("list", blocks.alias("blocks")))
-    block = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
-    members = posted.join(F.broadcast(per_list), "list").select(
-        "list", block.alias("block"), F.lit(False).alias("is_query"), F.element_at("members", 1).alias("id"), "v", "members"
-    )
+                at, cells, lists, nearest = _by_cell([shared.value.within(q, prune) for q in asked])
+                part = batch.take(pa.array(at))
+                columns = [pa.array(cells, pa.int32()), pa.array(lists, pa.list_(pa.int32())), pa.array(nearest), part["v"], part["id"]]
+                yield pa.record_batch(columns, ["cell", "lists", "nearest", "v", "id"])
+
+    posted = stored(distinct.select("v", "members").mapInArrow(post, _POSTED))
     queries = rows.filter(is_query).dropDuplicates(["id"])
-    asked = (
-        queries.mapInArrow(ask, "list int, v array<double>, id long")
-        .join(F.broadcast(per_list), "list")
-        .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("is_query"), "id", "v")
+    asked = stored(queries.repartition("id").mapInArrow(ask, _ASKED))
+    # Cells with more rows or queries than one scan holds are dealt out both ways.
+    n_posted = posted.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    n_asked = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+    cells = n_posted.join(n_asked, "cell").select(
+        "cell",
+        F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
+        F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("turns"),
     )
-    found = (
-        members.unionByName(asked, allowMissingColumns=True)
-        .groupBy("list", "block")
-        .applyInArrow(_scan_block(k), _FOUND)
+    cells = F.broadcast(stored(cells))
+    members = posted.join(cells, "cell").select(
+        "cell",
+        F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"),
+        F.lit(False).alias("is_query"),
+        "lists",
+        "v",
+        "members",
     )
+
+    def scan(some: DataFrame) -> DataFrame:
+        sent = some.join(cells, "cell").select(
+            "cell",
+            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+            F.pmod(F.xxhash64("id"), F.col("turns")).cast("int").alias("turn"),
+            F.lit(True).alias("is_query"),
+            "lists",
+            "v",
+            "id",
+            "floor",
+        )
+        both = members.unionByName(sent, allowMissingColumns=True)
+        return both.groupBy("cell", "block", "turn").applyInArrow(_scan_cell(k), _FOUND)
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    low = F.lit(float("-inf"))
+    first = stored(scan(asked.filter("nearest").withColumn("floor", low)))
+    # The k-th best of the nearest cell; cut once more where that was searched in blocks.
+    ranked = first.withColumn("n", F.row_number().over(order)).filter(F.col("n") == k)
+    floors = stored(ranked.select(F.col("query_id").alias("id"), F.col("score").alias("floor")))
+    rest = asked.filter("NOT nearest").join(floors, "id", "left").withColumn("floor", F.coalesce("floor", low))
     return (
-        found.dropDuplicates(["query_id", "vec_id"])
+        first.unionByName(scan(rest))
+        .dropDuplicates(["query_id", "vec_id"])
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def _with_norm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            norm = (_vectors(batch["v"]) ** 2).sum(axis=1)
+            yield pa.record_batch([batch["v"], batch["members"], pa.array(norm)], ["v", "members", "norm"])
