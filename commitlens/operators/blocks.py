@@ -2,76 +2,68 @@
 
 A line of text belongs to the last header above it, an event to the last
 sign-up before it. Keys of ordinary size take one window. Hot keys are worked
-on chunk by chunk (see `skew`): a chunk learns what lies outside it from carry
-rows placed before or behind its own, so there is no join.
+on chunk by chunk (see `skew`): rows are numbered within their chunk, once, and
+what lies outside a chunk is added from a table with one row per chunk.
 """
 
+from __future__ import annotations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.operators.skew import CHUNK, MAX_GROUP_ROWS, split_hot_groups
+from commitlens.scratch import stored
 
 # Working columns; their names must not occur in the input.
-MARK, ID, ROWS, PLACE, START = "__mark", "__id", "__rows", "__place", "__start"
-FRONT, OWN, BACK = 0, 1, 2
-
-
-def _along_chunks(keys: list[str], start: int, end: int):
-    return Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(start, end)
-
-
-def _front_carries(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """For each chunk but a key's first: markers seen, open block's id and length."""
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    marker_at = F.when(F.col(MARK) == 1, F.col("at"))
-    chunks = (
-        rows.withColumn("at", F.row_number().over(inside))
-        .groupBy(*keys, CHUNK)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(MARK).alias("markers"),
-            F.max_by(ID, marker_at).alias("last_id"),
-            F.max(marker_at).alias("last_at"),
-        )
+MARK, ID, START = "__mark", "__id", "__start"
+AT, SEQ, OPENED, OPEN_ID = "__at", "__seq", "__opened", "__open_id"
+
+
+def _along_chunks(keys: list[str]):
+    return Window.partitionBy(*keys).orderBy(CHUNK)
+
+
+def _numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per row: its number, markers so far, and number and id of the last marker's row."""
+    so_far = (
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        rows.withColumn(AT, F.count(F.lit(1)).over(so_far))
+        .withColumn(SEQ, F.sum(MARK).over(so_far))
+        .withColumn(OPENED, F.last(F.when(F.col(MARK) == 1, F.col(AT)), ignorenulls=True).over(so_far))
+        .withColumn(OPEN_ID, F.last(ID, ignorenulls=True).over(so_far))
+    )
+
+
+def _carries(numbered: DataFrame, keys: list[str]) -> DataFrame:
+    """Per chunk, of its key's rows before it: markers, rows since the last one, its id."""
+    before = _along_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = numbered.groupBy(*keys, CHUNK).agg(
+        F.max(AT).alias("n"),
+        F.max(SEQ).alias("markers"),
+        F.max(OPENED).alias("last_at"),
+        F.max_by(OPEN_ID, AT).alias("last_id"),
     )
-    before = _along_chunks(keys, Window.unboundedPreceding, -1)
     rows_before = F.coalesce(F.sum("n").over(before), F.lit(0))
     return (
-        chunks.withColumn("first", F.sum("n").over(before).isNull())
-        .withColumn("rows_before", rows_before)
-        # Rows of the key that precede the chunk's last marker.
-        .withColumn("opened_after", F.col("rows_before") + F.col("last_at") - 1)
+        chunks.withColumn("rows_before", rows_before)
+        .withColumn("opened_at", F.col("rows_before") + F.col("last_at"))
         .select(
             *keys,
             CHUNK,
-            "first",
-            F.sum("markers").over(before).alias(MARK),
-            F.last("last_id", ignorenulls=True).over(before).alias(ID),
+            F.coalesce(F.sum("markers").over(before), F.lit(0)).alias("__markers_before"),
+            F.last("last_id", ignorenulls=True).over(before).alias("__id_before"),
             (
-                F.col("rows_before")
-                - F.coalesce(F.last("opened_after", ignorenulls=True).over(before), F.lit(0))
-            ).alias(ROWS),
-            F.lit(FRONT).alias(PLACE),
+                F.col("rows_before") - F.coalesce(F.last("opened_at", ignorenulls=True).over(before) - 1, F.lit(0))
+            ).alias("__rows_before"),
         )
-        .filter("NOT first")
-        .drop("first")
     )
 
 
-def _numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    so_far = (
-        Window.partitionBy(*keys)
-        .orderBy(PLACE, *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    opens = (F.col(PLACE) == OWN) & (F.col(MARK) == 1)
-    return (
-        rows.withColumn("block_seq", F.sum(MARK).over(so_far))
-        .withColumn("__at", F.sum(ROWS).over(so_far))
-        .withColumn("__opened", F.last(F.when(opens, F.col("__at") - 1), ignorenulls=True).over(so_far))
-        .withColumn("row_in_block", F.col("__at") - F.coalesce("__opened", F.lit(0)))
-        .withColumn("block_id", F.last(ID, ignorenulls=True).over(so_far)[0])
-        .filter(F.col(PLACE) == OWN)
+def _named(numbered: DataFrame, columns: list[str], seq: Column, open_id: Column, in_block: Column) -> DataFrame:
+    return numbered.select(
+        *columns, open_id[0].alias("block_id"), seq.alias("block_seq"), in_block.alias("row_in_block")
     )
 
 
@@ -95,29 +87,32 @@ def assign_blocks(
         marker.cast("long").alias(MARK),
         # In an array, so that a marker with a null id still ends the block before.
         F.when(marker, F.array(id_column)).alias(ID),
-        F.lit(1).cast("long").alias(ROWS),
-        F.lit(OWN).alias(PLACE),
     )
     ordinary, hot = split_hot_groups(rows, keys, order, max_group_rows)
-    wanted = [*df.columns, "block_id", "block_seq", "row_in_block"]
-    result = _numbered(ordinary, keys, order).select(*wanted)
+    at, seq, opened, open_id = (F.col(c) for c in (AT, SEQ, OPENED, OPEN_ID))
+    result = None
+    if ordinary is not None:
+        in_block = at - F.coalesce(opened - 1, F.lit(0))
+        result = _named(_numbered(ordinary, keys, order), df.columns, seq, open_id, in_block)
     if hot is None:
         return result
-    narrow = hot.select(*dict.fromkeys([*keys, CHUNK, *order, MARK, ID]))
-    with_carries = hot.unionByName(_front_carries(narrow, keys, order), allowMissingColumns=True)
-    return result.unionByName(_numbered(with_carries, [*keys, CHUNK], order).select(*wanted))
+    # Stored, because a lost task might otherwise draw other chunks.
+    numbered = stored(_numbered(hot.rows, [*keys, CHUNK], order))
+    carried = hot.with_chunk_values(numbered, stored(_carries(numbered, keys)), keys)
+    in_block = F.when(opened.isNull(), F.col("__rows_before") + at).otherwise(at - opened + 1)
+    found = _named(
+        carried,
+        df.columns,
+        seq + F.col("__markers_before"),
+        F.coalesce(open_id, F.col("__id_before")),
+        in_block,
+    )
+    return found if result is None else result.unionByName(found)
 
 
 def _bounds(starts: DataFrame, keys: list[str]) -> DataFrame:
-    along = Window.partitionBy(*keys).orderBy(PLACE, START)
-    return (
-        starts.withColumn("next", F.lead(START).over(along))
-        .withColumn(
-            "block_seq",
-            F.sum(ROWS).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-        .filter(F.col(PLACE) == OWN)
-    )
+    along = Window.partitionBy(*keys).orderBy(START)
+    return starts.withColumn("next", F.lead(START).over(along)).withColumn("block_seq", F.row_number().over(along).cast("long"))
 
 
 def block_bounds(
@@ -133,36 +128,36 @@ def block_bounds(
     `next_…` is where the key's next block starts, null for its last block.
     """
     starts = df.filter(is_marker).select(
-        *keys,
-        F.col(id_column).alias("block_id"),
-        F.struct(*order).alias(START),
-        F.lit(1).cast("long").alias(ROWS),
-        F.lit(OWN).alias(PLACE),
+        *keys, F.col(id_column).alias("block_id"), F.struct(*order).alias(START)
     )
-    wanted = [
-        *keys,
-        "block_id",
-        "block_seq",
-        *(F.col(START)[c].alias(f"start_{c}") for c in order),
-        *(F.col("next")[c].alias(f"next_{c}") for c in order),
-    ]
+
+    def wanted(seq: Column, following: Column) -> list:
+        return [
+            *keys,
+            "block_id",
+            seq.alias("block_seq"),
+            *(F.col(START)[c].alias(f"start_{c}") for c in order),
+            *(following[c].alias(f"next_{c}") for c in order),
+        ]
+
     ordinary, hot = split_hot_groups(starts, keys, [START], max_group_rows)
-    result = _bounds(ordinary, keys).select(*wanted)
+    result = None
+    if ordinary is not None:
+        result = _bounds(ordinary, keys).select(*wanted(F.col("block_seq"), F.col("next")))
     if hot is None:
         return result
-    chunks = hot.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("n"), F.min(START).alias(START))
-    front = chunks.select(
+    numbered = stored(_bounds(hot.rows, [*keys, CHUNK]))
+    along = _along_chunks(keys)
+    chunks = numbered.groupBy(*keys, CHUNK).agg(F.max("block_seq").alias("n"), F.min(START).alias("first"))
+    outside = chunks.select(
         *keys,
         CHUNK,
-        F.sum("n").over(_along_chunks(keys, Window.unboundedPreceding, -1)).alias(ROWS),
-        F.lit(FRONT).alias(PLACE),
-    ).filter(F.col(ROWS).isNotNull())
-    back = chunks.select(
-        *keys,
-        CHUNK,
-        F.lead(START).over(Window.partitionBy(*keys).orderBy(CHUNK)).alias(START),
-        F.lit(0).cast("long").alias(ROWS),
-        F.lit(BACK).alias(PLACE),
-    ).filter(F.col(START).isNotNull())
-    carried = hot.unionByName(front, allowMissingColumns=True).unionByName(back, allowMissingColumns=True)
-    return result.unionByName(_bounds(carried, [*keys, CHUNK]).select(*wanted))
+        F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.lead("first").over(along).alias("__after"),
+    )
+    carried = hot.with_chunk_values(numbered, stored(outside), keys)
+    # The lead is missing on a chunk's last row only.
+    found = carried.select(
+        *wanted(F.col("block_seq") + F.col("__before"), F.coalesce(F.col("next"), F.col("__after")))
+    )
+    return found if result is None else result.unionByName(found)

@@ -86,18 +86,65 @@ def test_ordinary_keys_take_one_shuffle_and_one_sort(spark, small):
     assert tree.count("Sort (") == 1
 
 
+def ordered(data):
+    out = {}
+    for k, _, _, _, _, value in sorted(data, key=lambda r: (r[2], r[3])):
+        out.setdefault(k, [])
+        if value is not None:
+            out[k].append(value)
+    return out
+
+
+def test_collect_ordered_is_one_row_per_key(spark):
+    data = made(3)
+    got = cl.collect_ordered(spark.createDataFrame(data, SCHEMA), ["k"], ["t", "u"], "id")
+    assert got.columns == ["k", "values"]
+    assert sorted(((r.k, r["values"]) for r in got.collect()), key=repr) == sorted(ordered(data).items(), key=repr)
+
+
 @pytest.mark.parametrize("bound", [1, 7, 50, 10_000])
-def test_collect_ordered(spark, bound):
+def test_positions_and_pieces_do_not_depend_on_the_bound(spark, bound):
     data = made(3)
     df = spark.createDataFrame(data, SCHEMA)
-    got = cl.collect_ordered(df, ["k"], ["t", "u"], "id", bound)
-    expected, pieces, sizes = {}, {}, {}
-    for k, _, t, u, _, value in sorted(data, key=lambda r: (r[2], r[3])):
-        sizes[k] = sizes.get(k, 0) + 1
-        if value is not None:
-            expected.setdefault(k, []).append(value)
-    for r in sorted(got.collect(), key=lambda r: r.part):
-        pieces.setdefault(r.k, []).append(r["values"])
-    assert {k: sum(p, []) for k, p in pieces.items()} == expected
-    for k, parts in pieces.items():
-        assert (len(parts) == 1) if sizes[k] <= bound else (len(parts) > 1 or bound * 2 > sizes[k])
+    want = ordered(data)
+    rows_ = cl.ordered_values(df, ["k"], ["t", "u"], "id", bound)
+    assert rows(rows_) == sorted(((k, i, v) for k, vs in want.items() for i, v in enumerate(vs, 1)), key=repr)
+    pieces = cl.collect_pieces(df, ["k"], ["t", "u"], "id", 4, bound)
+    assert pieces.columns == ["k", "part", "values"]
+    got = {(r.k, r.part): r["values"] for r in pieces.collect()}
+    assert got == {(k, at // 4): vs[at : at + 4] for k, vs in want.items() for at in range(0, len(vs), 4)}
+
+
+def test_values_that_are_all_null(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, None)], "k string, t int, v string")
+    assert cl.collect_ordered(df, ["k"], ["t"], "v").collect()[0]["values"] == []
+    assert cl.ordered_values(df, ["k"], ["t"], "v").count() == 0
+
+
+def test_hot_groups_without_broadcast(spark, monkeypatch):
+    """The joins shuffle where keys are too many or too wide; the result is the same."""
+    from commitlens.operators import skew
+
+    data = made(1)
+    df = spark.createDataFrame(data, SCHEMA)
+    for setting in ("MAX_BROADCAST_GROUPS", "MAX_BROADCAST_BYTES"):
+        monkeypatch.setattr(skew, setting, 0)
+        got = cl.assign_blocks(df, ["k", "j"], ["t", "u"], F.col("mark"), "id", 5)
+        assert rows(got) == brute_blocks(data)
+        monkeypatch.undo()
+
+
+def test_scope_frees_what_was_stored(spark):
+    import os
+
+    from commitlens.scratch import scope, shared_root
+
+    def kept():
+        return set(os.listdir(shared_root(spark).removeprefix("file:")))
+
+    before = kept()
+    with scope(spark):
+        df = spark.createDataFrame(made(1), SCHEMA)
+        assert cl.assign_blocks(df, ["k"], ["t", "u"], F.col("mark"), "id", 2).count()
+        assert kept() > before
+    assert kept() == before
