@@ -5,13 +5,18 @@ from pyspark.sql import functions as F
 
 # Every character Python's str.strip() treats as white space; none lies above U+3000.
 WHITESPACE = "".join(filter(str.isspace, map(chr, range(0x3001))))
+# A text that begins or ends with one of these or with anything not ASCII.
+_EDGE = r"^[^!-~]|[^!-~]$"
 
 
 def strip(text: Column) -> Column:
-    """Strip white space of every kind (plain `trim` strips spaces only)."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Strip white space of every kind (plain `trim` strips spaces only).
+
+    The wide set is tried only where an end of the text is no plain character.
+    """
+    return F.when(text.rlike(_EDGE), F.trim(text, F.lit(WHITESPACE))).otherwise(text)
 
 
 def after(prefix: str, line: Column) -> Column:
     """The stripped rest of `line` after `prefix`."""
-    return strip(F.substr(line, F.lit(len(prefix) + 1)))
+    return strip(F.ltrim(F.substr(line, F.lit(len(prefix) + 1))))

@@ -4,11 +4,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.text import after, strip
-from commitlens.schema import COMMITS_SCHEMA
+from commitlens.schema import COMMITS_SCHEMA, REJECTS_TYPE
 
-HASH_LINE = r"^(?:commit: )?([a-f0-9]{40})$"
+# What a log's lines look like.
+HASH = r"^(?:[a-f0-9]{40}|[a-f0-9]{64})$"
 FILE_LINE = r"^[A-Z][0-9]*\t"
-DATE_FORMAT = "yyyy-MM-dd HH:mm:ss Z"
+COMMIT, PARENTS, MESSAGE, AUTHOR, DATE = "commit: ", "parents:", "message:", "author:", "date:"
+LOCAL_TIME = "yyyy-MM-dd HH:mm:ss"
+OFFSET = r"^[+-](?:[01][0-9]|2[0-3])[0-5][0-9]$"
 
 
 def _lines(block: Column) -> Column:
@@ -20,13 +23,31 @@ def _lines(block: Column) -> Column:
 
 def _author_index(lines: Column) -> Column:
     """0-based position of the author line; 3 unless the subject spans lines."""
-    usual = F.get(lines, F.lit(3)).startswith("author:")
-    before = F.substring_index(F.array_join(lines, "\n"), "\nauthor:", 1)
+    usual = F.get(lines, F.lit(3)).startswith(AUTHOR)
+    before = F.substring_index(F.array_join(lines, "\n"), f"\n{AUTHOR}", 1)
     return F.when(usual, F.lit(3)).otherwise(F.greatest(F.size(F.split(before, "\n")), F.lit(3)))
 
 
 def _is_file_line(line: Column) -> Column:
-    return line.rlike(FILE_LINE)
+    """A status letter, perhaps a score, a tab; most lines show it in two characters."""
+    plain = (F.substring(line, 2, 1) == "\t") & F.substring(line, 1, 1).between("A", "Z")
+    return plain | (line.contains("\t") & line.rlike(FILE_LINE))
+
+
+def _first_hash(line: Column) -> Column:
+    return F.when(line.startswith(COMMIT), F.substr(line, F.lit(len(COMMIT) + 1))).otherwise(line)
+
+
+def _instant(dated: Column) -> Column:
+    """Local time less its offset, which may be any below 24 hours; null if either is malformed."""
+    local, offset = F.substring(dated, 1, 19), F.substring(dated, 21, 10)
+    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
+    east = F.when(offset.startswith("-"), -minutes).otherwise(minutes)
+    # As if the clock were at offset zero, whatever the session's time zone.
+    there = F.try_to_timestamp(F.concat(local, F.lit(" +0000")), F.lit(f"{LOCAL_TIME} Z"))
+    seconds = F.unix_seconds(there) - east * 60
+    well = (F.substring(dated, 20, 1) == " ") & offset.rlike(OFFSET)
+    return F.when(well, F.timestamp_seconds(seconds))
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:
@@ -36,48 +57,58 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     `header` (the five header lines are not all there) or `date`. `extra` holds
     the lines after the date, file lines and strays alike. Every block gives one
     row; nothing is dropped here. There is no shuffle and no Python worker.
+
+    Only what `reject` needs is worked out in every case; a column that a query
+    does not ask for is not.
     """
     lines, at = F.col("lines"), F.col("author_at")
     located = blocks.withColumn("lines", _lines(F.col("block"))).withColumn(
         "author_at", _author_index(lines)
     )
-    parents_line, subject_line = F.get(lines, F.lit(1)), F.get(lines, F.lit(2))
-    author_line, date_line = F.get(lines, at), F.get(lines, at + 1)
-    subject = F.array_join(F.slice(lines, F.lit(3), at - 2), " ")
+    hashed = _first_hash(F.get(lines, F.lit(0)))
+    dated = F.get(lines, at + 1)
     cut = located.select(
         "repo_id",
         "block",
-        F.regexp_extract(F.get(lines, F.lit(0)), HASH_LINE, 1).alias("commit_hash"),
-        F.when(parents_line.startswith("parents:"), after("parents:", parents_line)).alias("parents"),
-        F.when(subject_line.startswith("message:"), after("message:", subject)).alias("message"),
-        F.when(author_line.startswith("author:"), F.lower(after("author:", author_line))).alias("author"),
-        F.when(date_line.startswith("date:"), after("date:", date_line)).alias("dated"),
-        F.slice(lines, at + 3, F.greatest(F.size(lines) - at - 2, F.lit(0))).alias("extra"),
-    ).withColumn("committed_at", F.try_to_timestamp("dated", F.lit(DATE_FORMAT)))
+        "lines",
+        "author_at",
+        F.when(hashed.rlike(HASH), hashed).alias("commit_hash"),
+        F.when(dated.startswith(DATE), after(DATE, dated)).alias("dated"),
+        (
+            F.get(lines, F.lit(1)).startswith(PARENTS)
+            & F.get(lines, F.lit(2)).startswith(MESSAGE)
+            & F.get(lines, at).startswith(AUTHOR)
+        ).alias("headed"),
+    ).withColumn("committed_at", _instant(F.col("dated")))
     # Spark would push a filter on `reject` down to the scan and so parse every
     # block twice; it does not push one below a generator.
     kept = ["repo_id", "block"]
     fields = [c for c in cut.columns if c not in kept]
     once = cut.select(*kept, F.inline(F.array(F.struct(*fields))))
-    headed = (F.col("commit_hash") != "") & F.concat("parents", "message", "author", "dated").isNotNull()
+    headed = F.col("headed") & F.col("commit_hash").isNotNull() & F.col("dated").isNotNull()
+    author = F.lower(after(AUTHOR, F.get(lines, at)))
+    extra = F.slice(lines, at + 3, F.greatest(F.size(lines) - at - 2, F.lit(0)))
+    subject = F.when(at == 3, F.get(lines, F.lit(2))).otherwise(F.array_join(F.slice(lines, F.lit(3), at - 2), " "))
     return once.select(
-        "author",
-        F.lower(F.substring("author", 1, 1)).alias("author_first_char"),
+        author.alias("author"),
+        F.lower(F.substring(author, 1, 1)).alias("author_first_char"),
         "commit_hash",
         F.substring("dated", 1, 10).try_cast("date").alias("date"),
         F.concat(F.substring("dated", 12, 8), F.substring("dated", 21, 5)).alias("timestamp"),
         F.transform(
-            F.filter("extra", _is_file_line),
+            F.filter(extra, _is_file_line),
             lambda x: F.struct(
                 F.substring(x, 1, 1).alias("status"), strip(F.substr(x, F.lit(2))).alias("filename")
             ),
         ).alias("files"),
-        "message",
-        F.array_remove(F.split("parents", r"\s+"), "").alias("parents"),
+        after(MESSAGE, subject).alias("message"),
+        F.array_remove(F.split(after(PARENTS, F.get(lines, F.lit(1))), r"\s+"), "").alias("parents"),
         "repo_id",
         "committed_at",
-        F.when(~headed, "header").when(F.col("committed_at").isNull(), "date").alias("reject"),
-        "extra",
+        F.when(~F.coalesce(headed, F.lit(False)), "header")
+        .when(F.col("committed_at").isNull() | F.substring("dated", 1, 10).try_cast("date").isNull(), "date")
+        .alias("reject"),
+        extra.alias("extra"),
         "block",
     )
 
@@ -87,6 +118,18 @@ def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.filter("reject IS NULL").select(*COMMITS_SCHEMA.names)
 
 
+def _rejected() -> Column:
+    """Null where nothing is: the block that was not ingested, or its stray lines."""
+    body = F.rtrim(F.regexp_replace("block", "^commit: ", ""), F.lit("\r\n"))
+    bad_block = F.array(F.struct(F.col("reject").alias("reason"), body.alias("text")))
+    strays = F.transform(
+        F.filter("extra", lambda x: ~_is_file_line(x)),
+        lambda x: F.struct(F.lit("stray").alias("reason"), x.alias("text")),
+    )
+    some = F.size("files") < F.size("extra")
+    return F.when(F.col("reject").isNotNull(), bad_block).when(some, strays)
+
+
 def rejects(parsed: DataFrame) -> DataFrame:
     """`(repo_id, reason, text)`: every block not ingested and every stray line.
 
@@ -94,11 +137,20 @@ def rejects(parsed: DataFrame) -> DataFrame:
     file line, such as a warning git printed into the log. A block's text comes
     without its `commit: ` and without line ends behind it, wherever it stood.
     """
-    body = F.rtrim(F.regexp_replace("block", "^commit: ", ""), F.lit("\r\n"))
-    bad_block = F.array(F.struct(F.col("reject").alias("reason"), body.alias("text")))
-    strays = F.transform(
-        F.filter("extra", lambda x: ~_is_file_line(x)),
-        lambda x: F.struct(F.lit("stray").alias("reason"), x.alias("text")),
+    return parsed.select("repo_id", F.inline(_rejected()))
+
+
+def sorted_out(parsed: DataFrame) -> DataFrame:
+    """Rows for the table's two kinds: commits, and blocks that are none, with nulls for columns.
+
+    `rejects` holds a block's rejected text, null where there is none.
+    """
+    good = F.col("reject").isNull()
+    columns = [
+        F.col(c) if c == "repo_id" else F.when(good, F.col(c)).alias(c) for c in COMMITS_SCHEMA.names
+    ]
+    return parsed.select(
+        *columns,
+        F.when(good, "commits").otherwise("rejects").alias("kind"),
+        _rejected().cast(REJECTS_TYPE).alias("rejects"),
     )
-    found = F.when(F.col("reject").isNotNull(), bad_block).otherwise(strays)
-    return parsed.select("repo_id", F.inline(found))

@@ -3,34 +3,40 @@
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from commitlens.operators.ingest import parse_blocks, rejects, well_formed
-from commitlens.sources.commits import replace_repos
+from commitlens.operators.ingest import parse_blocks, sorted_out
+from commitlens.sources.commits import load
 from commitlens.sources.gitlog import read_blocks
 
 
 def ingest_logs(
-    spark: SparkSession, logs: str | list[str], root: str, rejects_to: str | None = None
+    spark: SparkSession, logs: str | list[str], root: str, overlapping: bool = False
 ) -> dict[str, int]:
     """Ingest git logs into the commits table at `root`, repository by repository.
 
     Returns the number of blocks read, of blocks rejected and of stray lines,
-    counted during the same pass. With `rejects_to`, rejected text is appended
-    there as parquet; that reads the logs once more, and only if there is any.
+    counted during the same pass; the rejected text itself goes into the table,
+    for `read_rejects`. Logs are read and parsed once.
+
+    A commit that occurs twice in a repository's log is two rows. With
+    `overlapping`, for logs whose part files overlap, it is one, which takes one
+    more exchange.
     """
     paths = [logs] if isinstance(logs, str) else list(logs)
-    parsed = parse_blocks(read_blocks(spark, *paths))
+    rows = sorted_out(parse_blocks(read_blocks(spark, *paths)))
+    strays = F.when(F.col("kind") == "commits", F.size("rejects"))
     metrics = [
         F.count(F.lit(1)).alias("blocks"),
-        F.count_if(F.col("reject").isNotNull()).alias("rejected_blocks"),
-        F.coalesce(
-            F.sum(F.when(F.col("reject").isNull(), F.size("extra") - F.size("files"))), F.lit(0)
-        ).alias("stray_lines"),
+        F.count_if(F.col("kind") == "rejects").alias("rejected_blocks"),
+        F.coalesce(F.sum(F.when(F.col("rejects").isNotNull(), strays)), F.lit(0)).alias("stray_lines"),
     ]
     seen = Observation("ingest")
-    replaced = replace_repos(spark, well_formed(parsed.observe(seen, *metrics)), root)
+    observed = rows.observe(seen, *metrics)
+    if overlapping:
+        whole = F.when(F.col("kind") == "rejects", F.xxhash64("rejects"))
+        observed = observed.withColumn("__whole", whole).dropDuplicates(["repo_id", "kind", "commit_hash", "__whole"])
+        observed = observed.drop("__whole")
+    written = load(spark, observed, root)
     # Without a row to write, adaptive execution drops the plan and its metrics.
-    counts = dict(seen.get) if replaced else parsed.agg(*metrics).first().asDict()
-    if rejects_to and (counts["rejected_blocks"] or counts["stray_lines"]):
-        rejects(parsed).write.mode("append").parquet(rejects_to)
-    return counts
-
+    if written or rows.limit(1).count():
+        return dict(seen.get)
+    return {"blocks": 0, "rejected_blocks": 0, "stray_lines": 0}

@@ -24,6 +24,10 @@ COMMITS_SCHEMA = T.StructType(
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
+# What was not ingested from a block: the whole of it, or single lines.
+REJECTS_TYPE = T.ArrayType(
+    T.StructType([T.StructField("reason", T.StringType()), T.StructField("text", T.StringType())])
+)
 PARTITION_COLUMNS = ["repo_id", "author_first_char"]
 VIEW_NAME = "commits"
 

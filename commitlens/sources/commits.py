@@ -1,21 +1,102 @@
-"""The commits table on shared storage: parquet under `repo_id=/author_first_char=`."""
+"""The commits table on shared storage.
 
+Every load writes its rows under a folder of its own:
+
+    load=<id>/kind=commits/repo_id=<repository>/author_first_char=<letter>/*.parquet
+    load=<id>/kind=rejects/repo_id=<repository>/...
+
+and then publishes a pointer file that names, for each repository, the load that
+holds it. Publishing is one rename of one small file: readers see the table before
+a load or after it, never between, and no data moves. What a load replaced is kept
+until the next one, for readers that have just begun. Loads that were never
+published are swept by the next load, so one load may run at a time.
+"""
+
+from __future__ import annotations
+
+import json
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS
-from commitlens.sources.files import filesystem, hadoop_path
+from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, REJECTS_TYPE
+from commitlens.sources.files import delete, names_in, read_text, rename, write_text
 
 MAX_RECORDS_PER_FILE = 5_000_000
-SWAP_THREADS = 16
+POINTER = "_pointer-"
+COMMITS, REJECTS = "commits", "rejects"
 
 
-def _repo_dir(spark: SparkSession, repo_id: str) -> str:
+def _partition(spark: SparkSession, column: str, value: str) -> str:
     utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return utils.getPartitionPathString("repo_id", repo_id)
+    return utils.getPartitionPathString(column, value)
+
+
+class Pointer:
+    """What a pointer file says.
+
+    `commits`, `rejects` and `strays` map a repository's folder name to the load that
+    holds its commits, its rejected blocks, and the stray lines kept with its
+    commits. `written` counts the repositories of each load and kind, `retired`
+    lists folders that the last load replaced.
+    """
+
+    def __init__(self, number: int = 0, said: dict | None = None):
+        said = said or {}
+        self.number = number
+        self.commits: dict[str, str] = said.get("commits", {})
+        self.rejects: dict[str, str] = said.get("rejects", {})
+        self.strays: dict[str, str] = said.get("strays", {})
+        self.written: dict[str, int] = said.get("written", {})
+        self.retired: list[str] = said.get("retired", [])
+
+    @classmethod
+    def read(cls, spark: SparkSession, root: str) -> Pointer:
+        """The newest pointer; an empty one where nothing was ever published."""
+        numbers = [int(n.removeprefix(POINTER)) for n in names_in(spark, root) if n.startswith(POINTER)]
+        if not numbers:
+            return cls()
+        newest = max(numbers)
+        return cls(newest, json.loads(read_text(spark, f"{root}/{POINTER}{newest:012d}")))
+
+    def publish(self, spark: SparkSession, root: str) -> None:
+        said = {k: v for k, v in vars(self).items() if k != "number"}
+        made = f"{root}/_making-{uuid.uuid4().hex}"
+        write_text(spark, made, json.dumps(said))
+        rename(spark, made, f"{root}/{POINTER}{self.number + 1:012d}")
+
+    def folders(self, root: str, kind: str, wanted: dict[str, str]) -> list[str]:
+        """Folders of these repositories; a load's whole folder where all of it is wanted."""
+        by_load = defaultdict(list)
+        for repo, load in wanted.items():
+            by_load[load].append(repo)
+        out = []
+        for load, repos in by_load.items():
+            folder = f"{root}/load={load}/kind={kind}"
+            whole = len(repos) == self.written.get(f"{load}/{kind}")
+            out += [folder] if whole else [f"{folder}/{repo}" for repo in sorted(repos)]
+        return out
+
+    def used(self) -> set[str]:
+        """Folders, below the root, that the table consists of."""
+        found = {f"load={load}/kind={COMMITS}/{repo}" for repo, load in self.commits.items()}
+        return found | {f"load={load}/kind={REJECTS}/{repo}" for repo, load in self.rejects.items()}
+
+
+def _read(spark: SparkSession, root: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*folders).select(*schema.names)
+
+
+def _chosen(spark: SparkSession, places: dict[str, str], repos: list[str] | None) -> dict[str, str]:
+    if repos is None:
+        return places
+    names = [_partition(spark, "repo_id", repo) for repo in dict.fromkeys(repos)]
+    return {name: places[name] for name in names if name in places}
 
 
 def read_commits(spark: SparkSession, root: str, repos: list[str] | None = None) -> DataFrame:
@@ -24,70 +105,103 @@ def read_commits(spark: SparkSession, root: str, repos: list[str] | None = None)
     The schema is given, so keys that look like numbers stay text and an empty
     table reads as no rows. Repositories that are not there add no rows.
     """
-    reader = spark.read.schema(COMMITS_SCHEMA).option("basePath", root)
-    if repos is None:
-        found = [root]
-    else:
-        fs = filesystem(spark, root)
-        folders = [f"{root}/{_repo_dir(spark, repo)}" for repo in dict.fromkeys(repos)]
-        found = [folder for folder in folders if fs.exists(hadoop_path(spark, folder))]
-    commits = reader.parquet(*found) if found else spark.createDataFrame([], COMMITS_SCHEMA)
+    pointer = Pointer.read(spark, root)
+    places = _chosen(spark, pointer.commits, repos)
+    commits = _read(spark, root, COMMITS_SCHEMA, pointer.folders(root, COMMITS, places))
     # An empty author's key is stored as the null partition.
     return commits.withColumn(
         "author_first_char", F.coalesce("author_first_char", F.lit(""))
     ).select(*COMMITS_SCHEMA.names)
 
 
+def read_rejects(spark: SparkSession, root: str, repos: list[str] | None = None) -> DataFrame:
+    """`(repo_id, reason, text)` of each repository's last load, for those or for all.
+
+    Blocks that were not ingested, and stray lines of those that were.
+    """
+    pointer = Pointer.read(spark, root)
+    schema = T.StructType([T.StructField("repo_id", T.StringType()), T.StructField("rejects", REJECTS_TYPE)])
+    parts = [
+        _read(spark, root, schema, pointer.folders(root, kind, _chosen(spark, places, repos)))
+        for kind, places in ((REJECTS, pointer.rejects), (COMMITS, pointer.strays))
+    ]
+    return parts[0].unionByName(parts[1]).filter("rejects IS NOT NULL").select("repo_id", F.inline("rejects"))
+
+
 def list_repos(spark: SparkSession, root: str) -> DataFrame:
-    """The repositories in the table; only partition values and footers are read."""
-    return read_commits(spark, root).select("repo_id").distinct()
+    """The repositories in the table, from the pointer alone."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    names = [name.removeprefix("repo_id=") for name in sorted(Pointer.read(spark, root).commits)]
+    return spark.createDataFrame([(utils.unescapePathName(name),) for name in names], "repo_id string")
 
 
-def _laid_out(commits: DataFrame) -> DataFrame:
+def _sweep(spark: SparkSession, root: str, pointer: Pointer) -> None:
+    """Delete what no reader can have open: loads never published, and the last load's leavings."""
+    loads = {place.split("/")[0] for place in pointer.used()}
+    for name in names_in(spark, root):
+        old = name.startswith(POINTER) and int(name.removeprefix(POINTER)) < pointer.number
+        if old or name.startswith("_making-") or (name.startswith("load=") and name not in loads):
+            delete(spark, f"{root}/{name}")
+    for place in pointer.retired:
+        delete(spark, f"{root}/{place}")
+
+
+def _laid_out(rows: DataFrame) -> DataFrame:
     """One exchange: rows gather by partition folder, and a folder that is too
     large for one task is split (AQE rebalancing). Sorting by author lets a
     lookup skip row groups."""
-    return commits.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(
-        *PARTITION_COLUMNS, "author"
-    )
+    folder = ["kind", *PARTITION_COLUMNS]
+    return rows.hint("rebalance", *folder).sortWithinPartitions(*folder, "author")
 
 
-def replace_repos(
-    spark: SparkSession, commits: DataFrame, root: str, repos: list[str] | None = None
-) -> int:
-    """Write `commits`, replacing every repository that occurs in it; returns how many.
+def load(spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | None = None) -> int:
+    """Publish `rows` as the new content of their repositories; returns how many have commits.
 
-    With `repos`, exactly those are replaced, by nothing if they have no rows.
+    `rows` has the table's columns, `kind` (commits or rejects) and `rejects`. A
+    repository with rejects only keeps its commits. With `repos`, exactly those
+    are replaced, by nothing if they have no commits.
 
-    All rows are first written to a staging folder inside the table (readers
-    skip names that start with `_`), then each repository's folder is swapped in
-    by rename. A failed job leaves the table as it was; running it again gives
-    the same table. A reader may miss a repository during its swap.
+    A job that dies before it publishes leaves the table as it was.
     """
+    before = Pointer.read(spark, root)
+    _sweep(spark, root, before)
     if repos is not None:
-        commits = commits.filter(F.col("repo_id").isin(list(repos)))
-    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+        rows = rows.filter(F.col("repo_id").isin(list(repos)))
+    name = uuid.uuid4().hex
+    folder = f"{root}/load={name}"
     (
-        _laid_out(commits)
-        .write.partitionBy(*PARTITION_COLUMNS)
+        _laid_out(rows)
+        .write.partitionBy("kind", *PARTITION_COLUMNS)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .parquet(staging)
+        .parquet(folder)
     )
-    fs = filesystem(spark, root)
-    written = {s.getPath().getName() for s in fs.listStatus(hadoop_path(spark, staging)) if s.isDirectory()}
-    emptied = {_repo_dir(spark, repo) for repo in repos or []} - written
-
-    def swap(folder: str) -> None:
-        fs.delete(hadoop_path(spark, root, folder), True)
-        if folder in written and not fs.rename(
-            hadoop_path(spark, staging, folder), hadoop_path(spark, root, folder)
-        ):
-            raise OSError(f"cannot move {staging}/{folder} to {root}")
-
-    with ThreadPoolExecutor(SWAP_THREADS) as pool:
-        list(pool.map(swap, written | emptied))
-    fs.delete(hadoop_path(spark, staging), True)
-    return len(written)
+    found = {
+        kind: {n for n in names_in(spark, f"{folder}/kind={kind}") if "=" in n} for kind in (COMMITS, REJECTS)
+    }
+    emptied = {_partition(spark, "repo_id", repo) for repo in repos or []} - found[COMMITS]
+    after = Pointer(before.number)
+    seen = found[COMMITS] | found[REJECTS]
+    after.commits = {r: n for r, n in before.commits.items() if r not in emptied} | dict.fromkeys(found[COMMITS], name)
+    after.rejects = {r: n for r, n in before.rejects.items() if r not in seen | emptied} | dict.fromkeys(found[REJECTS], name)
+    after.strays = {r: n for r, n in before.strays.items() if r not in seen | emptied} | dict.fromkeys(found[COMMITS], name)
+    counts = before.written | {f"{name}/{kind}": len(repos_) for kind, repos_ in found.items()}
+    loads = {place.split("/")[0].removeprefix("load=") for place in after.used()}
+    after.written = {key: n for key, n in counts.items() if key.split("/")[0] in loads}
+    after.retired = sorted(before.used() - after.used())
+    after.publish(spark, root)
+    return len(found[COMMITS])
+
+
+def replace_repos(
+    spark: SparkSession, commits: DataFrame, root: str, repos: list[str] | None = None
+) -> int:
+    """Replace every repository that occurs in `commits`; returns how many.
+
+    With `repos`, exactly those are replaced, by nothing if they have no rows.
+    Their rejects go.
+    """
+    rows = commits.withColumn("kind", F.lit(COMMITS)).withColumn("rejects", F.lit(None).cast(REJECTS_TYPE))
+    return load(spark, rows, root, repos)
 
 
 def replace_repo(spark: SparkSession, commits: DataFrame, root: str, repo_id: str) -> None:

@@ -3,9 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 import commitlens as cl
+from commitlens.sources import commits as table
+from commitlens.sources.commits import Pointer
 from tests.conftest import plan_of, rows
 from tests.test_ingest import H, commit
 
@@ -23,10 +26,12 @@ def hashes(df):
 
 
 def folders(root):
+    """What the table's files are: repository and letter of each folder that is read."""
+    pointer = Pointer.read(SparkSession.active(), root)
     return sorted(
         f"{repo}/{letter}"
-        for repo in os.listdir(root) if "=" in repo
-        for letter in os.listdir(f"{root}/{repo}") if "=" in letter
+        for repo, load in pointer.commits.items()
+        for letter in os.listdir(f"{root}/load={load}/kind=commits/{repo}") if "=" in letter
     )
 
 
@@ -37,15 +42,97 @@ def root(tmp_path):
 
 def test_ingest_reports_counts_and_keeps_rejects(spark, tmp_path, root):
     logs = write_logs(
-        tmp_path / "logs", a_b=["warning: x", commit(H["1"], files=["M\tf", "warning: y"]), commit(H["2"])]
+        tmp_path / "logs", a_b=["warning: x", commit(H["1"], files=["M\tf", "warning: y"]), commit(H["2"])],
+        c_d=["fatal: z"], e_f=[commit(H["3"])],
     )
-    aside = str(tmp_path / "rejects")
-    assert cl.ingest_logs(spark, logs, root, aside) == {
-        "blocks": 3, "rejected_blocks": 1, "stray_lines": 1,
+    counts = {"blocks": 5, "rejected_blocks": 2, "stray_lines": 1}
+    want = [("a_b", "header", "warning: x"), ("a_b", "stray", "warning: y"), ("c_d", "header", "fatal: z")]
+    # A second load replaces rejects as it replaces commits.
+    for _ in range(2):
+        assert cl.ingest_logs(spark, logs, root) == counts
+        assert rows(cl.read_rejects(spark, root)) == want
+    assert rows(cl.read_rejects(spark, root, ["c_d", "no_ne"])) == want[2:]
+    assert rows(cl.read_rejects(spark, root, ["e_f"])) == []
+    cl.ingest_logs(spark, write_logs(tmp_path / "2", a_b=[commit(H["1"])]), root)
+    assert rows(cl.read_rejects(spark, root)) == want[2:]
+
+
+def test_rejects_cost_no_second_parse(spark, tmp_path, root):
+    logs = write_logs(tmp_path / "logs", a_b=["warning: x", commit(H["1"])])
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList
+    before = executions().size()
+    cl.ingest_logs(spark, logs, root)
+    plans = [executions().apply(i).physicalPlanDescription() for i in range(before, executions().size())]
+    assert sum("Scan text" in plan for plan in plans) == 1
+    assert "Scan text" not in plan_of(cl.read_rejects(spark, root))
+
+
+def test_one_row_per_commit_of_overlapping_logs(spark, tmp_path, root):
+    parts = tmp_path / "logs" / "a_b.gitlog"
+    os.makedirs(parts)
+    for i, names in enumerate(("12", "23")):
+        (parts / f"{i}.txt").write_text("\n".join(["warning: x", *(commit(H[n]) for n in names)]))
+    cl.ingest_logs(spark, str(tmp_path / "logs"), root)
+    assert hashes(cl.read_commits(spark, root)) == [H["1"], H["2"], H["2"], H["3"]]
+    cl.ingest_logs(spark, str(tmp_path / "logs"), root, overlapping=True)
+    assert hashes(cl.read_commits(spark, root)) == [H["1"], H["2"], H["3"]]
+    assert rows(cl.read_rejects(spark, root)) == [("a_b", "header", "warning: x")]
+
+
+def test_no_logs_at_all(spark, tmp_path, root):
+    os.makedirs(tmp_path / "logs")
+    (tmp_path / "logs" / "other.txt").write_text(commit(H["1"]))
+    assert cl.ingest_logs(spark, str(tmp_path / "logs"), root) == {
+        "blocks": 0, "rejected_blocks": 0, "stray_lines": 0,
     }
-    assert rows(spark.read.parquet(aside).select("reason", "text")) == [
-        ("header", "warning: x"), ("stray", "warning: y"),
-    ]
+    assert cl.read_commits(spark, root).count() == 0
+
+
+@pytest.mark.parametrize("step", ["write_text", "rename", "names_in", "delete"])
+def test_a_load_that_dies_leaves_old_or_new_rows(spark, tmp_path, root, monkeypatch, step):
+    """Whatever step fails, readers see a whole table, and the next load sweeps up."""
+    old = write_logs(tmp_path / "1", a_b=[commit(H["1"]), commit(H["2"])], c_d=[commit(H["5"])])
+    new = write_logs(tmp_path / "2", a_b=[commit(H["3"])])
+    cl.ingest_logs(spark, old, root)
+    cl.ingest_logs(spark, old, root)
+    real, left = getattr(table, step), [0]
+
+    def dies(*args):
+        if left[0] == 0:
+            raise OSError("the driver is gone")
+        left[0] -= 1
+        return real(*args)
+
+    for calls in range(6):
+        left[0] = calls
+        monkeypatch.setattr(table, step, dies)
+        try:
+            cl.ingest_logs(spark, new, root)
+        except OSError:
+            pass
+        monkeypatch.setattr(table, step, real)
+        assert hashes(cl.read_commits(spark, root)) in ([H["1"], H["2"], H["5"]], [H["3"], H["5"]])
+    cl.ingest_logs(spark, new, root)
+    assert hashes(cl.read_commits(spark, root)) == [H["3"], H["5"]]
+    cl.ingest_logs(spark, new, root)
+    cl.ingest_logs(spark, new, root)
+    # Two repositories, each with the load that holds it, and what the last one replaced.
+    assert len([n for n in os.listdir(root) if n.startswith("load=")]) == 3
+    assert not [n for n in os.listdir(root) if n.startswith("_making")]
+
+
+def test_a_reader_that_has_begun_sees_its_rows_through_a_load(spark, tmp_path, root):
+    cl.ingest_logs(spark, write_logs(tmp_path / "1", a_b=[commit(H["1"])]), root)
+    begun = cl.read_commits(spark, root)
+    cl.ingest_logs(spark, write_logs(tmp_path / "2", a_b=[commit(H["2"])]), root)
+    assert hashes(begun) == [H["1"]]
+    assert hashes(cl.read_commits(spark, root)) == [H["2"]]
+
+
+def test_repositories_come_from_the_pointer(spark, tmp_path, root):
+    cl.ingest_logs(spark, write_logs(tmp_path / "logs", **{"a_b": [commit(H["1"])], "1%2 c": [commit(H["2"])]}), root)
+    assert rows(cl.list_repos(spark, root)) == [("1%2 c",), ("a_b",)]
+    assert "FileScan" not in plan_of(cl.list_repos(spark, root))
 
 
 def test_ingest_twice_is_ingest_once(spark, tmp_path, root):
@@ -54,7 +141,6 @@ def test_ingest_twice_is_ingest_once(spark, tmp_path, root):
     once = rows(cl.read_commits(spark, root))
     cl.ingest_logs(spark, logs, root)
     assert rows(cl.read_commits(spark, root)) == once
-    assert not [name for name in os.listdir(root) if "staging" in name]
 
 
 def test_reingest_drops_what_is_gone_and_only_there(spark, tmp_path, root):
@@ -164,7 +250,9 @@ def test_hot_folder_is_split(spark, tmp_path, root):
         cl.replace_repos(spark, full.repartition(16), root)
     finally:
         spark.conf.set(setting, before)
-    written = [f for f in os.listdir(f"{root}/repo_id=a_b/author_first_char=a") if f.endswith(".parquet")]
+    (load,) = Pointer.read(spark, root).commits.values()
+    folder = f"{root}/load={load}/kind=commits/repo_id=a_b/author_first_char=a"
+    written = [f for f in os.listdir(folder) if f.endswith(".parquet")]
     assert len(written) > 1
     assert cl.read_commits(spark, root).select("commit_hash").distinct().count() == 40_000
 
