@@ -29,6 +29,8 @@ GROUP BY author
 ORDER BY n_files DESC, author
 LIMIT 5;
 """
+SELECTED_SQL = """
+SELECT repo_id, count(*) AS commits, count(DISTINCT author) AS authors FROM commits GROUP BY repo_id"""
 SOME_REPOS = ["org_p2", "org_p4", "org_p5"]
 
 
@@ -76,6 +78,55 @@ def _ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.rejects(_parsed(spark, sf_dir))
 
 
+def _with_lists(commits: DataFrame) -> DataFrame:
+    """Scalars, parents as text, and files as sorted text."""
+    files = F.array_sort(F.transform("files", lambda f: F.concat_ws(":", f["status"], f["filename"])))
+    return commits.select(
+        *_scalars(commits).columns[:6],
+        F.unix_seconds("committed_at").alias("committed_at"),
+        "message",
+        F.array_join("parents", " ").alias("parents"),
+        F.array_join(files, "|").alias("files"),
+    )
+
+
+def _commits_after_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingested, ingested again a day later, and a repository whose log has gone emptied."""
+    root = f"{fresh_folder(spark)}/commits"
+    cl.ingest_logs(spark, bridge.logs_of(spark, sf_dir), root)
+    later = bridge.later_logs_of(spark, sf_dir)
+    cl.ingest_logs(spark, later, root)
+    cl.replace_repo(spark, cl.well_formed(cl.parse_blocks(cl.read_blocks(spark, later))), root, "org_p5")
+    return _with_lists(cl.read_commits(spark, root))
+
+
+def _rejects_after_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected text of the last load, out of the table."""
+    logs, root = bridge.logs_of(spark, sf_dir), f"{fresh_folder(spark)}/commits"
+    cl.ingest_logs(spark, logs, root)
+    cl.ingest_logs(spark, logs, root)
+    return cl.read_rejects(spark, root)
+
+
+def _commits_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a sample has, and how many of them are in the table."""
+    commits = _commits(spark, sf_dir)
+    some = _scalars(cl.sample(commits)).withColumn("sampled", F.lit(True))
+    found = some.join(_scalars(commits).distinct(), _scalars(commits).columns, "left_semi")
+    return (
+        some.agg(F.count(F.lit(1)).alias("n_sampled"))
+        .crossJoin(F.broadcast(found.agg(F.count(F.lit(1)).alias("n_found"))))
+    )
+
+
+def _commits_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the view, in order, as SQL sees them, and how many rows have a value."""
+    commits = _commits(spark, sf_dir)
+    fields = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(kind).alias("type"), F.count(F.col(c)).alias("n_values"))
+              for i, (c, kind) in enumerate(commits.dtypes)]
+    return commits.agg(F.array(*fields).alias("f")).select(F.inline("f"))
+
+
 def _commits_after_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs, root = bridge.logs_of(spark, sf_dir), f"{fresh_folder(spark)}/commits"
     cl.ingest_logs(spark, logs, root)
@@ -95,6 +146,9 @@ def _merge_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ODD_URLS = ["abc", "", "/", "https://github.com/", "a/b", "//", ".git", "x/.git", None]
+
+
 def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page addresses as they are, and a repository address made from each page id."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
@@ -103,7 +157,10 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         CASE page_id % 5 WHEN 0 THEN 'gitlab.com' WHEN 1 THEN 'example.org' ELSE 'github.com' END,
         '/owner', page_id % 97, CASE page_id % 11 WHEN 0 THEN '.x' ELSE '-y' END, '/name_', page_id,
         CASE page_id % 4 WHEN 0 THEN '.git' WHEN 1 THEN '/' WHEN 2 THEN '.git/' ELSE '' END)"""
-    return pages.unionByName(pages.select("page_id", F.expr(made).alias("url")))
+    odd = F.array(*map(F.lit, ODD_URLS))[(F.col("page_id") % len(ODD_URLS)).cast("int")]
+    return pages.unionByName(pages.select("page_id", F.expr(made).alias("url"))).unionByName(
+        pages.select("page_id", odd.alias("url"))
+    )
 
 
 def _repo_url_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,9 +171,7 @@ def _repo_url_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type"
-    )
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _event_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,33 +188,40 @@ def _event_block_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _share_of(spark: SparkSession, path: str, parts: int) -> int:
-    """Group size above which a group counts as hot: 1/`parts` of a table's rows."""
-    return max(1, spark.read.parquet(path).count() // parts)
+# Event types are few and large; with these bounds each of them is split.
+HOT_EVENTS, HOT_STARTS = 1_500, 20
 
 
 def _event_type_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few and large keys: every event type is hot and split."""
-    bound = _share_of(spark, f"{sf_dir}/events.parquet", 8)
     events = _events(spark, sf_dir)
     return cl.assign_blocks(
-        events, ["event_type"], ["ts", "event_id"], F.col("user_id") % 50 == 0, "event_id", bound
+        events, ["event_type"], ["ts", "event_id"], F.col("user_id") % 50 == 0, "event_id", HOT_EVENTS
     )
 
 
 def _event_type_block_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bound = _share_of(spark, f"{sf_dir}/events.parquet", 400)
     events = _events(spark, sf_dir)
     return cl.block_bounds(
-        events, ["event_type"], ["ts", "event_id"], F.col("user_id") % 50 == 0, "event_id", bound
+        events, ["event_type"], ["ts", "event_id"], F.col("user_id") % 50 == 0, "event_id", HOT_STARTS
     )
 
 
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def _conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return cl.collect_ordered(turns, ["conv_id"], ["turn"], "text").select(
-        "conv_id", "part", F.array_join("values", "\n").alias("text")
-    )
+    """One row per conversation; without any text it is null."""
+    text = F.when(F.size("values") > 0, F.array_join("values", "\n")).alias("text")
+    return cl.collect_ordered(_turns(spark, sf_dir), ["conv_id"], ["turn"], "text").select("conv_id", text)
+
+
+def _conversation_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three turns each; roles as keys make hot groups, which are numbered in chunks."""
+    turns = _turns(spark, sf_dir)
+    pieces = cl.collect_pieces(turns, ["role"], ["conv_id", "turn"], "text", 3, max_group_rows=30)
+    return pieces.select("role", "part", F.array_join("values", "\n").alias("text"))
 
 
 def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
@@ -191,6 +253,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_parents": _ingest_parents,
         "ingest_rejects": _ingest_rejects,
         "commits_after_rewrite": _commits_after_rewrite,
+        "commits_after_reingest": _commits_after_reingest,
+        "rejects_after_reingest": _rejects_after_reingest,
         "commits_per_author_top20": over_commits(cl.top_authors),
         "commits_per_author_with_others": over_commits(cl.top_authors_with_others),
         "commit_activity_monthly": over_commits(lambda c: cl.commit_activity(c, cumulative=False)),
@@ -221,8 +285,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_type_blocks": _event_type_blocks,
         "event_type_block_bounds": _event_type_block_bounds,
         "conversation_text": _conversation_text,
+        "conversation_pieces": _conversation_pieces,
         "log_sizes": lambda spark, sf_dir: cl.log_sizes(spark, bridge.logs_of(spark, sf_dir)),
-        "commits_sample": over_commits(lambda c: _scalars(cl.sample(c))),
+        "commits_sample": _commits_sample,
+        "commits_schema": _commits_schema,
+        "sql_selected_repos": lambda spark, sf_dir: cl.run_sql(
+            spark, _commits(spark, sf_dir), SELECTED_SQL, repos=SOME_REPOS
+        ),
         "explain_plan": lambda spark, sf_dir: cl.explain_sql(
             spark, _commits(spark, sf_dir), CREATED_FILES_SQL
         ),
@@ -233,13 +302,17 @@ _COMMITS = """
 WITH named AS (
     SELECT o_orderkey AS key,
         'org_p' || substr('111223345', CAST(1 + o_orderkey % 9 AS INT), 1) AS repo_id,
-        sha1(CAST(o_orderkey AS VARCHAR)) AS commit_hash,
+        CASE WHEN o_orderkey % 9 = 7 THEN sha256(CAST(o_orderkey AS VARCHAR))
+            ELSE sha1(CAST(o_orderkey AS VARCHAR)) END AS commit_hash,
         CASE WHEN o_orderkey % 211 = 3 THEN '' ELSE lower(
             substr('AeTohUrkzB7m9É', CAST(1 + o_custkey % 14 AS INT), 1) || 'uthor' || o_custkey
             || '@mail' || (o_custkey % 7) || '.example') END AS author,
         o_orderdate + to_seconds(o_orderkey * 7919 % 86400) AS moment,
-        CASE o_orderkey % 3 WHEN 0 THEN '+0000' WHEN 1 THEN '+0200' ELSE '-0530' END AS zone,
-        CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 7200 ELSE -19800 END AS ahead,
+        CASE WHEN o_orderkey % 89 = 4 THEN '+1830' WHEN o_orderkey % 89 = 5 THEN '-2359'
+            WHEN o_orderkey % 3 = 0 THEN '+0000' WHEN o_orderkey % 3 = 1 THEN '+0200' ELSE '-0530' END AS zone,
+        CASE WHEN o_orderkey % 89 = 4 THEN 66600 WHEN o_orderkey % 89 = 5 THEN -86340
+            WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN 7200 ELSE -19800 END AS ahead,
+        o_custkey % 2 = 0 AS even,
         CASE o_orderkey % 11
             WHEN 0 THEN 'make it ' || o_orderkey
             WHEN 1 THEN 'reverts commit: ' || sha1(CAST(o_orderkey + 1 AS VARCHAR))
@@ -301,7 +374,7 @@ FROM ({_COUNTS}), (VALUES ('M', 'Modified'), ('R', 'Renamed'), ('A', 'Added'), (
 _BLOCKS = """
 SELECT *, last_value(CASE WHEN {marker} THEN event_id END IGNORE NULLS) OVER w AS block_id,
     CAST(sum(CASE WHEN {marker} THEN 1 ELSE 0 END) OVER w AS BIGINT) AS block_seq
-FROM (SELECT event_id, ts, user_id, event_type FROM events)
+FROM events
 WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 _NUMBERED_BLOCKS = f"""
 SELECT *, row_number() OVER (PARTITION BY {{key}}, block_seq ORDER BY ts, event_id) AS row_in_block
@@ -312,6 +385,28 @@ SELECT {key}, event_id AS block_id, row_number() OVER w AS block_seq,
     lead(ts) OVER w AS next_ts, lead(event_id) OVER w AS next_event_id
 FROM events WHERE {marker}
 WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id)"""
+_REJECTS = """
+            SELECT repo_id, 'stray' AS reason, 'warning: inexact rename in ' || key AS text
+            FROM commits WHERE key % 97 = 5
+            UNION ALL
+            SELECT repo_id, 'date', commit_hash || chr(10) || 'parents: ' || chr(10) || 'message: bad' || chr(10)
+                || 'author: x@y.z' || chr(10) || 'date: 2001-02-30 01:02:03 +0000'
+            FROM commits WHERE key % 101 = 7
+            UNION ALL
+            SELECT repo_id, 'header', substr(commit_hash, 1, 39) || chr(10) || 'parents: ' || chr(10)
+                || 'message: short' || chr(10) || 'author: x@y.z' || chr(10) || 'date: '
+                || strftime(moment, '%Y-%m-%d %H:%M:%S') || ' ' || zone
+            FROM commits WHERE key % 103 = 9"""
+_REINGESTED = """
+SELECT repo_id, new_hash AS commit_hash, author, author_first_char, date, "timestamp", committed_at, message,
+    array_to_string([sha1(CAST(k AS VARCHAR)) FOR k IN parent_keys], ' ') AS parents,
+    coalesce(files, '') AS files
+FROM (
+    SELECT *, CASE WHEN key % 9 IN (5, 6) AND key % 7 = 0 THEN sha1('new ' || key) ELSE commit_hash END AS new_hash
+    FROM commits WHERE NOT (key % 9 = 8 OR (key % 9 IN (3, 4) AND even)))
+LEFT JOIN (
+    SELECT commit_hash AS of, string_agg(status || ':' || filename, '|' ORDER BY status || ':' || filename) AS files
+    FROM files GROUP BY commit_hash) ON of = commit_hash"""
 _SIGNUP = {"key": "user_id", "marker": "event_type = 'signup'"}
 _BY_TYPE = {"key": "event_type", "marker": "user_id % 50 = 0"}
 
@@ -325,19 +420,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT commit_hash, position - 1 AS position, sha1(CAST(parent_keys[position] AS VARCHAR)) AS parent
             FROM (SELECT commit_hash, parent_keys, CAST(unnest(range(1, len(parent_keys) + 1)) AS INT) AS position
                   FROM commits)""",
-        "ingest_rejects": """
-            SELECT repo_id, 'stray' AS reason, 'warning: inexact rename in ' || key AS text
-            FROM commits WHERE key % 97 = 5
-            UNION ALL
-            SELECT repo_id, 'date', commit_hash || chr(10) || 'parents: ' || chr(10) || 'message: bad' || chr(10)
-                || 'author: x@y.z' || chr(10) || 'date: 2001-02-30 01:02:03 +0000'
-            FROM commits WHERE key % 101 = 7
-            UNION ALL
-            SELECT repo_id, 'header', substr(commit_hash, 1, 39) || chr(10) || 'parents: ' || chr(10)
-                || 'message: short' || chr(10) || 'author: x@y.z' || chr(10) || 'date: '
-                || strftime(moment, '%Y-%m-%d %H:%M:%S') || ' ' || zone
-            FROM commits WHERE key % 103 = 9""",
+        "ingest_rejects": _REJECTS,
+        "rejects_after_reingest": _REJECTS,
         "commits_after_rewrite": _SCALARS,
+        "commits_after_reingest": _REINGESTED,
         "commits_per_author_top20": _TOP,
         "commits_per_author_with_others": _WITH_OTHERS,
         "commit_activity_monthly": _MONTHLY,
@@ -385,9 +471,9 @@ def oracle_sql() -> dict[str, str]:
         "log_sizes": """
             SELECT repo_id, CAST(sum(n) AS BIGINT) AS size_bytes, round(sum(n) / 1048576.0::DOUBLE, 2) AS size_mb
             FROM (
-                SELECT repo_id, 112 + greatest(41 * len(parent_keys) - 1, 0) + strlen(message) + strlen(author)
+                SELECT repo_id, 72 + strlen(commit_hash) + greatest(41 * len(parent_keys) - 1, 0) + strlen(message) + strlen(author)
                     + CASE WHEN key % 97 = 5 THEN strlen('warning: inexact rename in ' || key) + 1 ELSE 0 END
-                    + CASE WHEN key % 101 = 7 THEN 119 ELSE 0 END
+                    + CASE WHEN key % 101 = 7 THEN 79 + strlen(commit_hash) ELSE 0 END
                     + CASE WHEN key % 103 = 9 THEN 120 ELSE 0 END AS n
                 FROM commits
                 UNION ALL
@@ -395,6 +481,17 @@ def oracle_sql() -> dict[str, str]:
                 FROM files)
             GROUP BY repo_id""",
         "repo_list": "SELECT DISTINCT repo_id FROM commits",
+        "sql_selected_repos": f"""
+            SELECT repo_id, count(*) AS commits, count(DISTINCT author) AS authors
+            FROM commits WHERE {_IN_SOME} GROUP BY repo_id""",
+        "commits_sample": "SELECT CAST(5 AS BIGINT) AS n_sampled, CAST(5 AS BIGINT) AS n_found",
+        "commits_schema": """
+            SELECT CAST(position AS INT) AS position, "column", type, n AS n_values
+            FROM (VALUES (0, 'author', 'string'), (1, 'author_first_char', 'string'), (2, 'commit_hash', 'string'),
+                (3, 'date', 'date'), (4, 'timestamp', 'string'),
+                (5, 'files', 'array<struct<status:string,filename:string>>'), (6, 'message', 'string'),
+                (7, 'parents', 'array<string>'), (8, 'repo_id', 'string'), (9, 'committed_at', 'timestamp')
+            ) AS v(position, "column", type), (SELECT count(*) AS n FROM commits)""",
         "commits_per_repo": 'SELECT repo_id, count(*) AS "count" FROM commits GROUP BY repo_id',
     }
     return _llm()[1] | {name: _COMMITS + sql for name, sql in over_commits.items()} | {
@@ -408,10 +505,13 @@ def oracle_sql() -> dict[str, str]:
                     || '/owner' || (page_id % 97) || CASE page_id % 11 WHEN 0 THEN '.x' ELSE '-y' END
                     || '/name_' || page_id
                     || CASE page_id % 4 WHEN 0 THEN '.git' WHEN 1 THEN '/' WHEN 2 THEN '.git/' ELSE '' END
+                FROM pages
+                UNION ALL
+                SELECT page_id, (['abc', '', '/', 'https://github.com/', 'a/b', '//', '.git', 'x/.git', NULL])[page_id % 9 + 1]
                 FROM pages),
             parts AS (
-                SELECT *, string_split(regexp_replace(rtrim(url, '/'), '\.git$', ''), '/') AS p FROM urls)
-            SELECT page_id, url, p[-2] || '_' || p[-1] AS repo_id,
+                SELECT *, string_split(rtrim(regexp_replace(rtrim(url, '/'), '\.git$', ''), '/'), '/') AS p FROM urls)
+            SELECT page_id, url, nullif(p[-2], '') || '_' || nullif(p[-1], '') AS repo_id,
                 regexp_matches(url,
                     '^https://(www\.)?(github|gitlab)\.com/[A-Za-z0-9_-]+/[A-Za-z0-9_-]+(\.git)?/?$') AS is_repo
             FROM parts""",
@@ -420,6 +520,11 @@ def oracle_sql() -> dict[str, str]:
         "event_type_blocks": _NUMBERED_BLOCKS.format(**_BY_TYPE),
         "event_type_block_bounds": _BOUNDS.format(**_BY_TYPE),
         "conversation_text": """
-            SELECT conv_id, 0 AS part, string_agg(text, chr(10) ORDER BY turn) AS text
+            SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text
             FROM conversations GROUP BY conv_id""",
+        "conversation_pieces": """
+            SELECT role, n // 3 AS part, string_agg(text, chr(10) ORDER BY n) AS text
+            FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS n
+                  FROM conversations WHERE text IS NOT NULL)
+            GROUP BY role, n // 3""",
     }

@@ -2,7 +2,7 @@
 
 from commitlens.functions.repo_url import is_repo_url, repo_id
 from commitlens.operators.blocks import assign_blocks, block_bounds
-from commitlens.operators.collect import collect_ordered
+from commitlens.operators.collect import collect_ordered, collect_pieces, ordered_values
 from commitlens.operators.ingest import parse_blocks, rejects, well_formed
 from commitlens.plans.ingest import ingest_logs
 from commitlens.plans.queries import (
@@ -31,7 +31,7 @@ from commitlens.plans.reports import (
     top_authors_with_others,
 )
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, STATUS_LABELS
-from commitlens.sources.commits import list_repos, read_commits, replace_repo, replace_repos
+from commitlens.sources.commits import list_repos, read_commits, read_rejects, replace_repo, replace_repos
 from commitlens.sources.gitlog import log_sizes, read_blocks
 
 __all__ = [
@@ -44,6 +44,7 @@ __all__ = [
     "block_bounds",
     "by_author",
     "collect_ordered",
+    "collect_pieces",
     "commit_activity",
     "commits_per_repo",
     "contributors",
@@ -57,11 +58,13 @@ __all__ = [
     "list_repos",
     "log_sizes",
     "merge_commits",
+    "ordered_values",
     "overview",
     "overview_long",
     "parse_blocks",
     "read_blocks",
     "read_commits",
+    "read_rejects",
     "register_view",
     "rejects",
     "repo_id",

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from commitlens.plans.ingest import ingest_logs
 from commitlens.scratch import fresh_folder
-from commitlens.sources.files import exists
+from commitlens.sources.files import exists, filesystem, hadoop_path
 
 _COMMIT = {
-    "hash": "sha1(cast(o_orderkey AS string))",
+    # Some repositories name their commits by 64 digits.
+    "hash": "CASE WHEN o_orderkey % 9 = 7 THEN sha2(cast(o_orderkey AS string), 256) ELSE sha1(cast(o_orderkey AS string)) END",
     "parents": """CASE
         WHEN o_orderkey % 10 = 0 OR o_orderkey = 0 THEN ''
         WHEN o_orderkey % 10 = 1 AND o_orderkey > 1
@@ -33,7 +34,9 @@ _COMMIT = {
                '@Mail', o_custkey % 7, '.Example') END""",
     "at": """substr(cast(o_orderdate
         + make_dt_interval(0, 0, 0, cast(o_orderkey * 7919 % 86400 AS int)) AS string), 1, 19)""",
-    "zone": "element_at(array('+0000', '+0200', '-0530'), cast(1 + o_orderkey % 3 AS int))",
+    # Git keeps whatever offset a client sent, beyond the 18 hours that time zones have too.
+    "zone": """CASE WHEN o_orderkey % 89 = 4 THEN '+1830' WHEN o_orderkey % 89 = 5 THEN '-2359' ELSE
+        element_at(array('+0000', '+0200', '-0530'), cast(1 + o_orderkey % 3 AS int)) END""",
 }
 
 # A third of the commits fall to the first repository.
@@ -57,12 +60,23 @@ _BAD_HASH = r"""CASE WHEN key % 103 = 9 THEN concat(
     '\ncommit: ', left(hash, 39), '\nparents: \nmessage: short\nauthor: x@y.z\ndate: ', at, ' ', zone) END"""
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+# A later day: one repository has lost all commits, one its authors of even customers.
+_STILL_THERE = "NOT (o_orderkey % 9 = 8 OR (o_orderkey % 9 IN (3, 4) AND o_custkey % 2 = 0))"
+# In another, every seventh commit has been written anew.
+_NEW_HASH = """CASE WHEN o_orderkey % 9 IN (5, 6) AND o_orderkey % 7 = 0
+    THEN sha1(concat('new ', o_orderkey)) ELSE {hash} END"""
+
+
+def log_lines(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
     """`(log, key, place, value)`: text of all logs; `key` and `place` give its order."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    orders, commit = spark.read.parquet(f"{sf_dir}/orders.parquet"), dict(_COMMIT)
+    if later:
+        orders = orders.filter(_STILL_THERE)
+        commit["hash"] = _NEW_HASH.format(hash=commit["hash"])
+    orders = orders.select(
         F.expr(_LOG.format(key="o_orderkey")).alias("log"),
         F.col("o_orderkey").alias("key"),
-        *(F.expr(e).alias(name) for name, e in _COMMIT.items()),
+        *(F.expr(e).alias(name) for name, e in commit.items()),
     )
     pieces = F.array(*map(F.expr, (_HEADER, "NULL", _WARNING, _BAD_DATE, _BAD_HASH, "''")))
     around = orders.select("log", "key", F.posexplode(pieces).alias("place", "value")).filter(
@@ -74,13 +88,15 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("place"),
         F.expr(_FILE).alias("value"),
     )
+    if later:
+        files = files.join(orders, "key", "left_semi").select(files.columns)
     return around.unionByName(files)
 
 
-def write_logs(spark: SparkSession, sf_dir: str, folder: str) -> None:
+def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = False) -> None:
     """Write one log per repository under `folder`; a commit stays within a part file."""
     (
-        log_lines(spark, sf_dir)
+        log_lines(spark, sf_dir, later)
         .repartition("key")
         .sortWithinPartitions("log", "key", "place", "value")
         .select("log", "value")
@@ -89,12 +105,22 @@ def write_logs(spark: SparkSession, sf_dir: str, folder: str) -> None:
     )
 
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """When the tables that logs are rendered from last changed, and their sizes."""
+    out = []
+    for table in ("orders", "lineitem"):
+        path = hadoop_path(spark, f"{sf_dir}/{table}.parquet")
+        fs = filesystem(spark, sf_dir)
+        out += [fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength()]
+    return tuple(out)
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
-    """Folder that `write` filled earlier in this session, or fills now."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    """Folder that `write` filled earlier in this session from the same tables, or fills now."""
+    key = (spark.sparkContext.applicationId, sf_dir, what, _state(spark, sf_dir))
     if key not in _written or not exists(spark, _written[key]):
         folder = f"{fresh_folder(spark)}/{what}"
         write(folder)
@@ -107,6 +133,11 @@ def logs_of(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "logs", lambda folder: write_logs(spark, sf_dir, folder))
 
 
+def later_logs_of(spark: SparkSession, sf_dir: str) -> str:
+    """Logs of a later day: `org_p5` has none, `org_p2` lacks authors, `org_p3` has new commits."""
+    return _once(spark, sf_dir, "later", lambda folder: write_logs(spark, sf_dir, folder, later=True))
+
+
 def table_of(spark: SparkSession, sf_dir: str) -> str:
     """Commits table ingested from those logs; written once per session."""
     return _once(

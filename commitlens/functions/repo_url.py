@@ -24,8 +24,7 @@ def repo_link(url: Column) -> Column:
 
 
 def repo_id(url: Column) -> Column:
-    """`<owner>_<name>`, from the last two path parts; null when there are fewer."""
+    """`<owner>_<name>`, from the last two path parts; null when either is missing."""
     parts = F.split(repo_link(url), "/")
-    return F.concat_ws(
-        "_", F.get(parts, F.size(parts) - 2), F.get(parts, F.size(parts) - 1)
-    )
+    owner, name = (F.get(parts, F.size(parts) - back) for back in (2, 1))
+    return F.when((owner != "") & (name != ""), F.concat(owner, F.lit("_"), name))

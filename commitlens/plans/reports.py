@@ -91,12 +91,12 @@ def _status_counts(commits: DataFrame) -> DataFrame:
     )
 
 
-def _spread(counts: DataFrame) -> DataFrame:
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("status") == s, F.col("files"))), F.lit(0)).alias(s)
-        for s in STATUSES
-    ]
-    return counts.groupBy("repo_id").agg(*cells, F.sum("files").alias("total"))
+def _spread(commits: DataFrame) -> DataFrame:
+    """One exchange: a repository's files are counted into cells before it."""
+    status = F.col("file.status")
+    cells = [F.count_if(status == s).alias(s) for s in STATUSES]
+    files = commits.select("repo_id", F.explode("files").alias("file"))
+    return files.groupBy("repo_id").agg(*cells, F.count(F.lit(1)).alias("total"))
 
 
 def file_status_counts(commits: DataFrame, discover: bool = False) -> DataFrame:
@@ -106,15 +106,14 @@ def file_status_counts(commits: DataFrame, discover: bool = False) -> DataFrame:
     `discover` they are the statuses found in the data instead (one more job),
     null where a repository has none.
     """
-    counts = _status_counts(commits)
     if discover:
-        return counts.groupBy("repo_id").pivot("status").agg(F.sum("files"))
-    return _spread(counts)
+        return _status_counts(commits).groupBy("repo_id").pivot("status").agg(F.sum("files"))
+    return _spread(commits)
 
 
 def file_status_percent(commits: DataFrame) -> DataFrame:
     """`(repo_id, M, R, A, D)`: percent of a repository's changed files, any status."""
-    return _spread(_status_counts(commits)).select(
+    return _spread(commits).select(
         "repo_id", *((F.col(s) / F.col("total") * 100).alias(s) for s in STATUS_LABELS)
     )
 
@@ -125,7 +124,7 @@ def file_status_shares(commits: DataFrame) -> DataFrame:
     cells = F.array(
         *(F.struct(F.lit(s).alias("status"), F.col(s).alias("files")) for s in STATUS_LABELS)
     )
-    return _spread(_status_counts(commits)).select("repo_id", "total", F.inline(cells)).select(
+    return _spread(commits).select("repo_id", "total", F.inline(cells)).select(
         "repo_id",
         "status",
         labels[F.col("status")].alias("label"),

@@ -31,6 +31,10 @@ EDGE = "\n".join(
         commit(H["0"], "", "no time", date="2023-02-28"),
         f"commit: {H['1']}\nparents: \nmessage: cut off\n",
         commit(H["2"], "", "  root  ", "  spaced@x.org  "),
+        commit("ab" * 32, "cd" * 32, "64 digits", date="2024-03-01 00:30:00 +1830"),
+        commit(H["3"], "", "far west", date="2024-03-01 23:00:00 -2359"),
+        commit(H["4"], "", "no such offset", date="2024-03-01 23:00:00 +2400"),
+        commit("a" * 41, "", "41 digits"),
     ]
 )
 
@@ -41,6 +45,7 @@ def logs(tmp_path_factory):
     (folder / "own-er_na me+1.gitlog").write_text(EDGE)
     (folder / "solo_one.gitlog").write_text(commit(H["9"], author="9@9.org"))
     (folder / "solo_empty.gitlog").write_text("")
+    (folder / "notes.txt").write_text(commit(H["6"]))
     (folder / "win_dows.gitlog").write_text(
         (commit(H["8"], files=["M\tf"]) + "\n" + commit(H["7"])).replace("\n", "\r\n"), newline=""
     )
@@ -65,7 +70,7 @@ def test_schema(parsed):
 
 
 def test_every_commit_is_kept(by_hash):
-    assert set(by_hash) == {H[c] for c in "abcde2" + "9" + "87"}
+    assert set(by_hash) == {H[c] for c in "abcde23" + "9" + "87"} | {"ab" * 32}
 
 
 def test_prefixes_are_not_character_sets(by_hash):
@@ -86,6 +91,8 @@ def test_committed_at_is_the_instant(parsed):
     instants = {h: dt.datetime.fromtimestamp(s, dt.timezone.utc) for h, s in got}
     assert instants[H["a"]].isoformat() == "2024-02-29T22:30:00+00:00"
     assert instants[H["b"]].isoformat() == "2024-03-01T05:29:59+00:00"
+    assert instants["ab" * 32].isoformat() == "2024-02-29T06:00:00+00:00"
+    assert instants[H["3"]].isoformat() == "2024-03-02T22:59:00+00:00"
 
 
 def test_files(by_hash):
@@ -131,6 +138,8 @@ def test_rejects(parsed):
             ("date", H["f"]),
             ("date", H["0"]),
             ("header", H["1"]),
+            ("date", H["4"]),
+            ("header", "a" * 41),
         ]
     )
 
@@ -175,4 +184,11 @@ def test_log_sizes(spark, logs):
     got = {r.repo_id: (r.size_bytes, r.size_mb) for r in cl.log_sizes(spark, logs).collect()}
     size = os.path.getsize(f"{logs}/own-er_na me+1.gitlog")
     assert got["own-er_na me+1"] == (size, round(size / 1024**2, 2))
-    assert set(got) == {"own-er_na me+1", "solo_one", "win_dows"}
+    assert set(got) == {"own-er_na me+1", "solo_one", "solo_empty", "win_dows"}
+    assert got["solo_empty"] == (0, 0.0)
+
+
+def test_only_what_is_asked_for_is_worked_out(parsed):
+    files = plan_of(cl.well_formed(parsed).select("files"))
+    assert "lower(" not in files and "parents" not in files.split("Generate")[0]
+    assert plan_of(cl.well_formed(parsed).select("author")).count("transform(") == 0

@@ -85,6 +85,11 @@ def test_sample(commits):
         ("https://github.com/a/b/c", False, "b_c"),
         ("https://bitbucket.org/a/b", False, "a_b"),
         ("https://github.com/a/b.git.git", False, "a_b.git"),
+        ("abc", False, None),
+        ("", False, None),
+        ("//", False, None),
+        ("https://github.com/", False, None),
+        (None, None, None),
     ],
 )
 def test_repository_urls(spark, url, valid, expected):
