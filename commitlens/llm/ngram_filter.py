@@ -24,16 +24,16 @@ from commitlens.llm.tokens import slices
 from commitlens.scratch import stored
 
 # Tokens of a chunk, after which it is closed with the text that fills it.
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19
 # Counted entries that one counting group should have.
 BUCKET_ENTRIES = 1 << 19
 # Levels are powers of this.
-LEVEL_BASE = 2**0.5
-BITS_PER_ENTRY = 14
+LEVEL_BASE = 2.0
+BITS_PER_ENTRY = 12
 # Bits that an entry sets, all in one 64-bit word.
 BITS_SET = 5
 # Largest slice of the filter that is broadcast at once.
-SLICE_BYTES = 96 << 20
+SLICE_BYTES = 64 << 20
 # Pairs of words seen less often than this are left to the smoothing.
 MIN_PAIR_COUNT = 2
 # Weight of the word's own frequency against the pair's.
@@ -57,35 +57,35 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return _mix(first * np.uint64(0x9E3779B97F4A7C15) + _mix(second))
 
 
-def levels_of(counts: np.ndarray) -> np.ndarray:
-    """Quantised logarithm: 0 for 0, else 1 + the number of whole steps up to the count."""
+def levels_of(counts: np.ndarray, least: int = 1) -> np.ndarray:
+    """Quantised logarithm: 0 below `least`, else 1 + the number of whole steps up to the count."""
     out = np.zeros(len(counts), np.int64)
-    some = counts > 0
-    out[some] = 1 + np.floor(np.log(counts[some]) / np.log(LEVEL_BASE) + 1e-9).astype(np.int64)
+    some = counts >= least
+    out[some] = 1 + np.floor(np.log(counts[some] / least) / np.log(LEVEL_BASE) + 1e-9).astype(np.int64)
     return out
 
 
-def count_of(levels: np.ndarray) -> np.ndarray:
+def count_of(levels: np.ndarray, least: int = 1) -> np.ndarray:
     """The middle of what a level stands for, 0 for level 0."""
-    low = np.ceil(LEVEL_BASE ** (levels - 1.0) - 1e-9)
-    high = np.maximum(low, np.ceil(LEVEL_BASE ** (levels * 1.0) - 1e-9) - 1)
+    low = np.ceil(least * LEVEL_BASE ** (levels - 1.0) - 1e-9)
+    high = np.maximum(low, np.ceil(least * LEVEL_BASE ** (levels * 1.0) - 1e-9) - 1)
     return np.where(levels > 0, np.sqrt(low * high), 0.0)
 
 
-def _bits(hashes: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word and bits of each n-gram at one level."""
+def _bits(hashes: np.ndarray, level: int, words: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Word, of so many, and bits of each n-gram at one level."""
     with np.errstate(over="ignore"):
         h = _mix(hashes + np.uint64(level * 0xD1B54A32D192ED03 & (2**64 - 1)))
-    at = (h >> np.uint64(32)) % np.uint64(words)
+    at = (h >> np.uint64(32)) % np.asarray(words, np.uint64)
     bits = np.zeros(len(h), np.uint64)
     for i in range(BITS_SET):
         bits |= np.uint64(1) << ((h >> np.uint64(6 * i)) & np.uint64(63))
     return at.astype(np.int64), bits
 
 
-def build_segment(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def build_segment(hashes: np.ndarray, counts: np.ndarray, least: int = 1) -> np.ndarray:
     """Filter words that hold these n-grams; a fixed number of bits for each entry."""
-    levels = levels_of(counts)
+    levels = levels_of(counts, least)
     words = np.zeros(max(1, int(levels.sum()) * BITS_PER_ENTRY // 64), np.uint64)
     for level in range(1, int(levels.max(initial=0)) + 1):
         at, bits = _bits(hashes[levels >= level], level, len(words))
@@ -93,15 +93,29 @@ def build_segment(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return words
 
 
-def probe_segment(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Level of each n-gram: probes from level 1 on until one is missing."""
-    out, alive, level = np.zeros(len(hashes), np.uint8), np.arange(len(hashes)), 1
-    while len(alive) and level < 255:
-        at, bits = _bits(hashes[alive], level, len(words))
-        alive = alive[(words[at] & bits) == bits]
-        out[alive] = level
-        level += 1
-    return out
+class Segments:
+    """Some of a filter's segments, laid end to end; those that are missing hold nothing."""
+
+    def __init__(self, buckets: int, found: dict[int, bytes]):
+        self.sizes, self.bases = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        at = 0
+        for bucket, raw in found.items():
+            self.sizes[bucket], self.bases[bucket] = len(raw) // 8, at
+            at += len(raw) // 8
+        self.raw = b"".join(found.values())
+
+    def levels(self, hashes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """Level of each n-gram: probes from level 1 on until one is missing."""
+        words = np.frombuffer(self.raw, np.uint64)
+        out, level = np.zeros(len(hashes), np.uint8), 1
+        alive = np.flatnonzero(self.sizes[buckets])
+        while len(alive) and level < 255:
+            own = buckets[alive]
+            at, bits = _bits(hashes[alive], level, self.sizes[own])
+            alive = alive[(words[self.bases[own] + at] & bits) == bits]
+            out[alive] = level
+            level += 1
+        return out
 
 
 def _bucket(hashes: np.ndarray, bucket_bits: int) -> np.ndarray:
@@ -275,7 +289,7 @@ def _merge_pairs(least: int):
             counts[-1][np.frombuffer(repeated, np.uint32)] = np.frombuffer(many, np.uint32)
         distinct, totals, _ = _total(hashes, counts)
         often = totals >= least
-        segment = build_segment(distinct[often], totals[often])
+        segment = build_segment(distinct[often], totals[often], least)
         return _counted([("pairs", bucket, None, segment.tobytes(), int(often.sum()), int(totals.sum()))])
 
     return merge
@@ -300,23 +314,12 @@ def _slices_of(segments: DataFrame, limit: int) -> list[list[tuple[str, int]]]:
 def _probe(shared, bucket_bits: int):
     """Levels of the chunk's words and of its tokens' pairs, 0 where another slice has them."""
 
-    def levels(hashes: np.ndarray, kind: str) -> np.ndarray:
-        out, buckets = np.zeros(len(hashes), np.uint8), _bucket(hashes, bucket_bits)
-        order = np.argsort(buckets, kind="stable")
-        cuts = _cuts(buckets[order], 1 << bucket_bits)
-        for b in np.flatnonzero(np.diff(cuts)).tolist():
-            raw = shared.value.get((kind, b))
-            if raw is not None:
-                at = order[cuts[b] : cuts[b + 1]]
-                keys = _short(hashes[at], bucket_bits) if kind == "pairs" else hashes[at]
-                out[at] = probe_segment(np.frombuffer(raw, np.uint64), keys)
-        return out
-
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words = levels(np.frombuffer(row["vocabulary"], np.uint64), "words")
-                pairs = levels(_pairs(row)[0], "pairs")
+                words, pairs = np.frombuffer(row["vocabulary"], np.uint64), _pairs(row)[0]
+                words = shared.value["words"].levels(words, _bucket(words, bucket_bits))
+                pairs = shared.value["pairs"].levels(_short(pairs, bucket_bits), _bucket(pairs, bucket_bits))
                 columns = [pa.array([row["chunk"]], pa.int64()), pa.array([words.tobytes()]), pa.array([pairs.tobytes()])]
                 yield pa.record_batch(columns, ["chunk", "words", "pairs"])
 
@@ -328,7 +331,7 @@ _SCORES = (
 )
 
 
-def _score(total: int, distinct: int, prior: float):
+def _score(total: int, distinct: int, prior: float, least: int):
     def score(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         row = next(r for r in rows if r["ids"] is not None)
@@ -349,7 +352,7 @@ def _score(total: int, distinct: int, prior: float):
         before = np.concatenate(([end_id], ids[:-1]))
         of_word = ((own + 1) / size)[ids]
         context = own[before]
-        together = np.minimum(count_of(pairs.astype(np.int64)), context)
+        together = np.minimum(count_of(pairs.astype(np.int64), least), context)
         probability = (together + prior * of_word) / (context + prior)
         columns = [
             pa.array(row["keys"], pa.int64()),
@@ -422,12 +425,11 @@ def score_texts(
         buckets = [b for _, b in wanted]
         near = segments.filter(F.col("bucket").isin(buckets)) if len(buckets) < 64 else segments
         chosen = set(wanted)
-        held = {
-            (r["kind"], r["bucket"]): bytes(r["data"])
-            for r in near.select("kind", "bucket", "data").toLocalIterator()
-            if (r["kind"], r["bucket"]) in chosen
-        }
-        shared = spark.sparkContext.broadcast(held)
+        held: dict[str, dict[int, bytes]] = {"words": {}, "pairs": {}}
+        for kind, bucket, data in near.select("kind", "bucket", "data").toLocalIterator():
+            if (kind, bucket) in chosen:
+                held[kind][bucket] = bytes(data)
+        shared = spark.sparkContext.broadcast({kind: Segments(1 << bucket_bits, x) for kind, x in held.items()})
         part = stored(
             chunks.select("chunk", "vocabulary", "ids").mapInArrow(
                 _probe(shared, bucket_bits), "chunk long, words binary, pairs binary"
@@ -443,6 +445,6 @@ def score_texts(
     )
     return (
         everything.groupBy("chunk")
-        .applyInArrow(_score(int(total), int(distinct), prior), _SCORES)
+        .applyInArrow(_score(int(total), int(distinct), prior, min_pair_count), _SCORES)
         .withColumnRenamed("key", key)
     )
