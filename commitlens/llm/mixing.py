@@ -103,15 +103,17 @@ def leaf_budgets(
     # What a subtree can give; nothing below a node that is kept out.
     tree = tree.withColumn("leaf_limit", F.col("tokens") * max_epochs * inside)
     tree = stored(tree)
-    total = tree.agg(F.sum("tokens").alias("all"), F.sum("leaf_limit").alias("limit"))
-    wanted = F.lit(budget) if budget is not None else F.expr(f"`all` * {percent} div 100")
-    above = total.select(F.least(wanted.cast("long"), F.col("limit")).alias("budget"))
+    tokens, limit = tree.agg(F.sum("tokens"), F.sum("leaf_limit")).first()
+    whole = min(tokens * percent // 100 if budget is None else budget, limit) if tokens is not None else 0
+    above = None
     for depth in range(len(levels)):
         path, parents = names[: depth + 1], names[:depth]
         nodes = tree.groupBy(*path).agg(F.sum("leaf_limit").alias("limit"), F.max(f"weight_{depth}").alias("weight"))
-        # The root is one row.
-        joined = nodes.join(above, _same(nodes, above, parents)) if parents else nodes.join(F.broadcast(above))
-        nodes = joined.select(*(nodes[c] for c in path), "limit", "weight", "budget")
+        if above is None:
+            nodes = nodes.withColumn("budget", F.lit(whole).cast("long"))
+        else:
+            joined = nodes.join(above, _same(nodes, above, parents))
+            nodes = joined.select(*(nodes[c] for c in path), "limit", "weight", "budget")
         above = stored(_split(nodes, parents, path[-1]).select(*path, F.col("share").alias("budget")))
     return tree.join(above, _same(tree, above, names)).select(
         *(tree[c] for c in names), "tokens", F.col("budget").alias("share")
