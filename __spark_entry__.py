@@ -111,12 +111,12 @@ def _rejects_after_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _commits_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows a sample has, and how many of them are in the table."""
     commits = _commits(spark, sf_dir)
-    some = _scalars(cl.sample(commits)).withColumn("sampled", F.lit(True))
+    some = _scalars(cl.sample(commits))
     found = some.join(_scalars(commits).distinct(), _scalars(commits).columns, "left_semi")
-    return (
-        some.agg(F.count(F.lit(1)).alias("n_sampled"))
-        .crossJoin(F.broadcast(found.agg(F.count(F.lit(1)).alias("n_found"))))
+    both = some.select(F.lit(1).alias("s"), F.lit(0).alias("f")).unionByName(
+        found.select(F.lit(0).alias("s"), F.lit(1).alias("f"))
     )
+    return both.agg(F.sum("s").alias("n_sampled"), F.sum("f").alias("n_found"))
 
 
 def _commits_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
