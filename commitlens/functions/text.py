@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 # Every character Python's str.strip() treats as white space; none lies above U+3000.
 WHITESPACE = "".join(filter(str.isspace, map(chr, range(0x3001))))
-# A text that begins or ends with one of these or with anything not ASCII.
-_EDGE = r"^[^!-~]|[^!-~]$"
+
+
+def _is_plain(char: Column) -> Column:
+    """Is this a visible ASCII character?"""
+    return F.ascii(char).between(33, 126)
 
 
 def strip(text: Column) -> Column:
@@ -14,7 +17,8 @@ def strip(text: Column) -> Column:
 
     The wide set is tried only where an end of the text is no plain character.
     """
-    return F.when(text.rlike(_EDGE), F.trim(text, F.lit(WHITESPACE))).otherwise(text)
+    plain = _is_plain(text) & _is_plain(F.substring(text, -1, 1))
+    return F.when(plain, text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def after(prefix: str, line: Column) -> Column:

@@ -10,8 +10,7 @@ from commitlens.schema import COMMITS_SCHEMA, REJECTS_TYPE
 HASH = r"^(?:[a-f0-9]{40}|[a-f0-9]{64})$"
 FILE_LINE = r"^[A-Z][0-9]*\t"
 COMMIT, PARENTS, MESSAGE, AUTHOR, DATE = "commit: ", "parents:", "message:", "author:", "date:"
-LOCAL_TIME = "yyyy-MM-dd HH:mm:ss"
-OFFSET = r"^[+-](?:[01][0-9]|2[0-3])[0-5][0-9]$"
+DATED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} [+-](?:[01][0-9]|2[0-3])[0-5][0-9]$"
 
 
 def _lines(block: Column) -> Column:
@@ -40,14 +39,11 @@ def _first_hash(line: Column) -> Column:
 
 def _instant(dated: Column) -> Column:
     """Local time less its offset, which may be any below 24 hours; null if either is malformed."""
-    local, offset = F.substring(dated, 1, 19), F.substring(dated, 21, 10)
-    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
-    east = F.when(offset.startswith("-"), -minutes).otherwise(minutes)
+    hours, minutes = (F.substring(dated, at, 2).cast("int") for at in (22, 24))
+    ahead = (hours * 60 + minutes) * F.when(F.substring(dated, 21, 1) == "-", -60).otherwise(60)
     # As if the clock were at offset zero, whatever the session's time zone.
-    there = F.try_to_timestamp(F.concat(local, F.lit(" +0000")), F.lit(f"{LOCAL_TIME} Z"))
-    seconds = F.unix_seconds(there) - east * 60
-    well = (F.substring(dated, 20, 1) == " ") & offset.rlike(OFFSET)
-    return F.when(well, F.timestamp_seconds(seconds))
+    there = F.concat(F.substring(dated, 1, 19), F.lit("Z")).try_cast("timestamp")
+    return F.when(dated.rlike(DATED), F.timestamp_seconds(F.unix_seconds(there) - ahead))
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:
