@@ -59,10 +59,14 @@ def test_ingest_reports_counts_and_keeps_rejects(spark, tmp_path, root):
 
 def test_rejects_cost_no_second_parse(spark, tmp_path, root):
     logs = write_logs(tmp_path / "logs", a_b=["warning: x", commit(H["1"])])
-    executions = spark._jsparkSession.sharedState().statusStore().executionsList
-    before = executions().size()
+
+    def executions():
+        found = spark._jsparkSession.sharedState().statusStore().executionsList()
+        return {e.executionId(): e for e in map(found.apply, range(found.size()))}
+
+    before = set(executions())
     cl.ingest_logs(spark, logs, root)
-    plans = [executions().apply(i).physicalPlanDescription() for i in range(before, executions().size())]
+    plans = [e.physicalPlanDescription() for number, e in executions().items() if number not in before]
     assert sum("Scan text" in plan for plan in plans) == 1
     assert "Scan text" not in plan_of(cl.read_rejects(spark, root))
 
