@@ -28,8 +28,8 @@ CHUNK_TOKENS = 1 << 19
 # Counted entries that one counting group should have.
 BUCKET_ENTRIES = 1 << 19
 # Levels are powers of this.
-LEVEL_BASE = 2.0
-BITS_PER_ENTRY = 12
+LEVEL_BASE = 2**0.5
+BITS_PER_ENTRY = 14
 # Bits that an entry sets, all in one 64-bit word.
 BITS_SET = 5
 # Largest slice of the filter that is broadcast at once.

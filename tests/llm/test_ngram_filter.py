@@ -118,3 +118,13 @@ def test_nothing_teaches(odd_docs, no_docs):
     assert len(found) == len(odd_rows())
     assert all(r["held_out"] and r["n_known"] == r["train_tokens"] == 0 and r["base_score"] == 0 for r in found)
     assert score_texts(no_docs, F.lit(True)).count() == 0
+
+
+def test_levels_are_half_a_power_of_two_and_false_positives_are_rare():
+    counts = np.arange(1, 10_000)
+    # Integers alone round a small level's middle by more.
+    assert (np.abs(np.log2(count_of(levels_of(counts)) / counts)) <= 0.3).all()
+    rng = np.random.default_rng(6)
+    keys = rng.integers(0, 2**63, 400_000).astype(np.uint64)
+    filter_ = Segments(1, {0: build_segment(keys[:200_000], np.ones(200_000, np.int64)).tobytes()})
+    assert (filter_.levels(keys[200_000:], np.zeros(200_000, np.int64)) > 0).mean() < 0.008
