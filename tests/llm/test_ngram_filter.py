@@ -128,3 +128,14 @@ def test_levels_are_half_a_power_of_two_and_false_positives_are_rare():
     keys = rng.integers(0, 2**63, 400_000).astype(np.uint64)
     filter_ = Segments(1, {0: build_segment(keys[:200_000], np.ones(200_000, np.int64)).tobytes()})
     assert (filter_.levels(keys[200_000:], np.zeros(200_000, np.int64)) > 0).mean() < 0.008
+
+
+def test_query_knows_pairs_seen_once(spark, tmp_path):
+    from commitlens.llm.queries import op8_lm_scoring
+
+    rows = [(i, f"the cat number{i} met the dog number{i + 1} on day{i % 5} of the week") for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(op8_lm_scoring(spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
+    got = np.array([r["score"] for r in found])
+    once, twice = (np.array(slow_model(rows, 300.0, least)) for least in (1, 2))
+    assert np.abs(got - once).sum() < 0.2 * np.abs(got - twice).sum()
