@@ -232,8 +232,11 @@ def labelled_sample(
         .limit(rows)
     )
     texts = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
-    # At most `rows` rows are broadcast and come back.
-    found = with_statistics(texts.join(F.broadcast(chosen), "__key"), "__text", "__s", ["__key", "__label"])
+    # At most `rows` rows are broadcast and come back: of rows that repeat a key one text, the least by hash.
+    least = F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text")
+    keys = F.broadcast(chosen.select("__key").distinct())
+    once = texts.join(keys, "__key", "leftsemi").groupBy("__key").agg(least)
+    found = with_statistics(once.join(F.broadcast(chosen), "__key"), "__text", "__s", ["__key", "__label"])
     flat = found.select("__key", "__label", "__s.*").filter(~base_failed())
     numbers = [feature(name).alias(name) for name in FEATURES]
     table = flat.select("__label", *(n.alias(f"f_{name}") for n, name in zip(numbers, FEATURES)), "__key")

@@ -92,3 +92,13 @@ def test_without_labels_only_the_base_rules_reject(spark, odd_docs, no_docs):
     nulls = spark.createDataFrame([(1, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     assert rules_of(odd_docs, labels) == [] and rules_of(odd_docs, nulls) == [] and rules_of(no_docs, nulls) == []
     assert score_quality(no_docs, []).count() == 0 and keep_good(no_docs, []).count() == 0
+
+
+def test_repeated_keys_come_back_once(spark, documents):
+    from commitlens.llm.quality import keep_good, labelled_sample
+
+    texts = [r["text"] for r in keep_good(documents.select("doc_id", "text"), []).limit(6).collect()]
+    docs = spark.createDataFrame([(1, t) for t in texts[1:]] * 10 + [(2, texts[0])], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    _, bad = labelled_sample(docs, labels, "doc_id", "text", "quality", 10)
+    assert sorted(bad.tolist()) == [False, True]
