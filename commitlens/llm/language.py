@@ -117,15 +117,17 @@ def learn_dictionaries(
 ) -> dict[str, bytes]:
     """Raw content per language, from at most `rows` of its texts and `size` bytes.
 
-    Those whose keys hash lowest, the first `chars` characters of each. Null
+    Those whose keys hash lowest, `chars` characters of each at a hashed offset. Null
     languages, texts or keys teach nothing.
     """
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", F.xxhash64("text"))
+    room = F.greatest(F.length("text") - chars, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("key", "text"), room) + 1).cast("int")
     columns = [F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")]
     sample = (
         docs.select(*columns, F.col(lang).cast("string").alias("lang"))
         .dropna()
-        .select("lang", "key", F.left("text", F.lit(chars)).alias("text"))
+        .select("lang", "key", F.col("text").substr(start, F.lit(chars)).alias("text"))
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= rows)
     )

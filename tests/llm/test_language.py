@@ -60,3 +60,9 @@ def test_odd_rows(odd_docs, no_docs):
     assert kept.columns == docs.columns
     assert kept.count() == sum(not r["rejected"] for r in found)
     assert identify_language(no_docs, learned).count() == 0 and learn_dictionaries(no_docs) == {}
+
+
+def test_dictionaries_learn_more_than_openings(spark):
+    rows = [(i, "licence " * 200 + "body " * 1000, "en") for i in range(20)]
+    learned = learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert learned["en"].count(b"body") > learned["en"].count(b"licence")
