@@ -13,9 +13,11 @@ exact word counts behind the base score come back to the chunks by shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,6 +181,18 @@ def _to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _chunk_row(base + number, keys, train, parts)
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Chunk rows, a few megabytes each, of which only one is a Python object at a time."""
+    for batch in batches:
+        for part in slices(batch, 1):
+            yield part.to_pylist()[0]
+
+
+def _arrays(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """A binary column's values as they lie in the Arrow buffers, without copies; nulls are left out."""
+    return [np.frombuffer(x.as_buffer(), kind) for x in column if x.is_valid]
+
+
 def _token_weights(row: dict) -> np.ndarray:
     """1 for each token of a text that teaches, else 0."""
     ends = np.frombuffer(row["ends"], np.int64)
@@ -197,21 +211,20 @@ def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray]:
 
 def _send_words(bucket_bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
-                ids = np.frombuffer(row["ids"], np.uint32)
-                counts = np.bincount(ids, weights=_token_weights(row), minlength=len(vocabulary)).astype(np.uint32)
-                cuts = _cuts(_bucket(vocabulary, bucket_bits), 1 << bucket_bits)
-                for b in np.flatnonzero(np.diff(cuts)).tolist():
-                    at = slice(int(cuts[b]), int(cuts[b + 1]))
-                    columns = [
-                        pa.array([b], pa.int32()),
-                        pa.array([row["chunk"]], pa.int64()),
-                        pa.array([vocabulary[at].tobytes()]),
-                        pa.array([counts[at].tobytes()]),
-                    ]
-                    yield pa.record_batch(columns, ["bucket", "chunk", "hashes", "counts"])
+        for row in _one_by_one(batches):
+            vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
+            ids = np.frombuffer(row["ids"], np.uint32)
+            counts = np.bincount(ids, weights=_token_weights(row), minlength=len(vocabulary)).astype(np.uint32)
+            cuts = _cuts(_bucket(vocabulary, bucket_bits), 1 << bucket_bits)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                at = slice(int(cuts[b]), int(cuts[b + 1]))
+                columns = [
+                    pa.array([b], pa.int32()),
+                    pa.array([row["chunk"]], pa.int64()),
+                    pa.array([vocabulary[at].tobytes()]),
+                    pa.array([counts[at].tobytes()]),
+                ]
+                yield pa.record_batch(columns, ["bucket", "chunk", "hashes", "counts"])
 
     return send
 
@@ -220,25 +233,24 @@ def _send_pairs(bucket_bits: int):
     low = np.uint64((1 << 48) - 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                pairs = _pairs(row)[0][_token_weights(row) > 0]
-                hashes, counts = np.unique(pairs, return_counts=True)
-                # 48 bits below the bucket's tell pairs apart well enough for a filter.
-                shifted = hashes << np.uint64(bucket_bits) if bucket_bits else hashes
-                short = (shifted >> np.uint64(16)) & low
-                cuts = _cuts(_bucket(hashes, bucket_bits), 1 << bucket_bits)
-                for b in np.flatnonzero(np.diff(cuts)).tolist():
-                    at = slice(int(cuts[b]), int(cuts[b + 1]))
-                    packed = short[at].view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
-                    many = np.flatnonzero(counts[at] > 1).astype(np.uint32)
-                    columns = [
-                        pa.array([b], pa.int32()),
-                        pa.array([packed]),
-                        pa.array([many.tobytes()]),
-                        pa.array([counts[at][many].astype(np.uint32).tobytes()]),
-                    ]
-                    yield pa.record_batch(columns, ["bucket", "hashes", "repeated", "counts"])
+        for row in _one_by_one(batches):
+            pairs = _pairs(row)[0][_token_weights(row) > 0]
+            hashes, counts = np.unique(pairs, return_counts=True)
+            # 48 bits below the bucket's tell pairs apart well enough for a filter.
+            shifted = hashes << np.uint64(bucket_bits) if bucket_bits else hashes
+            short = (shifted >> np.uint64(16)) & low
+            cuts = _cuts(_bucket(hashes, bucket_bits), 1 << bucket_bits)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                at = slice(int(cuts[b]), int(cuts[b + 1]))
+                packed = short[at].view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
+                many = np.flatnonzero(counts[at] > 1).astype(np.uint32)
+                columns = [
+                    pa.array([b], pa.int32()),
+                    pa.array([packed]),
+                    pa.array([many.tobytes()]),
+                    pa.array([counts[at][many].astype(np.uint32).tobytes()]),
+                ]
+                yield pa.record_batch(columns, ["bucket", "hashes", "repeated", "counts"])
 
     return send
 
@@ -265,8 +277,8 @@ def _counted(rows: list[tuple]) -> pa.Table:
 def _merge_words(group: pa.Table) -> pa.Table:
     """A segment of the filter, and to each chunk the counts of the words it sent."""
     bucket = group["bucket"][0].as_py()
-    hashes = [np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()]
-    counts = [np.frombuffer(x, np.uint32) for x in group["counts"].to_pylist()]
+    hashes = _arrays(group["hashes"], np.uint64)
+    counts = _arrays(group["counts"], np.uint32)
     distinct, totals, inverse = _total(hashes, counts)
     learned = totals > 0
     segment = build_segment(distinct[learned], totals[learned])
@@ -281,12 +293,13 @@ def _merge_words(group: pa.Table) -> pa.Table:
 def _merge_pairs(least: int):
     def merge(group: pa.Table) -> pa.Table:
         bucket, hashes, counts = group["bucket"][0].as_py(), [], []
-        for packed, repeated, many in zip(*(group[c].to_pylist() for c in ("hashes", "repeated", "counts"))):
-            wide = np.zeros((len(packed) // 6, 4), np.uint16)
-            wide[:, :3] = np.frombuffer(packed, np.uint16).reshape(-1, 3)
+        sent = (_arrays(group["hashes"], np.uint16), *(_arrays(group[c], np.uint32) for c in ("repeated", "counts")))
+        for packed, repeated, many in zip(*sent):
+            wide = np.zeros((len(packed) // 3, 4), np.uint16)
+            wide[:, :3] = packed.reshape(-1, 3)
             hashes.append(wide.view(np.uint64).ravel())
             counts.append(np.ones(len(wide), np.int64))
-            counts[-1][np.frombuffer(repeated, np.uint32)] = np.frombuffer(many, np.uint32)
+            counts[-1][repeated] = many
         distinct, totals, _ = _total(hashes, counts)
         often = totals >= least
         segment = build_segment(distinct[often], totals[often], least)
@@ -315,13 +328,12 @@ def _probe(shared, bucket_bits: int):
     """Levels of the chunk's words and of its tokens' pairs, 0 where another slice has them."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, pairs = np.frombuffer(row["vocabulary"], np.uint64), _pairs(row)[0]
-                words = shared.value["words"].levels(words, _bucket(words, bucket_bits))
-                pairs = shared.value["pairs"].levels(_short(pairs, bucket_bits), _bucket(pairs, bucket_bits))
-                columns = [pa.array([row["chunk"]], pa.int64()), pa.array([words.tobytes()]), pa.array([pairs.tobytes()])]
-                yield pa.record_batch(columns, ["chunk", "words", "pairs"])
+        for row in _one_by_one(batches):
+            words, pairs = np.frombuffer(row["vocabulary"], np.uint64), _pairs(row)[0]
+            words = shared.value["words"].levels(words, _bucket(words, bucket_bits))
+            pairs = shared.value["pairs"].levels(_short(pairs, bucket_bits), _bucket(pairs, bucket_bits))
+            columns = [pa.array([row["chunk"]], pa.int64()), pa.array([words.tobytes()]), pa.array([pairs.tobytes()])]
+            yield pa.record_batch(columns, ["chunk", "words", "pairs"])
 
     return probe
 
@@ -333,13 +345,11 @@ _SCORES = (
 
 def _score(total: int, distinct: int, prior: float, least: int):
     def score(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        row = next(r for r in rows if r["ids"] is not None)
-        answers = sorted((r["bucket"], r["counts"]) for r in rows if r["counts"] is not None)
-        counts = np.concatenate([np.frombuffer(c, np.int64) for _, c in answers])
-        probed = [r for r in rows if r["words"] is not None]
-        words = np.max([np.frombuffer(r["words"], np.uint8) for r in probed], axis=0)
-        pairs = np.max([np.frombuffer(r["pairs"], np.uint8) for r in probed], axis=0)
+        row = group.filter(pc.is_valid(group["ids"])).to_pylist()[0]
+        answers = group.filter(pc.is_valid(group["counts"])).sort_by("bucket")
+        counts = np.concatenate(_arrays(answers["counts"], np.int64))
+        words = reduce(np.maximum, _arrays(group["words"], np.uint8))
+        pairs = reduce(np.maximum, _arrays(group["pairs"], np.uint8))
         ids = np.frombuffer(row["ids"], np.uint32)
         ends = np.frombuffer(row["ends"], np.int64)
         starts = ends - np.diff(ends, prepend=0)
