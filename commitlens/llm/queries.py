@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from commitlens.llm.language import identify_language, learn_dictionaries
 from commitlens.llm.mixing import Level, mix
 from commitlens.llm.ngram_filter import score_texts
 from commitlens.llm.packing import pack
+from commitlens.llm.periodic_runs import periodic_runs, run_digest, words_of
 from commitlens.llm.quality import rules_of, score_quality
 from commitlens.llm.simhash import simhash_groups
 from commitlens.llm.token_store import scan_token_store, write_token_store
@@ -84,6 +86,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, dictionaries).withColumn("held_out", held_out)
 
 
+def planted_words(key: int | None, text: str | None) -> list[bytes]:
+    """A text's words; for a tenth of the keys, all from some word on repeat with a period."""
+    words = words_of(key, text)
+    rest, tenth = divmod(zlib.crc32(str(key).encode()), 10)
+    if key is None or tenth or not words:
+        return words
+    at = rest % len(words)
+    period = 1 + (len(words) - at) // (3 + rest % 8)
+    root = words[at : at + period]
+    return words[:at] + (root * (-(-(len(words) - at) // period)))[: len(words) - at]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(_table(spark, sf_dir, "documents"), min_length=12, words=planted_words))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
@@ -96,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
         "op10_language_id": op10_language_id,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
