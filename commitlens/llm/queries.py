@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commitlens.llm.hard_negatives import mine_hard_negatives
 from commitlens.llm.html_text import extract_text
 from commitlens.llm.language import identify_language, learn_dictionaries
 from commitlens.llm.mixing import Level, mix
@@ -86,6 +87,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, dictionaries).withColumn("held_out", held_out)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return mine_hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 def planted_words(key: int | None, text: str | None) -> list[bytes]:
     """A text's words; for a tenth of the keys, all from some word on repeat with a period."""
     words = words_of(key, text)
@@ -114,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
         "op10_language_id": op10_language_id,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
@@ -179,5 +186,30 @@ SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens, CAST(epoc
 FROM (SELECT *, unnest(range(CAST(epochs + CASE WHEN start < rest THEN 1 ELSE 0 END AS BIGINT))) AS epoch FROM drawn)"""
 
 
+_HARD_SQL = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+        CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM usable AS a JOIN usable AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+          FROM scored WHERE same)
+    WHERE place <= 5),
+ranked AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+    FROM positives AS p JOIN scored AS s ON p.anchor_id = s.anchor_id AND NOT s.same
+        AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INT) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": _MIX_SQL}
+    return {"op4_source_mixing": _MIX_SQL, "op12_hard_negatives": _HARD_SQL}
