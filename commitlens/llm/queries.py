@@ -16,6 +16,7 @@ from commitlens.llm.ngram_filter import score_texts
 from commitlens.llm.packing import pack
 from commitlens.llm.periodic_runs import periodic_runs, run_digest, words_of
 from commitlens.llm.quality import rules_of, score_quality
+from commitlens.llm.shingle_join import shingle_components
 from commitlens.llm.simhash import simhash_groups
 from commitlens.llm.token_store import scan_token_store, write_token_store
 from commitlens.llm.tokens import default_tokenizer
@@ -87,6 +88,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, dictionaries).withColumn("held_out", held_out)
 
 
+def op11_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shingle_components(_table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return found.withColumnRenamed("component", "component_id")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
     return mine_hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
@@ -120,6 +126,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_quality_rules": op9_quality_rules,
         "op10_language_id": op10_language_id,
+        "op11_shingle_join": op11_shingle_join,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_periodic_runs": op13_periodic_runs,
     }
