@@ -5,13 +5,14 @@ least `percent` Jaccard similarity miss few of each other's tokens: at most
 e = |x| - ceil(percent |x|) of a set x. So whatever part of x is long enough to
 survive e losses must meet its partner there.
 
-1. Tokens are ordered by hash, and a set's prefix is extended until it survives
-   any e losses. How many sets have a token in their prefixes decides its class:
-   tokens of one set alone index nothing, rare ones are indexed singly, frequent
-   ones in combinations of two, very frequent ones of three. Combinations are made
-   within subclasses only; a subclass with c tokens of a set survives c - k + 1
-   losses, and the prefix is long enough to pay for all subclasses' k - 1. Which of
-   two prefixes ends first does not matter: the other holds all tokens up to there.
+1. Tokens are ordered by how many sets have them, rarest first, and a set's prefix
+   is extended until it survives any e losses. Tokens of one set alone index
+   nothing, rare ones are indexed singly, frequent ones in combinations of two,
+   very frequent ones of three. Combinations are made within subclasses only; a
+   subclass with c tokens of a set survives c - k + 1 losses. Which of two prefixes
+   ends first does not matter: the other holds all its own tokens up to there.
+   All sets are counted, but only tokens with small hashes: a set has enough of
+   them for a prefix. Where by chance it has not, more tokens follow by hash.
    Counting and indexing go by bands of set size, [2^b, 2^(b+1)); a set near the
    lower edge of its band stands in the band below as well.
 2. Sets that share an entry meet in the group of the smallest set with that entry.
@@ -37,10 +38,14 @@ from commitlens.llm.components import connected_components
 from commitlens.llm.tokens import slices
 from commitlens.scratch import stored
 
-# A token in at most so many prefixes is indexed singly, in pairs, and beyond in triples.
-SINGLES, PAIRS = 64, 4096
+# A token in at most about so many sets is indexed singly, in pairs, and beyond in triples.
+SINGLES, PAIRS = 16, 1024
 # Subclasses of a band, in hundredths of its smallest set, by combination length.
-_SUBCLASS_PERCENT = {2: 5, 3: 4}
+_SUBCLASS_PERCENT = {2: 4, 3: 3}
+# Hundredths of all tokens that are counted, from band 5 on; all of them below.
+_COUNTED_PERCENT = (60, 45, 38, 34, 30)
+# Level of tokens that are not counted.
+_UNCOUNTED = 255
 # Prefix tokens, and sets, of a chunk.
 CHUNK_TOKENS, CHUNK_SETS = 1 << 19, 1 << 16
 # Distinct tokens that one counting group should have.
@@ -103,15 +108,44 @@ def subclasses(band: int, k: int) -> int:
     return max(1, (_SUBCLASS_PERCENT[k] << band) // 100)
 
 
+def counted_below(band: int) -> int:
+    """Tokens of a band are counted if their hashes are below this."""
+    if band < 5:
+        return 2**64 - 1
+    return (_COUNTED_PERCENT[min(band - 5, len(_COUNTED_PERCENT) - 1)] << 64) // 100
+
+
 def prefix_length(n: int, band: int, percent: int) -> int:
     """Tokens that survive any losses, whatever their classes are."""
     return min(n, losses(n, percent) + 1 + subclasses(band, 2) + 2 * subclasses(band, 3))
 
 
+def unit_of(tokens: np.ndarray, band: int, percent: int) -> tuple[int, int]:
+    """How many of a set's sorted tokens are counted, and how many its prefix is taken from."""
+    counted = int(np.searchsorted(tokens, np.uint64(counted_below(band)), "right"))
+    return counted, max(counted, prefix_length(len(tokens), band, percent))
+
+
+def level_of(counts: np.ndarray | int) -> np.ndarray:
+    """0 for tokens of one set, then eight levels for each doubling."""
+    levels = 1 + np.floor(8 * np.log2(np.maximum(counts, 1))).astype(np.int64)
+    return np.where(np.asarray(counts) < 2, 0, np.minimum(levels, _UNCOUNTED - 1)).astype(np.uint8)
+
+
 def band_keys(tokens: np.ndarray, bands: np.ndarray | int) -> np.ndarray:
-    """A token's key within a band."""
+    """A token's key of 48 bits within a band; keys only find candidates."""
     with np.errstate(over="ignore"):
-        return _mix(tokens + np.asarray(bands, np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        return _mix(tokens + np.asarray(bands, np.uint64) * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(16)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    return keys.view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _unpacked(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 3, 4), np.uint16)
+    out[:, :3] = raw.reshape(-1, 3)
+    return out.view(np.uint64).ravel()
 
 
 def _within_groups(groups: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -133,8 +167,18 @@ def _combined(parts: list[np.ndarray], k: int) -> np.ndarray:
     return out
 
 
-def entries_of(keys: np.ndarray, classes: np.ndarray, n: int, band: int, percent: int) -> np.ndarray:
-    """Index entries of one set: `keys` of its prefix in order, `classes` 0 (nobody else), 1, 2 or 3."""
+def entries_of(
+    keys: np.ndarray, levels: np.ndarray, n: int, band: int, percent: int, singles: int, pairs: int
+) -> np.ndarray:
+    """Index entries of one set of `n` tokens; those that are not counted stand last."""
+    rare_first = np.lexsort((keys, levels))
+    if levels[rare_first[-1]] == _UNCOUNTED:
+        # By hash, which is the order they come in.
+        rare_first = np.argsort(np.where(levels == _UNCOUNTED, len(keys) + np.arange(len(keys)), np.argsort(rare_first)))
+    keys, levels = keys[rare_first], levels[rare_first]
+    classes = 1 + (levels > level_of(singles)).astype(np.int64) + (levels > level_of(pairs))
+    classes[levels == 0] = 0
+    classes[levels == _UNCOUNTED] = 1
     needed = losses(n, percent) + 1
     survives = np.ones(len(keys), np.int64)
     members: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -170,7 +214,7 @@ _CHUNK = (
 
 
 def _read(shingle: int, percent: int):
-    """Chunks of rows: keys, set sizes and signatures, and prefixes as units `(row, band, length)`."""
+    """Chunks of rows: keys, set sizes and signatures, and tokens by units `(row, band, counted, length)`."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -201,9 +245,9 @@ def _read(shingle: int, percent: int):
                             seen.clear()
                         seen.add(own)
                         for band in bands_of(size, percent):
-                            length = prefix_length(size, band, percent)
-                            units.append((len(keys), band, length))
-                            parts.append(tokens[:length].tobytes())
+                            counted, length = unit_of(tokens, band, percent)
+                            units.append((len(keys), band, counted, length))
+                            parts.append(_packed(band_keys(tokens[:length], band)))
                             n += length
                     keys.append(key)
                     sizes.append(size)
@@ -245,13 +289,11 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chunk_keys(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    units = np.frombuffer(row["units"], np.int64).reshape(-1, 3)
-    tokens = np.frombuffer(row["tokens"], np.uint64)
-    return units, band_keys(tokens, np.repeat(units[:, 1], units[:, 2]))
+    return np.frombuffer(row["units"], np.int64).reshape(-1, 4), _unpacked(np.frombuffer(row["tokens"], np.uint16))
 
 
 def _cuts(sorted_keys: np.ndarray, bucket_bits: int) -> np.ndarray:
-    buckets = (sorted_keys >> np.uint64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(sorted_keys), np.int64)
+    buckets = (sorted_keys >> np.uint64(48 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(sorted_keys), np.int64)
     return np.searchsorted(buckets, np.arange((1 << bucket_bits) + 1))
 
 
@@ -262,7 +304,7 @@ def _send(bucket_bits: int):
             cuts = _cuts(keys, bucket_bits)
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 at = slice(int(cuts[b]), int(cuts[b + 1]))
-                columns = [pa.array([b], pa.int32()), pa.array([row["chunk"]]), pa.array([keys[at].tobytes()]),
+                columns = [pa.array([b], pa.int32()), pa.array([row["chunk"]]), pa.array([_packed(keys[at])]),
                            pa.array([counts[at].astype(np.uint32).tobytes()])]
                 yield pa.record_batch(columns, ["bucket", "chunk", "keys", "counts"])
 
@@ -273,39 +315,40 @@ def _arrays(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), kind) for x in column if x.is_valid]
 
 
-def _classify(singles: int, pairs: int):
-    def classify(group: pa.Table) -> pa.Table:
-        sent = _arrays(group["keys"], np.uint64)
-        distinct, inverse = np.unique(np.concatenate(sent), return_inverse=True)
-        totals = np.bincount(inverse, weights=np.concatenate(_arrays(group["counts"], np.uint32)), minlength=len(distinct))
-        classes = (1 + (totals > singles) + (totals > pairs)).astype(np.uint8)
-        classes[totals < 2] = 0
-        ends = np.cumsum([len(x) for x in sent])
-        answers = [x.tobytes() for x in np.split(classes[inverse], ends[:-1])]
-        return pa.table([group["chunk"].cast(pa.int64()), group["bucket"].cast(pa.int32()), pa.array(answers)], ["chunk", "bucket", "classes"])
-
-    return classify
+def _count(group: pa.Table) -> pa.Table:
+    """To each chunk the levels of the keys that it sent."""
+    sent = [_unpacked(x) for x in _arrays(group["keys"], np.uint16)]
+    distinct, inverse = np.unique(np.concatenate(sent), return_inverse=True)
+    totals = np.bincount(inverse, weights=np.concatenate(_arrays(group["counts"], np.uint32)), minlength=len(distinct))
+    ends = np.cumsum([len(x) for x in sent])
+    answers = [x.tobytes() for x in np.split(level_of(totals)[inverse], ends[:-1])]
+    columns = [group["chunk"].cast(pa.int64()), group["bucket"].cast(pa.int32()), pa.array(answers)]
+    return pa.table(columns, ["chunk", "bucket", "levels"])
 
 
-def _index(percent: int):
+def _index(percent: int, singles: int, pairs: int):
     """Of one chunk and its answers: the entries of every set."""
 
     def index(group: pa.Table) -> pa.Table:
         row = group.filter(pc.is_valid(group["units"])).to_pylist()[0]
-        answers = group.filter(pc.is_valid(group["classes"])).sort_by("bucket")
+        answers = group.filter(pc.is_valid(group["levels"])).sort_by("bucket")
         units, keys = _chunk_keys(row)
         found, uids = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         if len(keys):
             # Buckets are ranges of keys, so their answers follow each other like the sorted keys.
-            classes = np.concatenate(_arrays(answers["classes"], np.uint8))[np.unique(keys, return_inverse=True)[1]]
-            ends = np.cumsum(units[:, 2])
-            shared = np.add.reduceat(classes > 0, ends - units[:, 2])
-            for (at, band, length), end, some in zip(units.tolist(), ends.tolist(), shared.tolist()):
-                if some:
-                    own = slice(end - length, end)
-                    entries = entries_of(keys[own], classes[own], row["sizes"][at], band, percent)
-                    found.append(entries)
-                    uids.append(np.full(len(entries), (row["chunk"] << 17) + at))
+            levels = np.concatenate(_arrays(answers["levels"], np.uint8))[np.unique(keys, return_inverse=True)[1]]
+            ends = np.cumsum(units[:, 3])
+            alone = np.add.reduceat(levels == 0, ends - units[:, 3], dtype=np.int64)
+            for (at, band, counted, length), end, unshared in zip(units.tolist(), ends.tolist(), alone.tolist()):
+                n = row["sizes"][at]
+                # Enough tokens that nobody else has: there is no partner.
+                if unshared > losses(n, percent):
+                    continue
+                own = levels[end - length : end].copy()
+                own[counted:] = _UNCOUNTED
+                entries = entries_of(keys[end - length : end], own, n, band, percent, singles, pairs)
+                found.append(entries)
+                uids.append(np.full(len(entries), (row["chunk"] << 17) + at))
         return pa.table([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(uids))], ["entry", "uid"])
 
     return index
@@ -390,7 +433,7 @@ def _wanted_words(wanted: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, text: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """`(uid, tokens)` of the sets that `wanted` names by signature, read from the texts again."""
+    """`(uid, tokens)` of the sets that `wanted` names by signature, once each, read from the texts again."""
     words = docs.sparkSession.sparkContext.broadcast(_wanted_words(wanted))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,7 +457,7 @@ def _sets(docs: DataFrame, text: str, shingle: int, wanted: DataFrame) -> DataFr
                     yield pa.record_batch(columns, ["signature", "tokens"])
 
     read = docs.select(F.col(text).cast("string")).mapInArrow(again, "signature binary, tokens binary")
-    return stored(read.join(wanted, "signature").groupBy("uid").agg(F.first("tokens").alias("tokens")))
+    return read.join(wanted.select("signature", "uid"), "signature").groupBy("uid").agg(F.first("tokens").alias("tokens"))
 
 
 def _members(stars: DataFrame) -> DataFrame:
@@ -422,9 +465,8 @@ def _members(stars: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select("centre", F.col("centre").alias("uid")).distinct())
 
 
-def _verified(docs: DataFrame, text: str, shingle: int, percent: int, stars: DataFrame, sets: DataFrame, group_tokens: int) -> DataFrame:
+def _verified(percent: int, stars: DataFrame, sizes: DataFrame, sets: DataFrame, group_tokens: int) -> DataFrame:
     """`(a, b)`: links within the groups."""
-    sizes = sets.select("uid", F.expr("octet_length(tokens) div 8").alias("n"))
     members = stored(_members(stars).join(sizes, "uid"))
     groups = members.groupBy("centre").agg(F.sum("n").alias("all"))
     groups = stored(groups.withColumn("blocks", F.ceil(F.col("all") / group_tokens).cast("int")))
@@ -484,10 +526,10 @@ def shingle_components(
     answers = (
         prefixes.mapInArrow(_send(bucket_bits), "bucket int, chunk long, keys binary, counts binary")
         .groupBy("bucket")
-        .applyInArrow(_classify(singles, pairs), "chunk long, bucket int, classes binary")
+        .applyInArrow(_count, "chunk long, bucket int, levels binary")
     )
     indexed = prefixes.unionByName(answers, allowMissingColumns=True)
-    entries = stored(indexed.groupBy("chunk").applyInArrow(_index(percent), "entry long, uid long"))
+    entries = stored(indexed.groupBy("chunk").applyInArrow(_index(percent, singles, pairs), "entry long, uid long"))
     rows = stored(chunks.select("chunk", "keys", "sizes", "signatures").mapInArrow(_rows_of, "uid long, key long, n long, signature binary"))
     # Equal sets are one; the first row that has one stands for it.
     firsts = stored(rows.filter("n > 0").groupBy("signature").agg(F.min("uid").alias("first")))
@@ -495,13 +537,13 @@ def shingle_components(
     met = entries.join(centres.filter("centre < last").drop("last"), "entry").filter("uid > centre")
     met = stored(met.select("centre", "uid").distinct())
     uids = met.select(F.col("centre").alias("uid")).unionByName(met.select("uid")).distinct()
-    standing = stored(rows.join(uids, "uid").join(firsts, "signature").select("uid", "first", "signature"))
+    standing = stored(rows.join(uids, "uid").join(firsts, "signature").select("uid", "first", "signature", "n"))
     # A set's first row has all its entries, so a centre always is such a row.
     stars = met.join(standing.select("uid", "first"), "uid").select("centre", F.col("first").alias("uid"))
     stars = stored(stars.filter("centre <> uid").distinct())
-    wanted = stored(standing.select(F.col("first").alias("uid"), "signature").distinct())
+    wanted = stored(standing.select(F.col("first").alias("uid"), "signature", "n").distinct())
     sets = _sets(docs, text, shingle, wanted)
-    links = stored(_verified(docs, text, shingle, percent, stars, sets, group_tokens))
+    links = stored(_verified(percent, stars, wanted.select("uid", "n"), sets, group_tokens))
     roots = stored(connected_components(links)).withColumnRenamed("node", "first")
     named = firsts.join(roots, "first", "left").select("signature", F.coalesce("root", "first").alias("root"))
     least = rows.filter("n > 0").groupBy("signature").agg(F.min("key").alias("key"))

@@ -97,25 +97,33 @@ def test_query_against_brute_force(spark, small, documents):
 @pytest.mark.parametrize("percent", [80, 90, 95])
 def test_similar_sets_share_an_entry(percent):
     rng = np.random.default_rng(percent)
-    for _ in range(400):
+    tested = 0
+    for _ in range(1500):
         n = int(rng.integers(4, 400))
-        universe = rng.integers(0, 2**63, 2 * n + 50).astype(np.uint64)
+        universe = rng.integers(0, 2**63, 2 * n + 50).astype(np.uint64) * np.uint64(2)
         x = np.unique(universe[:n])
-        y = np.unique(np.concatenate((x[rng.random(len(x)) > rng.random() * 0.12], universe[n : n + int(rng.integers(0, 1 + n // 12))])))
+        keep = x[rng.random(len(x)) > rng.random() * 0.12]
+        y = np.unique(np.concatenate((keep, universe[n : n + int(rng.integers(0, 1 + n // 12))])))
         if np.array_equal(x, y) or not len(y) or not sj.similar(x, y, percent):
             continue
-        kinds = rng.choice([1, 2, 3], p=rng.dirichlet((0.4, 0.4, 0.4)), size=len(universe))
-        kind_of = dict(zip(universe.tolist(), kinds.tolist()))
+        tested += 1
+        counts = rng.choice([2, 16, 17, 1024, 1025, 10**6], p=rng.dirichlet([0.3] * 6), size=len(universe))
+        count_of = dict(zip(universe.tolist(), counts.tolist()))
         band = min(len(x), len(y)).bit_length() - 1
-        found = []
+        taken = {}
         for own in (x, y):
             assert sj.may_link(len(own), percent) and band in sj.bands_of(len(own), percent)
-            prefix = own[: sj.prefix_length(len(own), band, percent)]
-            other = y if own is x else x
-            classes = np.array([kind_of[t] if t in other else 0 for t in prefix.tolist()], np.uint8)
-            found.append(set(sj.entries_of(sj.band_keys(prefix, band), classes, len(own), band, percent).tolist()))
-        # What nobody else has in a prefix may still be in the longer set; then it is not counted as alone.
+            taken[id(own)] = sj.unit_of(own, band, percent)
+        found = []
+        for own, other in ((x, y), (y, x)):
+            counted, length = taken[id(own)]
+            theirs = set(other[: taken[id(other)][1]].tolist())
+            levels = sj.level_of(np.array([count_of[t] if t in theirs else 1 for t in own[:length].tolist()]))
+            levels[counted:] = sj._UNCOUNTED
+            keys = sj.band_keys(own[:length], band)
+            found.append(set(sj.entries_of(keys, levels, len(own), band, percent, 16, 1024).tolist()))
         assert found[0] & found[1]
+    assert tested > 100
 
 
 def test_prefix_always_long_enough():
