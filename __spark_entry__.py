@@ -207,6 +207,55 @@ def _event_type_block_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# With this bound the table is numbered in many pieces, here as on a cluster.
+SMALL_PIECE = 500
+
+
+def _events_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with its number in the whole table, in order of time."""
+    return cl.number_rows(_events(spark, sf_dir), ["ts", "event_id"], piece_rows=SMALL_PIECE)
+
+
+def _error_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks over the whole table, without a key: each starts with an error."""
+    return cl.assign_blocks(
+        _events(spark, sf_dir), [], ["ts", "event_id"], F.col("event_type") == "error", "event_id", HOT_EVENTS
+    )
+
+
+# Windows are many to an event; with this bound the fuller bins are split.
+HOT_BIN = 2_000
+
+
+def _order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window for each order in the month of the events: most short, some long, empty or without an end."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    kind = _events(spark, sf_dir).schema["ts"].dataType
+    opens = F.make_dt_interval(secs=F.expr("CAST(o_orderkey * 7919 % 2592000 AS DECIMAL(18, 6))"))
+    seconds = """CASE WHEN o_orderkey % 997 = 5 THEN NULL WHEN o_orderkey % 400 = 0 THEN 864000
+        WHEN o_orderkey % 40 = 1 THEN 0 ELSE 30 + o_custkey % 3000 END"""
+    lasts = F.make_dt_interval(secs=F.expr(f"CAST({seconds} AS DECIMAL(18, 6))"))
+    start = F.lit("2024-01-01 00:00:00").cast(kind) + opens
+    return orders.select("o_orderkey", "o_custkey", start.alias("opens")).withColumn("closes", F.col("opens") + F.when(F.expr(seconds).isNotNull(), lasts))
+
+
+def _events_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each window what falls into it, whoever did it."""
+    events = _events(spark, sf_dir).select("event_id", "ts", "value")
+    met = cl.interval_join(events, _order_windows(spark, sf_dir), "ts", "opens", "closes", max_bin_rows=HOT_BIN)
+    return met.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_events"), F.min("event_id").alias("first_event"), F.max("value").alias("most")
+    )
+
+
+def _users_events_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the windows of their own user that hold them."""
+    events = _events(spark, sf_dir).select("event_id", "ts", "user_id")
+    windows = _order_windows(spark, sf_dir).withColumn("user_id", F.expr("o_custkey % 150")).drop("o_custkey")
+    met = cl.interval_join(events, windows, "ts", "opens", "closes", ["user_id"])
+    return met.select("event_id", "user_id", "o_orderkey")
+
+
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/conversations.parquet")
 
@@ -284,6 +333,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_block_bounds": _event_block_bounds,
         "event_type_blocks": _event_type_blocks,
         "event_type_block_bounds": _event_type_block_bounds,
+        "events_numbered": _events_numbered,
+        "error_blocks": _error_blocks,
+        "events_in_windows": _events_in_windows,
+        "users_events_in_windows": _users_events_in_windows,
         "conversation_text": _conversation_text,
         "conversation_pieces": _conversation_pieces,
         "log_sizes": lambda spark, sf_dir: cl.log_sizes(spark, bridge.logs_of(spark, sf_dir)),
@@ -385,6 +438,15 @@ SELECT {key}, event_id AS block_id, row_number() OVER w AS block_seq,
     lead(ts) OVER w AS next_ts, lead(event_id) OVER w AS next_event_id
 FROM events WHERE {marker}
 WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id)"""
+_WINDOWS = """
+WITH opened AS (
+    SELECT o_orderkey, o_custkey, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(o_orderkey * 7919 % 2592000) AS opens
+    FROM orders),
+windows AS (
+    SELECT *, CASE WHEN o_orderkey % 997 = 5 THEN NULL WHEN o_orderkey % 400 = 0 THEN opens + to_seconds(864000)
+        WHEN o_orderkey % 40 = 1 THEN opens ELSE opens + to_seconds(30 + o_custkey % 3000) END AS closes
+    FROM opened)
+"""
 _REJECTS = """
             SELECT repo_id, 'stray' AS reason, 'warning: inexact rename in ' || key AS text
             FROM commits WHERE key % 97 = 5
@@ -519,6 +581,16 @@ def oracle_sql() -> dict[str, str]:
         "event_block_bounds": _BOUNDS.format(**_SIGNUP),
         "event_type_blocks": _NUMBERED_BLOCKS.format(**_BY_TYPE),
         "event_type_block_bounds": _BOUNDS.format(**_BY_TYPE),
+        "events_numbered": """
+            SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_number FROM events""",
+        "error_blocks": _NUMBERED_BLOCKS.format(key="1", marker="event_type = 'error'"),
+        "events_in_windows": _WINDOWS + """
+            SELECT o_orderkey, count(*) AS n_events, min(event_id) AS first_event, max(value) AS most
+            FROM windows JOIN events ON opens <= ts AND (ts < closes OR closes IS NULL) GROUP BY o_orderkey""",
+        "users_events_in_windows": _WINDOWS + """
+            SELECT event_id, user_id, o_orderkey
+            FROM windows JOIN events ON user_id = o_custkey % 150
+                AND opens <= ts AND (ts < closes OR closes IS NULL)""",
         "conversation_text": """
             SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text
             FROM conversations GROUP BY conv_id""",

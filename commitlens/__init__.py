@@ -4,6 +4,8 @@ from commitlens.functions.repo_url import is_repo_url, repo_id
 from commitlens.operators.blocks import assign_blocks, block_bounds
 from commitlens.operators.collect import collect_ordered, collect_pieces, ordered_values
 from commitlens.operators.ingest import parse_blocks, rejects, well_formed
+from commitlens.operators.intervals import interval_join
+from commitlens.operators.numbering import number_rows
 from commitlens.plans.ingest import ingest_logs
 from commitlens.plans.queries import (
     by_author,
@@ -54,10 +56,12 @@ __all__ = [
     "file_status_shares",
     "files_by_author",
     "ingest_logs",
+    "interval_join",
     "is_repo_url",
     "list_repos",
     "log_sizes",
     "merge_commits",
+    "number_rows",
     "ordered_values",
     "overview",
     "overview_long",

@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commitlens.functions.names import quoted
 from commitlens.operators.skew import CHUNK, MAX_GROUP_ROWS, split_hot_groups
 from commitlens.scratch import stored
 
-# Working columns; their names must not occur in the input.
+# Working columns. The input's own columns are numbered while the work is done, so any names will do.
 MARK, ID, START = "__mark", "__id", "__start"
 AT, SEQ, OPENED, OPEN_ID = "__at", "__seq", "__opened", "__open_id"
 
@@ -61,12 +62,22 @@ def _carries(numbered: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _named(numbered: DataFrame, columns: list[str], seq: Column, open_id: Column, in_block: Column) -> DataFrame:
+def _named(numbered: DataFrame, columns: dict[str, str], seq: Column, open_id: Column, in_block: Column) -> DataFrame:
     return numbered.select(
-        *columns, open_id[0].alias("block_id"), seq.alias("block_seq"), in_block.alias("row_in_block")
+        *(F.col(inner).alias(name) for name, inner in columns.items()),
+        open_id[0].alias("block_id"),
+        seq.alias("block_seq"),
+        in_block.alias("row_in_block"),
     )
 
 
+def _refuse(names: list[str], added: list[str]) -> None:
+    """Columns that are added must not be there already."""
+    taken = {n.lower() for n in names} & {a.lower() for a in added}
+    if taken:
+        raise ValueError(f"the table already has {sorted(taken)}")
+
+
 def assign_blocks(
     df: DataFrame,
     keys: list[str],
@@ -79,21 +90,26 @@ def assign_blocks(
 
     A block starts at a marker row and is named by that row's `id_column`. Blocks
     count from 1 within a key; rows before its first marker have a null id and
-    sequence 0. `order` must order the rows of a key totally.
+    sequence 0. `order` must order the rows of a key totally. Without `keys` the
+    whole table is one key, of any size. Other columns may be called anything but
+    like those that are added.
     """
+    _refuse(df.columns, ["block_id", "block_seq", "row_in_block"])
+    columns = {c: f"c{i}" for i, c in enumerate(df.columns)}
     marker = F.coalesce(is_marker, F.lit(False))
     rows = df.select(
-        "*",
+        *(F.col(quoted(c)).alias(inner) for c, inner in columns.items()),
         marker.cast("long").alias(MARK),
         # In an array, so that a marker with a null id still ends the block before.
-        F.when(marker, F.array(id_column)).alias(ID),
+        F.when(marker, F.array(F.col(quoted(id_column)))).alias(ID),
     )
+    keys, order = [columns[k] for k in keys], [columns[o] for o in order]
     ordinary, hot = split_hot_groups(rows, keys, order, max_group_rows)
     at, seq, opened, open_id = (F.col(c) for c in (AT, SEQ, OPENED, OPEN_ID))
     result = None
     if ordinary is not None:
         in_block = at - F.coalesce(opened - 1, F.lit(0))
-        result = _named(_numbered(ordinary, keys, order), df.columns, seq, open_id, in_block)
+        result = _named(_numbered(ordinary, keys, order), columns, seq, open_id, in_block)
     if hot is None:
         return result
     # Stored, because a lost task might otherwise draw other chunks.
@@ -102,7 +118,7 @@ def assign_blocks(
     in_block = F.when(opened.isNull(), F.col("__rows_before") + at).otherwise(at - opened + 1)
     found = _named(
         carried,
-        df.columns,
+        columns,
         seq + F.col("__markers_before"),
         F.coalesce(open_id, F.col("__id_before")),
         in_block,
@@ -125,15 +141,21 @@ def block_bounds(
 ) -> DataFrame:
     """One row per block: keys, `block_id`, `block_seq`, `start_<order>`, `next_<order>`.
 
-    `next_…` is where the key's next block starts, null for its last block.
+    `next_…` is where the key's next block starts, null for its last block. Without
+    `keys` the whole table is one key.
     """
+    _refuse(keys, ["block_id", "block_seq", *(f"{side}_{c}" for side in ("start", "next") for c in order)])
+    names = {f"c{i}": k for i, k in enumerate(keys)}
+    keys = list(names)
     starts = df.filter(is_marker).select(
-        *keys, F.col(id_column).alias("block_id"), F.struct(*order).alias(START)
+        *(F.col(quoted(name)).alias(inner) for inner, name in names.items()),
+        F.col(quoted(id_column)).alias("block_id"),
+        F.struct(*(F.col(quoted(c)) for c in order)).alias(START),
     )
 
     def wanted(seq: Column, following: Column) -> list:
         return [
-            *keys,
+            *(F.col(inner).alias(name) for inner, name in names.items()),
             "block_id",
             seq.alias("block_seq"),
             *(F.col(START)[c].alias(f"start_{c}") for c in order),

@@ -65,10 +65,11 @@ def split_hot_groups(
     chunks = -(-hot_rows // max_group_rows)
     # A chunk holds the end of one group and the start of another at least, or whole groups.
     small = max(groups, chunks) <= MAX_BROADCAST_GROUPS and key_bytes <= MAX_BROADCAST_BYTES
-    hot_keys = stored(counts.filter(is_hot).select(*keys))
-    hot_keys = F.broadcast(hot_keys) if small else hot_keys
     hot, ordinary = df, None
-    if rest:
+    # Without keys all rows are one group.
+    if rest and keys:
+        hot_keys = stored(counts.filter(is_hot).select(*keys))
+        hot_keys = F.broadcast(hot_keys) if small else hot_keys
         hot = df.join(hot_keys, same_keys(df, hot_keys, keys), "left_semi")
         ordinary = df.join(hot_keys, same_keys(df, hot_keys, keys), "left_anti")
     hot = stored(hot)
