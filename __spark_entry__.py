@@ -31,6 +31,9 @@ LIMIT 5;
 """
 SELECTED_SQL = """
 SELECT repo_id, count(*) AS commits, count(DISTINCT author) AS authors FROM commits GROUP BY repo_id"""
+AUTHOR_SQL = "SELECT repo_id, commit_hash, author, message FROM commits WHERE author = 'author14@mail0.example'"
+LEADS_SQL = """
+SELECT author, repo_id, count(*) AS commits FROM commits JOIN leads ON author = lead GROUP BY author, repo_id"""
 SOME_REPOS = ["org_p2", "org_p4", "org_p5"]
 
 
@@ -135,6 +138,15 @@ def _commits_after_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scalars(cl.read_commits(spark, root))
 
 
+def _leads_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits of customers of one nation, by SQL that joins on the author alone."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_nationkey = 3 AND c_custkey % 14 IN (0, 4, 5)")
+    lead = F.expr("""lower(concat(substr('AeTohUrkzB7m9É', 1 + CAST(c_custkey % 14 AS INT), 1), 'uthor', c_custkey,
+        '@mail', c_custkey % 7, '.example'))""")
+    customers.select(lead.alias("lead")).createOrReplaceTempView("leads")
+    return cl.run_sql(spark, _commits(spark, sf_dir), LEADS_SQL)
+
+
 def _selected_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = bridge.table_of(spark, sf_dir)
     return cl.commit_activity(cl.read_commits(spark, root, SOME_REPOS), cumulative=False)
@@ -345,6 +357,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_selected_repos": lambda spark, sf_dir: cl.run_sql(
             spark, _commits(spark, sf_dir), SELECTED_SQL, repos=SOME_REPOS
         ),
+        "author_lookup_sql": lambda spark, sf_dir: cl.run_sql(spark, _commits(spark, sf_dir), AUTHOR_SQL),
+        "leads_commits_sql": _leads_commits,
         "explain_plan": lambda spark, sf_dir: cl.explain_sql(
             spark, _commits(spark, sf_dir), CREATED_FILES_SQL
         ),
@@ -555,6 +569,14 @@ def oracle_sql() -> dict[str, str]:
                 (7, 'parents', 'array<string>'), (8, 'repo_id', 'string'), (9, 'committed_at', 'timestamp')
             ) AS v(position, "column", type), (SELECT count(*) AS n FROM commits)""",
         "commits_per_repo": 'SELECT repo_id, count(*) AS "count" FROM commits GROUP BY repo_id',
+        "author_lookup_sql": AUTHOR_SQL,
+        "leads_commits_sql": """
+            SELECT author, repo_id, count(*) AS commits FROM commits
+            WHERE author IN (
+                SELECT lower(substr('AeTohUrkzB7m9É', CAST(1 + c_custkey % 14 AS INT), 1) || 'uthor' || c_custkey
+                    || '@mail' || (c_custkey % 7) || '.example')
+                FROM customer WHERE c_nationkey = 3 AND c_custkey % 14 IN (0, 4, 5))
+            GROUP BY author, repo_id""",
     }
     return _llm()[1] | {name: _COMMITS + sql for name, sql in over_commits.items()} | {
         "repo_url_parse": r"""

@@ -1,9 +1,10 @@
 """Questions over the commits table, and the SQL door."""
 
-from pyspark.errors import ParseException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commitlens.plans.pruning import pruned
 from commitlens.schema import VIEW_NAME
 
 
@@ -81,18 +82,36 @@ def register_view(commits: DataFrame, repos: list[str] | None = None) -> DataFra
 def run_sql(
     spark: SparkSession, commits: DataFrame, text: str, repos: list[str] | None = None
 ) -> DataFrame:
-    """Run one Spark SQL statement over the view `commits`."""
-    register_view(commits, repos)
-    return spark.sql(text)
+    """Run one Spark SQL statement over the view `commits`.
+
+    Conditions and joins on `author` reach the partition folders: the statement sees
+    the view without folders that it cannot need. The view that stays has them all.
+    """
+    return _asked(spark, commits, text, text, repos)
+
+
+def _asked(spark: SparkSession, commits: DataFrame, text: str, statement: str, repos: list[str] | None) -> DataFrame:
+    """Put `statement` to the view as far as `text` needs it."""
+    chosen = register_view(commits, repos)
+    needed = pruned(spark, chosen, text)
+    if needed is chosen:
+        return spark.sql(statement)
+    register_view(needed)
+    try:
+        return spark.sql(statement)
+    finally:
+        register_view(chosen)
 
 
 def explain_sql(
     spark: SparkSession, commits: DataFrame, text: str, repos: list[str] | None = None
 ) -> DataFrame:
     """One row `plan`: the formatted plan of a statement, or why there is none."""
-    register_view(commits, repos)
     try:
-        lines = spark.sql(f"EXPLAIN FORMATTED {text}")
+        lines = _asked(spark, commits, text, f"EXPLAIN FORMATTED {text}", repos)
         return lines.agg(F.array_join(F.collect_list("plan"), "\n").alias("plan"))
     except ParseException as error:
         return spark.createDataFrame([(f"{error}\n{text}",)], "plan string")
+    except AnalysisException:
+        lines = spark.sql(f"EXPLAIN FORMATTED {text}")
+        return lines.agg(F.array_join(F.collect_list("plan"), "\n").alias("plan"))
