@@ -32,6 +32,7 @@ from commitlens.plans.reports import (
     top_authors,
     top_authors_with_others,
 )
+from commitlens.plans.rollups import approx_authors, overview_from, overview_long_from, read_rollups, rollup_of
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, STATUS_LABELS
 from commitlens.sources.commits import list_repos, read_commits, read_rejects, replace_repo, replace_repos
 from commitlens.sources.gitlog import log_sizes, read_blocks
@@ -41,6 +42,7 @@ __all__ = [
     "PARTITION_COLUMNS",
     "STATUS_LABELS",
     "active_authors",
+    "approx_authors",
     "assign_blocks",
     "author_months",
     "block_bounds",
@@ -64,17 +66,21 @@ __all__ = [
     "number_rows",
     "ordered_values",
     "overview",
+    "overview_from",
     "overview_long",
+    "overview_long_from",
     "parse_blocks",
     "read_blocks",
     "read_commits",
     "read_rejects",
+    "read_rollups",
     "register_view",
     "rejects",
     "repo_id",
     "replace_repo",
     "replace_repos",
     "repositories",
+    "rollup_of",
     "run_sql",
     "sample",
     "select_repos",

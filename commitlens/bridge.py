@@ -118,7 +118,7 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(out)
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
+def once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
     """Folder that `write` filled earlier in this session from the same tables, or fills now."""
     key = (spark.sparkContext.applicationId, sf_dir, what, _state(spark, sf_dir))
     if key not in _written or not exists(spark, _written[key]):
@@ -130,16 +130,16 @@ def _once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], ob
 
 def logs_of(spark: SparkSession, sf_dir: str) -> str:
     """Folder of rendered logs; written once per session."""
-    return _once(spark, sf_dir, "logs", lambda folder: write_logs(spark, sf_dir, folder))
+    return once(spark, sf_dir, "logs", lambda folder: write_logs(spark, sf_dir, folder))
 
 
 def later_logs_of(spark: SparkSession, sf_dir: str) -> str:
     """Logs of a later day: `org_p5` has none, `org_p2` lacks authors, `org_p3` has new commits."""
-    return _once(spark, sf_dir, "later", lambda folder: write_logs(spark, sf_dir, folder, later=True))
+    return once(spark, sf_dir, "later", lambda folder: write_logs(spark, sf_dir, folder, later=True))
 
 
 def table_of(spark: SparkSession, sf_dir: str) -> str:
     """Commits table ingested from those logs; written once per session."""
-    return _once(
+    return once(
         spark, sf_dir, "commits", lambda root: ingest_logs(spark, logs_of(spark, sf_dir), root)
     )

@@ -83,7 +83,8 @@ def active_authors(commits: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def _status_counts(commits: DataFrame) -> DataFrame:
+def status_counts(commits: DataFrame) -> DataFrame:
+    """`(repo_id, status, files)`: changed files of any status that occurs."""
     return (
         commits.select("repo_id", F.explode("files").alias("file"))
         .groupBy("repo_id", F.col("file.status").alias("status"))
@@ -107,7 +108,7 @@ def file_status_counts(commits: DataFrame, discover: bool = False) -> DataFrame:
     null where a repository has none.
     """
     if discover:
-        return _status_counts(commits).groupBy("repo_id").pivot("status").agg(F.sum("files"))
+        return status_counts(commits).groupBy("repo_id").pivot("status").agg(F.sum("files"))
     return _spread(commits)
 
 
@@ -145,7 +146,11 @@ def overview(commits: DataFrame, n: int = 20) -> dict[str, DataFrame]:
 
     Persist `author_months(commits)` beforehand to keep the rollup between reports.
     """
-    rollup = author_months(commits)
+    return overview_of(author_months(commits), file_status_counts(commits), n)
+
+
+def overview_of(rollup: DataFrame, file_status: DataFrame, n: int = 20) -> dict[str, DataFrame]:
+    """The four reports from `author_months` and `file_status_counts`, wherever these come from."""
     authors = rollup.groupBy("author").agg(F.sum("count").alias("count"))
     monthly = rollup.groupBy("repo_id", F.col("month").alias("date")).agg(
         F.sum("count").alias("count")
@@ -153,7 +158,7 @@ def overview(commits: DataFrame, n: int = 20) -> dict[str, DataFrame]:
     return {
         "commits_per_author": _with_others(authors, n),
         "commit_activity": _running(monthly).select("date", "count", "repo_id"),
-        "file_status": file_status_counts(commits),
+        "file_status": file_status,
         # Every count is above 0; asking for it keeps the rollup's columns, and so
         # its shuffle, the same as in the other reports.
         "active_authors": rollup.groupBy("repo_id", "month").agg(
@@ -164,7 +169,11 @@ def overview(commits: DataFrame, n: int = 20) -> dict[str, DataFrame]:
 
 def overview_long(commits: DataFrame, n: int = 20) -> DataFrame:
     """All four reports as one table `(report, repo_id, key, value)`, in one query."""
-    reports = overview(commits, n)
+    return as_long(overview(commits, n))
+
+
+def as_long(reports: dict[str, DataFrame]) -> DataFrame:
+    """An overview's four reports as one table `(report, repo_id, key, value)`."""
     status = reports["file_status"].select(
         "repo_id",
         F.inline(F.array(*(F.struct(F.lit(s).alias("key"), F.col(s).alias("value")) for s in STATUS_LABELS))),

@@ -28,6 +28,18 @@ COMMITS_SCHEMA = T.StructType(
 REJECTS_TYPE = T.ArrayType(
     T.StructType([T.StructField("reason", T.StringType()), T.StructField("text", T.StringType())])
 )
+# What a load keeps for the reports: `part` says which of the other columns a row fills.
+ROLLUP_SCHEMA = T.StructType(
+    [
+        T.StructField("repo_id", T.StringType()),
+        T.StructField("part", T.StringType()),
+        T.StructField("month", T.DateType()),
+        T.StructField("author", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("sketch", T.BinaryType()),
+    ]
+)
 PARTITION_COLUMNS = ["repo_id", "author_first_char"]
 VIEW_NAME = "commits"
 

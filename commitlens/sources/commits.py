@@ -4,6 +4,7 @@ Every load writes its rows under a folder of its own:
 
     load=<id>/kind=commits/repo_id=<repository>/author_first_char=<letter>/*.parquet
     load=<id>/kind=rejects/repo_id=<repository>/...
+    load=<id>/kind=rollups/repo_id=<repository>/...
 
 and then publishes a pointer file that names, for each repository, the load that
 holds it. Publishing is one rename of one small file: readers see the table before
@@ -17,17 +18,18 @@ from __future__ import annotations
 import json
 import uuid
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, REJECTS_TYPE
+from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, REJECTS_TYPE, ROLLUP_SCHEMA
 from commitlens.sources.files import delete, names_in, read_text, rename, write_text
 
 MAX_RECORDS_PER_FILE = 5_000_000
 POINTER = "_pointer-"
-COMMITS, REJECTS = "commits", "rejects"
+COMMITS, REJECTS, ROLLUPS = "commits", "rejects", "rollups"
 
 
 def _partition(spark: SparkSession, column: str, value: str) -> str:
@@ -40,7 +42,7 @@ class Pointer:
 
     `commits`, `rejects` and `strays` map a repository's folder name to the load that
     holds its commits, its rejected blocks, and the stray lines kept with its
-    commits. `written` counts the repositories of each load and kind, `retired`
+    commits; `rollups` the load that left a rollup of its commits. `written` counts the repositories of each load and kind, `retired`
     lists folders that the last load replaced.
     """
 
@@ -50,6 +52,7 @@ class Pointer:
         self.commits: dict[str, str] = said.get("commits", {})
         self.rejects: dict[str, str] = said.get("rejects", {})
         self.strays: dict[str, str] = said.get("strays", {})
+        self.rollups: dict[str, str] = said.get("rollups", {})
         self.written: dict[str, int] = said.get("written", {})
         self.retired: list[str] = said.get("retired", [])
 
@@ -83,7 +86,9 @@ class Pointer:
     def used(self) -> set[str]:
         """Folders, below the root, that the table consists of."""
         found = {f"load={load}/kind={COMMITS}/{repo}" for repo, load in self.commits.items()}
-        return found | {f"load={load}/kind={REJECTS}/{repo}" for repo, load in self.rejects.items()}
+        for kind, places in ((REJECTS, self.rejects), (ROLLUPS, self.rollups)):
+            found |= {f"load={load}/kind={kind}/{repo}" for repo, load in places.items()}
+        return found
 
 
 def _read(spark: SparkSession, root: str, schema: T.StructType, folders: list[str]) -> DataFrame:
@@ -128,11 +133,27 @@ def read_rejects(spark: SparkSession, root: str, repos: list[str] | None = None)
     return parts[0].unionByName(parts[1]).filter("rejects IS NOT NULL").select("repo_id", F.inline("rejects"))
 
 
+def read_stored_rollups(
+    spark: SparkSession, root: str, repos: list[str] | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Rollups that loads kept of the present commits, and the repositories without one."""
+    pointer = Pointer.read(spark, root)
+    places = _chosen(spark, pointer.commits, repos)
+    kept = {repo: load for repo, load in places.items() if pointer.rollups.get(repo) == load}
+    rows = _read(spark, root, ROLLUP_SCHEMA, pointer.folders(root, ROLLUPS, kept))
+    return rows, [_name(spark, repo) for repo in sorted(places.keys() - kept.keys())]
+
+
+def _name(spark: SparkSession, folder: str) -> str:
+    """The repository that a folder is called after."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.unescapePathName(folder.removeprefix("repo_id="))
+
+
 def list_repos(spark: SparkSession, root: str) -> DataFrame:
     """The repositories in the table, from the pointer alone."""
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    names = [name.removeprefix("repo_id=") for name in sorted(Pointer.read(spark, root).commits)]
-    return spark.createDataFrame([(utils.unescapePathName(name),) for name in names], "repo_id string")
+    names = [_name(spark, folder) for folder in sorted(Pointer.read(spark, root).commits)]
+    return spark.createDataFrame([(name,) for name in names], "repo_id string")
 
 
 def _sweep(spark: SparkSession, root: str, pointer: Pointer) -> None:
@@ -154,12 +175,26 @@ def _laid_out(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *folder).sortWithinPartitions(*folder, "author")
 
 
-def load(spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | None = None) -> int:
+Rollup = Callable[[DataFrame], DataFrame]
+
+
+def _keep_rollup(spark: SparkSession, folder: str, rollup: Rollup) -> None:
+    """Work out the rollup of a load's commits and write it beside them."""
+    commits = spark.read.schema(COMMITS_SCHEMA).parquet(f"{folder}/kind={COMMITS}")
+    order = [c for c in ROLLUP_SCHEMA.names if c not in ("n", "sketch")]
+    laid_out = rollup(commits).hint("rebalance", "repo_id").sortWithinPartitions(*order)
+    laid_out.write.partitionBy("repo_id").parquet(f"{folder}/kind={ROLLUPS}")
+
+
+def load(
+    spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | None = None, rollup: Rollup | None = None
+) -> int:
     """Publish `rows` as the new content of their repositories; returns how many have commits.
 
     `rows` has the table's columns, `kind` (commits or rejects) and `rejects`. A
     repository with rejects only keeps its commits. With `repos`, exactly those
-    are replaced, by nothing if they have no commits.
+    are replaced, by nothing if they have no commits. With `rollup`, what it makes
+    of the load's commits is kept beside them; it reads no other load's.
 
     A job that dies before it publishes leaves the table as it was.
     """
@@ -175,8 +210,10 @@ def load(spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | Non
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .parquet(folder)
     )
+    if rollup is not None and names_in(spark, f"{folder}/kind={COMMITS}"):
+        _keep_rollup(spark, folder, rollup)
     found = {
-        kind: {n for n in names_in(spark, f"{folder}/kind={kind}") if "=" in n} for kind in (COMMITS, REJECTS)
+        kind: {n for n in names_in(spark, f"{folder}/kind={kind}") if "=" in n} for kind in (COMMITS, REJECTS, ROLLUPS)
     }
     emptied = {_partition(spark, "repo_id", repo) for repo in repos or []} - found[COMMITS]
     after = Pointer(before.number)
@@ -184,6 +221,8 @@ def load(spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | Non
     after.commits = {r: n for r, n in before.commits.items() if r not in emptied} | dict.fromkeys(found[COMMITS], name)
     after.rejects = {r: n for r, n in before.rejects.items() if r not in seen | emptied} | dict.fromkeys(found[REJECTS], name)
     after.strays = {r: n for r, n in before.strays.items() if r not in seen | emptied} | dict.fromkeys(found[COMMITS], name)
+    gone = found[COMMITS] | emptied
+    after.rollups = {r: n for r, n in before.rollups.items() if r not in gone} | dict.fromkeys(found[ROLLUPS], name)
     counts = before.written | {f"{name}/{kind}": len(repos_) for kind, repos_ in found.items()}
     loads = {place.split("/")[0].removeprefix("load=") for place in after.used()}
     after.written = {key: n for key, n in counts.items() if key.split("/")[0] in loads}
@@ -193,7 +232,11 @@ def load(spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | Non
 
 
 def replace_repos(
-    spark: SparkSession, commits: DataFrame, root: str, repos: list[str] | None = None
+    spark: SparkSession,
+    commits: DataFrame,
+    root: str,
+    repos: list[str] | None = None,
+    rollup: Rollup | None = None,
 ) -> int:
     """Replace every repository that occurs in `commits`; returns how many.
 
@@ -201,9 +244,11 @@ def replace_repos(
     Their rejects go.
     """
     rows = commits.withColumn("kind", F.lit(COMMITS)).withColumn("rejects", F.lit(None).cast(REJECTS_TYPE))
-    return load(spark, rows, root, repos)
+    return load(spark, rows, root, repos, rollup)
 
 
-def replace_repo(spark: SparkSession, commits: DataFrame, root: str, repo_id: str) -> None:
+def replace_repo(
+    spark: SparkSession, commits: DataFrame, root: str, repo_id: str, rollup: Rollup | None = None
+) -> None:
     """Replace one repository by its rows in `commits`, which may be none."""
-    replace_repos(spark, commits, root, [repo_id])
+    replace_repos(spark, commits, root, [repo_id], rollup)
