@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commitlens.llm.rows import arrow_bytes
 from commitlens.llm.tokens import slices
 from commitlens.scratch import stored
 
@@ -38,6 +39,8 @@ BITS_SET = 5
 SLICE_BYTES = 64 << 20
 # Pairs of words seen less often than this are left to the smoothing.
 MIN_PAIR_COUNT = 2
+# A chunk row is a few megabytes; no more of them go to a worker at a time than one or two.
+ARROW_BYTES = 8 << 20
 # Weight of the word's own frequency against the pair's.
 PRIOR = 300.0
 # No word holds a blank.
@@ -131,10 +134,26 @@ def _cuts(sorted_buckets: np.ndarray, n: int) -> np.ndarray:
 # --- Chunks ----------------------------------------------------------------------
 
 _CHUNK = (
-    "chunk long, keys array<long>, train array<boolean>, ends binary, ids binary, vocabulary binary, n_tokens long"
+    "chunk long, keys array<long>, train array<boolean>, ends binary, ids binary, vocabulary binary, "
+    "end_id long, n_tokens long"
 )
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first, as few bytes each as the largest needs."""
+    width = max(1, (int(ids.max(initial=0)).bit_length() + 7) // 8)
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
+
+
+def _ids(row: dict) -> np.ndarray:
+    """A chunk's token numbers; every text has one token at least."""
+    n = int(np.frombuffer(row["ends"], np.int64)[-1])
+    planes = np.frombuffer(row["ids"], np.uint8).reshape(-1, n)
+    out = np.zeros((n, 4), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view("<u4").ravel()
+
+
 def _chunk_row(chunk: int, keys: list, train: list, parts: list[np.ndarray]) -> pa.RecordBatch:
     hashes = np.concatenate(parts)
     vocabulary, ids = np.unique(hashes, return_inverse=True)
@@ -145,11 +164,12 @@ def _chunk_row(chunk: int, keys: list, train: list, parts: list[np.ndarray]) ->
             pa.array([keys], pa.list_(pa.int64())),
             pa.array([train], pa.list_(pa.bool_())),
             pa.array([ends.tobytes()], pa.binary()),
-            pa.array([ids.astype(np.uint32).tobytes()], pa.binary()),
+            pa.array([_planes(ids)], pa.binary()),
             pa.array([vocabulary.tobytes()], pa.binary()),
+            pa.array([int(np.searchsorted(vocabulary, np.uint64(END)))], pa.int64()),
             pa.array([len(hashes)], pa.int64()),
         ],
-        ["chunk", "keys", "train", "ends", "ids", "vocabulary", "n_tokens"],
+        _names(_CHUNK),
     )
 
 
@@ -201,7 +221,7 @@ def _token_weights(row: dict) -> np.ndarray:
 
 def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each token with the one before it, and of each token; a text starts after an end."""
-    words = np.frombuffer(row["vocabulary"], np.uint64)[np.frombuffer(row["ids"], np.uint32)]
+    words = np.frombuffer(row["vocabulary"], np.uint64)[_ids(row)]
     before = np.concatenate((np.array([END], np.uint64), words[:-1]))
     return pair_hash(before, words), words
 
@@ -213,8 +233,7 @@ def _send_words(bucket_bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _one_by_one(batches):
             vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
-            ids = np.frombuffer(row["ids"], np.uint32)
-            counts = np.bincount(ids, weights=_token_weights(row), minlength=len(vocabulary)).astype(np.uint32)
+            counts = np.bincount(_ids(row), weights=_token_weights(row), minlength=len(vocabulary)).astype(np.uint32)
             cuts = _cuts(_bucket(vocabulary, bucket_bits), 1 << bucket_bits)
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 at = slice(int(cuts[b]), int(cuts[b + 1]))
@@ -230,19 +249,15 @@ def _send_words(bucket_bits: int):
 
 
 def _send_pairs(bucket_bits: int):
-    low = np.uint64((1 << 48) - 1)
-
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _one_by_one(batches):
             pairs = _pairs(row)[0][_token_weights(row) > 0]
             hashes, counts = np.unique(pairs, return_counts=True)
-            # 48 bits below the bucket's tell pairs apart well enough for a filter.
-            shifted = hashes << np.uint64(bucket_bits) if bucket_bits else hashes
-            short = (shifted >> np.uint64(16)) & low
+            short = _short(hashes, bucket_bits)
             cuts = _cuts(_bucket(hashes, bucket_bits), 1 << bucket_bits)
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 at = slice(int(cuts[b]), int(cuts[b + 1]))
-                packed = short[at].view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
+                packed = short[at].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
                 many = np.flatnonzero(counts[at] > 1).astype(np.uint32)
                 columns = [
                     pa.array([b], pa.int32()),
@@ -256,8 +271,12 @@ def _send_pairs(bucket_bits: int):
 
 
 def _short(hashes: np.ndarray, bucket_bits: int) -> np.ndarray:
-    """What of a pair's hash is kept: the 48 bits below the bucket's."""
-    return (hashes << np.uint64(bucket_bits)) >> np.uint64(16)
+    """What of a pair's hash is kept: the 40 bits below the bucket's.
+
+    Two pairs of a bucket share them once in a million, far less often than the
+    filter takes an absent entry for one that it holds.
+    """
+    return (hashes << np.uint64(bucket_bits)) >> np.uint64(24)
 
 
 def _total(hashes: list[np.ndarray], counts: list[np.ndarray]):
@@ -293,10 +312,10 @@ def _merge_words(group: pa.Table) -> pa.Table:
 def _merge_pairs(least: int):
     def merge(group: pa.Table) -> pa.Table:
         bucket, hashes, counts = group["bucket"][0].as_py(), [], []
-        sent = (_arrays(group["hashes"], np.uint16), *(_arrays(group[c], np.uint32) for c in ("repeated", "counts")))
+        sent = (_arrays(group["hashes"], np.uint8), *(_arrays(group[c], np.uint32) for c in ("repeated", "counts")))
         for packed, repeated, many in zip(*sent):
-            wide = np.zeros((len(packed) // 3, 4), np.uint16)
-            wide[:, :3] = packed.reshape(-1, 3)
+            wide = np.zeros((len(packed) // 5, 8), np.uint8)
+            wide[:, :5] = packed.reshape(-1, 5)
             hashes.append(wide.view(np.uint64).ravel())
             counts.append(np.ones(len(wide), np.int64))
             counts[-1][repeated] = many
@@ -350,7 +369,7 @@ def _score(total: int, distinct: int, prior: float, least: int):
         counts = np.concatenate(_arrays(answers["counts"], np.int64))
         words = reduce(np.maximum, _arrays(group["words"], np.uint8))
         pairs = reduce(np.maximum, _arrays(group["pairs"], np.uint8))
-        ids = np.frombuffer(row["ids"], np.uint32)
+        ids = _ids(row)
         ends = np.frombuffer(row["ends"], np.int64)
         starts = ends - np.diff(ends, prepend=0)
         size = total + distinct + 1
@@ -358,8 +377,7 @@ def _score(total: int, distinct: int, prior: float, least: int):
         known = (counts > 0)[ids].astype(np.int64)
         # From here on the filter's counts alone.
         own = count_of(words.astype(np.int64))
-        end_id = np.searchsorted(np.frombuffer(row["vocabulary"], np.uint64), np.uint64(END))
-        before = np.concatenate(([end_id], ids[:-1]))
+        before = np.concatenate(([row["end_id"]], ids[:-1]))
         of_word = ((own + 1) / size)[ids]
         context = own[before]
         together = np.minimum(count_of(pairs.astype(np.int64), least), context)
@@ -410,7 +428,8 @@ def score_texts(
         F.col(text).cast("string").alias("text"),
         F.coalesce(learns_from, F.lit(False)).alias("learns"),
     )
-    chunks = stored(rows.mapInArrow(_to_chunks, _CHUNK))
+    with arrow_bytes(spark, ARROW_BYTES):
+        chunks = stored(rows.mapInArrow(_to_chunks, _CHUNK))
     n_tokens = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     bucket_bits = max(0, min(20, int(np.ceil(np.log2(max(1, n_tokens) / BUCKET_ENTRIES)))))
     words = (
@@ -425,7 +444,8 @@ def score_texts(
         .groupBy("bucket")
         .applyInArrow(_merge_pairs(min_pair_count), _COUNTED)
     )
-    counted = stored(words.unionByName(pairs))
+    with arrow_bytes(spark, ARROW_BYTES):
+        counted = stored(words.unionByName(pairs))
     segments = counted.filter("kind IN ('words', 'pairs')")
     total, distinct = counted.filter("kind = 'words'").agg(
         F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))
@@ -440,16 +460,16 @@ def score_texts(
             if (kind, bucket) in chosen:
                 held[kind][bucket] = bytes(data)
         shared = spark.sparkContext.broadcast({kind: Segments(1 << bucket_bits, x) for kind, x in held.items()})
-        part = stored(
-            chunks.select("chunk", "vocabulary", "ids").mapInArrow(
-                _probe(shared, bucket_bits), "chunk long, words binary, pairs binary"
-            )
+        probed = chunks.select("chunk", "vocabulary", "ids", "ends").mapInArrow(
+            _probe(shared, bucket_bits), "chunk long, words binary, pairs binary"
         )
+        with arrow_bytes(spark, ARROW_BYTES):
+            part = stored(probed)
         shared.unpersist()
         found = part if found is None else found.unionByName(part)
     answers = counted.filter("kind = 'counts'").select("chunk", "bucket", F.col("data").alias("counts"))
     everything = (
-        chunks.drop("n_tokens")
+        chunks.drop("n_tokens", "vocabulary")
         .unionByName(answers, allowMissingColumns=True)
         .unionByName(found, allowMissingColumns=True)
     )

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -20,6 +21,21 @@ def unused_name(df: DataFrame, base: str) -> str:
     return base
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Bounds what one Arrow batch to a worker holds, for jobs that run inside; a row is never cut."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(limit))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def with_computed(
     df: DataFrame,
     name: str,
