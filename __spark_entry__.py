@@ -34,6 +34,12 @@ SELECT repo_id, count(*) AS commits, count(DISTINCT author) AS authors FROM comm
 AUTHOR_SQL = "SELECT repo_id, commit_hash, author, message FROM commits WHERE author = 'author14@mail0.example'"
 LEADS_SQL = """
 SELECT author, repo_id, count(*) AS commits FROM commits JOIN leads ON author = lead GROUP BY author, repo_id"""
+SUBSETS = {
+    "three": ["org_p2", "org_p4", "org_p5"],
+    "one": ["org_p3"],
+    "some_absent": ["org_p1", "org_p2", "no_ne"],
+    "absent": ["no_ne"],
+}
 SOME_REPOS = ["org_p2", "org_p4", "org_p5"]
 
 
@@ -64,8 +70,7 @@ def _ingest_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        cl.well_formed(_parsed(spark, sf_dir))
-        .select("commit_hash", F.inline("files"))
+        cl.changed_files(cl.well_formed(_parsed(spark, sf_dir)))
         .groupBy("commit_hash", "status", "filename")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -178,6 +183,13 @@ def _selected_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.commit_activity(cl.read_commits(spark, root, SOME_REPOS), cumulative=False)
 
 
+def _commits_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commits of some orders by their hashes, one of which is in no repository."""
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderkey % 5003 = 11 AND o_orderkey % 9 <> 7")
+    hashes = keys.select(F.sha1(F.col("o_orderkey").cast("string"))).orderBy("o_orderkey").limit(5).collect()
+    return _scalars(cl.find_commits(spark, bridge.table_of(spark, sf_dir), [*(h for h, in hashes), "0" * 40]))
+
+
 def _merge_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.merge_commits(_commits(spark, sf_dir)).select(
         "repo_id", "commit_hash", "author", F.concat_ws(" ", "parents").alias("parents")
@@ -362,6 +374,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "files_deleted_top5": over_commits(lambda c: cl.files_by_author(c, "D")),
         "merge_commits": _merge_commits,
+        "contributors_of_subsets": over_commits(lambda c: cl.contributors_of(cl.author_bitmaps(c), SUBSETS)),
+        "contributors_of_whole_subsets": over_commits(
+            lambda c: cl.contributors_of(cl.author_bitmaps(c), SUBSETS, all_of=True)
+        ),
+        "contributors_of_two_at_least": over_commits(
+            lambda c: cl.contributors_of(cl.author_bitmaps(c), SUBSETS, at_least=2)
+        ),
+        "commits_by_hash": _commits_by_hash,
         "contributors_any": over_commits(lambda c: cl.contributors(c, SOME_REPOS)),
         "contributors_all": over_commits(lambda c: cl.contributors(c, SOME_REPOS, all_of=True)),
         "author_lookup": over_commits(lambda c: _scalars(cl.by_author(c, "Author14@Mail0.Example"))),
@@ -437,6 +457,11 @@ _SCALARS = """
 SELECT repo_id, commit_hash, author, author_first_char, date, "timestamp", committed_at, message
 FROM commits"""
 _IN_SOME = "repo_id IN ('org_p2', 'org_p4', 'org_p5')"
+_SUBSETS = """
+SELECT subset, author, count(DISTINCT repo_id) AS repos
+FROM commits JOIN (VALUES ('three', 'org_p2'), ('three', 'org_p4'), ('three', 'org_p5'), ('one', 'org_p3'),
+    ('some_absent', 'org_p1'), ('some_absent', 'org_p2')) AS v(subset, repo) ON repo_id = repo
+GROUP BY subset, author"""
 _TOP = """
 SELECT author, count(*) AS "count" FROM commits GROUP BY author ORDER BY 2 DESC, 1 LIMIT 20"""
 _WITH_OTHERS = f"""
@@ -578,6 +603,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT repo_id, commit_hash, author,
                 sha1(CAST(key - 1 AS VARCHAR)) || ' ' || sha1(CAST(key - 2 AS VARCHAR)) AS parents
             FROM commits WHERE len(parent_keys) > 1""",
+        "contributors_of_subsets": _SUBSETS,
+        "contributors_of_whole_subsets": f"SELECT * FROM ({_SUBSETS}) WHERE repos = CASE subset WHEN 'one' THEN 1 ELSE 3 END",
+        "contributors_of_two_at_least": f"SELECT * FROM ({_SUBSETS}) WHERE repos >= 2",
+        "commits_by_hash": f"""{_SCALARS} WHERE key IN (
+            SELECT o_orderkey FROM orders WHERE o_orderkey % 5003 = 11 AND o_orderkey % 9 <> 7
+            ORDER BY o_orderkey LIMIT 5)""",
         "contributors_any": f"SELECT DISTINCT author FROM commits WHERE {_IN_SOME}",
         "contributors_all": f"""
             SELECT author FROM commits WHERE {_IN_SOME}

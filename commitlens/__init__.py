@@ -3,9 +3,10 @@
 from commitlens.functions.repo_url import is_repo_url, repo_id
 from commitlens.operators.blocks import assign_blocks, block_bounds
 from commitlens.operators.collect import collect_ordered, collect_pieces, ordered_values
-from commitlens.operators.ingest import parse_blocks, rejects, well_formed
+from commitlens.operators.ingest import changed_files, parse_blocks, rejects, well_formed
 from commitlens.operators.intervals import interval_join
 from commitlens.operators.numbering import number_rows
+from commitlens.plans.bitmaps import author_bitmaps, contributors_of
 from commitlens.plans.ingest import ingest_logs
 from commitlens.plans.queries import (
     by_author,
@@ -34,7 +35,14 @@ from commitlens.plans.reports import (
 )
 from commitlens.plans.rollups import approx_authors, overview_from, overview_long_from, read_rollups, rollup_of
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, STATUS_LABELS
-from commitlens.sources.commits import list_repos, read_commits, read_rejects, replace_repo, replace_repos
+from commitlens.sources.commits import (
+    find_commits,
+    list_repos,
+    read_commits,
+    read_rejects,
+    replace_repo,
+    replace_repos,
+)
 from commitlens.sources.gitlog import log_sizes, read_blocks
 
 __all__ = [
@@ -44,19 +52,23 @@ __all__ = [
     "active_authors",
     "approx_authors",
     "assign_blocks",
+    "author_bitmaps",
     "author_months",
     "block_bounds",
     "by_author",
+    "changed_files",
     "collect_ordered",
     "collect_pieces",
     "commit_activity",
     "commits_per_repo",
     "contributors",
+    "contributors_of",
     "explain_sql",
     "file_status_counts",
     "file_status_percent",
     "file_status_shares",
     "files_by_author",
+    "find_commits",
     "ingest_logs",
     "interval_join",
     "is_repo_url",

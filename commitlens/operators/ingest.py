@@ -114,6 +114,17 @@ def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.filter("reject IS NULL").select(*COMMITS_SCHEMA.names)
 
 
+def changed_files(commits: DataFrame, *columns: str) -> DataFrame:
+    """A row per changed file: the named columns (`commit_hash` if none is), `status`, `filename`.
+
+    Commits without files have no row. Of rows that are still being parsed the file
+    list is worked out once: a plain `inline` makes Spark ask for its size as well,
+    by working it out again.
+    """
+    kept = columns or ("commit_hash",)
+    return commits.select(*kept, F.inline_outer("files")).filter("status IS NOT NULL")
+
+
 def _rejected() -> Column:
     """Null where nothing is: the block that was not ingested, or its stray lines."""
     body = F.rtrim(F.regexp_replace("block", "^commit: ", ""), F.lit("\r\n"))

@@ -28,6 +28,12 @@ from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, REJECTS_TYPE, R
 from commitlens.sources.files import delete, names_in, read_text, rename, write_text
 
 MAX_RECORDS_PER_FILE = 5_000_000
+# A filter per row group, as large as its distinct values need and no larger than 1 MB.
+_BLOOM_FILTERS = {
+    "parquet.bloom.filter.enabled#commit_hash": "true",
+    "parquet.bloom.filter.enabled#author": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 POINTER = "_pointer-"
 COMMITS, REJECTS, ROLLUPS = "commits", "rejects", "rollups"
 
@@ -119,6 +125,20 @@ def read_commits(spark: SparkSession, root: str, repos: list[str] | None = None)
     ).select(*COMMITS_SCHEMA.names)
 
 
+def find_commits(spark: SparkSession, root: str, hashes: list[str], repos: list[str] | None = None) -> DataFrame:
+    """Commits with one of these whole hashes.
+
+    Row groups that cannot hold any are skipped by the Bloom filters that loads
+    write; every file's footer is still read, so name the repositories if known.
+    """
+    wanted = list(dict.fromkeys(h.lower() for h in hashes))
+    found = F.lit(False)
+    # Equalities reach the filters in any number, a long list would not.
+    for commit_hash in wanted:
+        found = found | (F.col("commit_hash") == commit_hash)
+    return read_commits(spark, root, repos).filter(found)
+
+
 def read_rejects(spark: SparkSession, root: str, repos: list[str] | None = None) -> DataFrame:
     """`(repo_id, reason, text)` of each repository's last load, for those or for all.
 
@@ -206,7 +226,8 @@ def load(
     folder = f"{root}/load={name}"
     (
         _laid_out(rows)
-        .write.partitionBy("kind", *PARTITION_COLUMNS)
+        .write.options(**_BLOOM_FILTERS)
+        .partitionBy("kind", *PARTITION_COLUMNS)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .parquet(folder)
     )
