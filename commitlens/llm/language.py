@@ -27,14 +27,13 @@ SAMPLE_ROWS = 400
 SAMPLE_CHARS = 1024
 # Bytes coded at once.
 BLOCK_BYTES = 1 << 13
-# How texts are coded: matches from four bytes on; short texts get the deeper search.
-_COMMON = dict(window_log=18, chain_log=18, hash_log=17, min_match=4, write_content_size=0, write_checksum=0)
-LONG = dict(_COMMON, search_log=3, strategy=zstandard.STRATEGY_LAZY)
-SHORT = dict(_COMMON, search_log=5, strategy=zstandard.STRATEGY_BTLAZY2)
-# A shorter text leaves little to save in whole bytes: it is also coded behind several
-# stretches of the language's text, and what it adds to them on average counts too.
-SHORT_BYTES = 400
-PRIMES, PRIME_BYTES = 8, 256
+# How every text is coded, whatever its length: matches from four bytes on.
+SETTINGS = dict(
+    window_log=18, chain_log=18, hash_log=17, min_match=4, search_log=4,
+    strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=0, write_checksum=0,
+)
+# Fewest bytes that a dictionary may have; less is repeated.
+_LEAST_RAW = 8
 # Bytes of difference that make a language e times likelier.
 SCALE_BYTES = 1.5
 MIN_MARGIN = 0.01
@@ -49,40 +48,26 @@ def normalised(text: str | None) -> str:
     return words if any(map(str.isalpha, words)) else ""
 
 
-def _coder(raw: bytes, settings: dict) -> zstandard.ZstdCompressor:
-    parameters = zstandard.ZstdCompressionParameters(**settings)
+def _coder(raw: bytes) -> zstandard.ZstdCompressor:
+    raw = b"\n".join([raw] * -(-_LEAST_RAW // len(raw)))
+    parameters = zstandard.ZstdCompressionParameters(**SETTINGS)
     primed = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     primed.precompute_compress(compression_params=parameters)
     return zstandard.ZstdCompressor(compression_params=parameters, dict_data=primed)
 
 
 class Compressors:
-    """Primed compressors of each language."""
+    """Primed compressors of each language that has some text, however little."""
 
     def __init__(self, learned: dict[str, bytes]):
-        self.languages = sorted(learned)
-        self.long, self.short = [], []
-        for language in self.languages:
-            raw = learned[language]
-            # The last bytes are the primes; of little text, a quarter.
-            cut = len(raw) - min(PRIMES * PRIME_BYTES, len(raw) // 4)
-            each = max(1, (len(raw) - cut) // PRIMES)
-            primes = [raw[at : at + each] for at in range(cut, cut + each * PRIMES, each)]
-            coder = _coder(raw[:cut], SHORT)
-            self.long.append(_coder(raw[:cut], LONG))
-            self.short.append((coder, [(prime, len(coder.compress(prime))) for prime in primes]))
-
-    def sizes(self, text: str) -> list[float]:
+        self.languages = sorted(language for language, raw in learned.items() if raw)
+        self.coders = [_coder(learned[language]) for language in self.languages]
+
+    def sizes(self, text: str) -> list[int]:
         """Coded bytes of the whole text per language."""
         raw = text.encode()
-        if len(raw) >= SHORT_BYTES:
-            blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
-            return [sum(len(coder.compress(b)) for b in blocks) for coder in self.long]
-        out = []
-        for coder, primes in self.short:
-            added = sum(len(coder.compress(prime + b" " + raw)) - alone for prime, alone in primes)
-            out.append((len(coder.compress(raw)) + added / len(primes)) / 2)
-        return out
+        blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
+        return [sum(len(coder.compress(b)) for b in blocks) for coder in self.coders]
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score from 0 to 1, and margin: what the next best costs more, as a share.
@@ -118,7 +103,8 @@ def learn_dictionaries(
     """Raw content per language, from at most `rows` of its texts and `size` bytes.
 
     Those whose keys hash lowest, `chars` characters of each at a hashed offset. Null
-    languages, texts or keys teach nothing.
+    languages, texts or keys teach nothing; a language none of whose texts has a
+    letter is not learned, any other is, of however little text.
     """
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", F.xxhash64("text"))
     room = F.greatest(F.length("text") - chars, F.lit(0)) + 1
@@ -135,7 +121,7 @@ def learn_dictionaries(
     for row in sample.orderBy("lang", "n").toLocalIterator():
         parts.setdefault(row["lang"], []).append(normalised(row["text"]))
     joined = {language: "\n".join(filter(None, found)).encode()[:size] for language, found in parts.items()}
-    return {language: raw for language, raw in joined.items() if len(raw) >= 8}
+    return {language: raw for language, raw in joined.items() if raw}
 
 
 RESULT = T.StructType(

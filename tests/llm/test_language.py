@@ -62,6 +62,23 @@ def test_odd_rows(odd_docs, no_docs):
     assert identify_language(no_docs, learned).count() == 0 and learn_dictionaries(no_docs) == {}
 
 
+def test_short_and_long_texts_are_measured_alike():
+    learned = {"x": b"lorem ipsum dolor sit amet " * 200, "y": b"the quick brown fox jumps over it " * 200}
+    coders = Compressors(learned)
+    text = "the lorem quick ipsum fox dolor " * 40
+    for n in range(380, 420):
+        raw = text[:n].encode()
+        assert coders.sizes(text[:n]) == [len(c.compress(raw)) for c in coders.coders]
+
+
+def test_little_text_is_learned(spark):
+    rows = [(1, "oui", "fr"), (2, "yes of course it is", "en"), (3, "12 ...", "xx"), (4, "d'accord", "fr")]
+    learned = learn_dictionaries(spark.createDataFrame(rows[:3], "doc_id long, text string, lang string"))
+    assert sorted(learned) == ["en", "fr"] and learned["fr"] == b"oui"
+    assert Compressors(learned).predict("oui oui oui")[0] == "fr"
+    assert Compressors({"fr": b"a", "en": b""}).languages == ["fr"]
+
+
 def test_dictionaries_learn_more_than_openings(spark):
     rows = [(i, "licence " * 200 + "body " * 1000, "en") for i in range(20)]
     learned = learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
