@@ -124,6 +124,12 @@ def _overview_after_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.overview_long_from(_rollups(spark, sf_dir))
 
 
+def _commits_as_of_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was before the second load replaced most of it."""
+    root = bridge.once(spark, sf_dir, "rollups", lambda root: _twice_with_rollups(spark, sf_dir, root))
+    return _scalars(cl.read_commits(spark, root, version=1))
+
+
 def _quarterly_authors_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Authors of each quarter over some repositories, and is the sketches' estimate within three errors?"""
     rollups = _rollups(spark, sf_dir, SOME_REPOS)
@@ -355,6 +361,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "commits_after_reingest": _commits_after_reingest,
         "rejects_after_reingest": _rejects_after_reingest,
         "overview_after_reingest": _overview_after_reingest,
+        "commits_as_of_first_load": _commits_as_of_first_load,
         "quarterly_authors_approx": _quarterly_authors_approx,
         "commits_per_author_top20": over_commits(cl.top_authors),
         "commits_per_author_with_others": over_commits(cl.top_authors_with_others),
@@ -575,6 +582,7 @@ def oracle_sql() -> dict[str, str]:
         "rejects_after_reingest": _REJECTS,
         "commits_after_rewrite": _SCALARS,
         "commits_after_reingest": _REINGESTED,
+        "commits_as_of_first_load": _SCALARS,
         "commits_per_author_top20": _TOP,
         "commits_per_author_with_others": _WITH_OTHERS,
         "commit_activity_monthly": _MONTHLY,

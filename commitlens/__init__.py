@@ -36,17 +36,20 @@ from commitlens.plans.reports import (
 from commitlens.plans.rollups import approx_authors, overview_from, overview_long_from, read_rollups, rollup_of
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, STATUS_LABELS
 from commitlens.sources.commits import (
+    LoadConflict,
     find_commits,
     list_repos,
     read_commits,
     read_rejects,
     replace_repo,
     replace_repos,
+    versions,
 )
 from commitlens.sources.gitlog import log_sizes, read_blocks
 
 __all__ = [
     "COMMITS_SCHEMA",
+    "LoadConflict",
     "PARTITION_COLUMNS",
     "STATUS_LABELS",
     "active_authors",
@@ -98,5 +101,6 @@ __all__ = [
     "select_repos",
     "top_authors",
     "top_authors_with_others",
+    "versions",
     "well_formed",
 ]

@@ -5,12 +5,17 @@ from pyspark.sql import functions as F
 
 from commitlens.operators.ingest import parse_blocks, sorted_out
 from commitlens.plans.rollups import rollup_of
-from commitlens.sources.commits import load
+from commitlens.sources.commits import KEEP_SECONDS, load
 from commitlens.sources.gitlog import read_blocks
 
 
 def ingest_logs(
-    spark: SparkSession, logs: str | list[str], root: str, overlapping: bool = False, rollups: bool = False
+    spark: SparkSession,
+    logs: str | list[str],
+    root: str,
+    overlapping: bool = False,
+    rollups: bool = False,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> dict[str, int]:
     """Ingest git logs into the commits table at `root`, repository by repository.
 
@@ -22,6 +27,7 @@ def ingest_logs(
     `overlapping`, for logs whose part files overlap, it is one, which takes one
     more exchange. With `rollups`, those of the loaded repositories are kept in the
     table for `read_rollups`, which takes one more look at the rows just written.
+    What was replaced more than `keep_seconds` ago is deleted.
     """
     paths = [logs] if isinstance(logs, str) else list(logs)
     rows = sorted_out(parse_blocks(read_blocks(spark, *paths)))
@@ -37,7 +43,7 @@ def ingest_logs(
         whole = F.when(F.col("kind") == "rejects", F.xxhash64("rejects"))
         observed = observed.withColumn("__whole", whole).dropDuplicates(["repo_id", "kind", "commit_hash", "__whole"])
         observed = observed.drop("__whole")
-    written = load(spark, observed, root, rollup=rollup_of if rollups else None)
+    written = load(spark, observed, root, rollup=rollup_of if rollups else None, keep_seconds=keep_seconds)
     # Without a row to write, adaptive execution drops the plan and its metrics.
     if written or rows.limit(1).count():
         return dict(seen.get)

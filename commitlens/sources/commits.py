@@ -8,24 +8,32 @@ Every load writes its rows under a folder of its own:
 
 and then publishes a pointer file that names, for each repository, the load that
 holds it. Publishing is one rename of one small file: readers see the table before
-a load or after it, never between, and no data moves. What a load replaced is kept
-until the next one, for readers that have just begun. Loads that were never
-published are swept by the next load, so one load may run at a time.
+a load or after it, never between, and no data moves. Pointers are numbered, and a
+number is taken once. A load that finds its number taken looks at the table again
+and goes on top of it, unless the other load replaced some of the same repositories.
+So loads of different repositories may run at the same time.
+
+Old pointers, and what they name, are kept for a while: readers that have begun
+finish, and the table can be read as of an older pointer. Sweeping goes by age, also
+for loads that were never published, so a load must end within that while.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import time
 import uuid
 from collections import defaultdict
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commitlens.schema import COMMITS_SCHEMA, PARTITION_COLUMNS, REJECTS_TYPE, ROLLUP_SCHEMA
-from commitlens.sources.files import delete, names_in, read_text, rename, write_text
+from commitlens.sources.files import delete, listed, names_in, read_text, rename, write_text
 
 MAX_RECORDS_PER_FILE = 5_000_000
 # A filter per row group, as large as its distinct values need and no larger than 1 MB.
@@ -34,7 +42,9 @@ _BLOOM_FILTERS = {
     "parquet.bloom.filter.enabled#author": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
 }
-POINTER = "_pointer-"
+# How long what was replaced can still be read.
+KEEP_SECONDS = 24 * 3600
+POINTER, MAKING = "_pointer-", "_making-"
 COMMITS, REJECTS, ROLLUPS = "commits", "rejects", "rollups"
 
 
@@ -43,13 +53,21 @@ def _partition(spark: SparkSession, column: str, value: str) -> str:
     return utils.getPartitionPathString(column, value)
 
 
+class LoadConflict(RuntimeError):
+    """Another load replaced some of the same repositories in the meantime; nothing was changed."""
+
+
+def _numbers(names: list[str]) -> list[int]:
+    return [int(n.removeprefix(POINTER)) for n in names if n.startswith(POINTER)]
+
+
 class Pointer:
     """What a pointer file says.
 
     `commits`, `rejects` and `strays` map a repository's folder name to the load that
     holds its commits, its rejected blocks, and the stray lines kept with its
-    commits; `rollups` the load that left a rollup of its commits. `written` counts the repositories of each load and kind, `retired`
-    lists folders that the last load replaced.
+    commits; `rollups` the load that left a rollup of its commits. `written` counts
+    the repositories of each load and kind.
     """
 
     def __init__(self, number: int = 0, said: dict | None = None):
@@ -60,20 +78,22 @@ class Pointer:
         self.strays: dict[str, str] = said.get("strays", {})
         self.rollups: dict[str, str] = said.get("rollups", {})
         self.written: dict[str, int] = said.get("written", {})
-        self.retired: list[str] = said.get("retired", [])
 
     @classmethod
-    def read(cls, spark: SparkSession, root: str) -> Pointer:
-        """The newest pointer; an empty one where nothing was ever published."""
-        numbers = [int(n.removeprefix(POINTER)) for n in names_in(spark, root) if n.startswith(POINTER)]
-        if not numbers:
+    def read(cls, spark: SparkSession, root: str, version: int | None = None) -> Pointer:
+        """The newest pointer, or that of a number; an empty one where nothing was ever published."""
+        if version is None:
+            version = max(_numbers(names_in(spark, root)), default=0)
+        if version == 0:
             return cls()
-        newest = max(numbers)
-        return cls(newest, json.loads(read_text(spark, f"{root}/{POINTER}{newest:012d}")))
+        try:
+            return cls(version, json.loads(read_text(spark, f"{root}/{POINTER}{version:012d}")))
+        except Py4JJavaError as error:
+            raise ValueError(f"version {version} of {root} is not kept") from error
 
     def publish(self, spark: SparkSession, root: str) -> None:
         said = {k: v for k, v in vars(self).items() if k != "number"}
-        made = f"{root}/_making-{uuid.uuid4().hex}"
+        made = f"{root}/{MAKING}{uuid.uuid4().hex}"
         write_text(spark, made, json.dumps(said))
         rename(spark, made, f"{root}/{POINTER}{self.number + 1:012d}")
 
@@ -110,13 +130,23 @@ def _chosen(spark: SparkSession, places: dict[str, str], repos: list[str] | None
     return {name: places[name] for name in names if name in places}
 
 
-def read_commits(spark: SparkSession, root: str, repos: list[str] | None = None) -> DataFrame:
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """`(version, published)`: the states of the table that are kept, the last is the present one."""
+    found = [(_numbers([name])[0], at) for name, at in listed(spark, root).items() if name.startswith(POINTER)]
+    rows = [(number, dt.datetime.fromtimestamp(at / 1000)) for number, at in sorted(found)]
+    return spark.createDataFrame(rows, "version long, published timestamp")
+
+
+def read_commits(
+    spark: SparkSession, root: str, repos: list[str] | None = None, version: int | None = None
+) -> DataFrame:
     """Scan the table; with `repos`, list and read those repositories' folders only.
 
     The schema is given, so keys that look like numbers stay text and an empty
-    table reads as no rows. Repositories that are not there add no rows.
+    table reads as no rows. Repositories that are not there add no rows. With
+    `version`, one of `versions`, the table is read as it was then.
     """
-    pointer = Pointer.read(spark, root)
+    pointer = Pointer.read(spark, root, version)
     places = _chosen(spark, pointer.commits, repos)
     commits = _read(spark, root, COMMITS_SCHEMA, pointer.folders(root, COMMITS, places))
     # An empty author's key is stored as the null partition.
@@ -176,15 +206,30 @@ def list_repos(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(name,) for name in names], "repo_id string")
 
 
-def _sweep(spark: SparkSession, root: str, pointer: Pointer) -> None:
-    """Delete what no reader can have open: loads never published, and the last load's leavings."""
-    loads = {place.split("/")[0] for place in pointer.used()}
-    for name in names_in(spark, root):
-        old = name.startswith(POINTER) and int(name.removeprefix(POINTER)) < pointer.number
-        if old or name.startswith("_making-") or (name.startswith("load=") and name not in loads):
+def _sweep(spark: SparkSession, root: str, keep_seconds: float) -> None:
+    """Delete states of the table that were replaced so long ago, and loads that were never published."""
+    found = listed(spark, root)
+    limit = time.time() * 1000 - 1000 * keep_seconds
+    numbers = sorted(_numbers(list(found)))
+    # A pointer's time is over when the next one is published.
+    over = {n: found[f"{POINTER}{following:012d}"] for n, following in zip(numbers, numbers[1:])}
+    gone = [n for n in numbers if n in over and over[n] <= limit]
+    used: set[str] = set()
+    for number in numbers:
+        if number not in gone:
+            used |= Pointer.read(spark, root, number).used()
+    loads = {place.split("/")[0] for place in used}
+    # Pointers go last, so that a sweep that dies can be done again.
+    for number in gone:
+        for place in sorted(Pointer.read(spark, root, number).used() - used):
+            if place.split("/")[0] in loads:
+                delete(spark, f"{root}/{place}")
+    for name, changed in found.items():
+        unused = (name.startswith("load=") and name not in loads) or name.startswith(MAKING)
+        if unused and changed <= limit:
             delete(spark, f"{root}/{name}")
-    for place in pointer.retired:
-        delete(spark, f"{root}/{place}")
+    for number in gone:
+        delete(spark, f"{root}/{POINTER}{number:012d}")
 
 
 def _laid_out(rows: DataFrame) -> DataFrame:
@@ -206,8 +251,48 @@ def _keep_rollup(spark: SparkSession, folder: str, rollup: Rollup) -> None:
     laid_out.write.partitionBy("repo_id").parquet(f"{folder}/kind={ROLLUPS}")
 
 
+def _merged(now: Pointer, name: str, found: dict[str, set[str]], emptied: set[str]) -> Pointer:
+    """The table `now`, with what a load found in place of what was there."""
+    after = Pointer(now.number)
+
+    def replaced(places: dict[str, str], gone: set[str], own: set[str]) -> dict[str, str]:
+        return {r: n for r, n in places.items() if r not in gone} | dict.fromkeys(own, name)
+
+    seen = found[COMMITS] | found[REJECTS] | emptied
+    after.commits = replaced(now.commits, emptied, found[COMMITS])
+    after.rejects = replaced(now.rejects, seen, found[REJECTS])
+    after.strays = replaced(now.strays, seen, found[COMMITS])
+    after.rollups = replaced(now.rollups, found[COMMITS] | emptied, found[ROLLUPS])
+    counts = now.written | {f"{name}/{kind}": len(repos) for kind, repos in found.items()}
+    loads = {place.split("/")[0].removeprefix("load=") for place in after.used()}
+    after.written = {key: n for key, n in counts.items() if key.split("/")[0] in loads}
+    return after
+
+
+def _publish(spark: SparkSession, root: str, before: Pointer, name: str, found: dict[str, set[str]], emptied: set[str]) -> None:
+    """Publish on top of whatever is there, if no repository of this load has changed since `before`."""
+    touched = found[COMMITS] | found[REJECTS] | emptied
+    while True:
+        now = Pointer.read(spark, root)
+        for then, since in ((before.commits, now.commits), (before.rejects, now.rejects)):
+            changed = sorted(r for r in touched if then.get(r) != since.get(r))
+            if changed:
+                delete(spark, f"{root}/load={name}")
+                raise LoadConflict(f"{changed} were replaced by another load")
+        try:
+            return _merged(now, name, found, emptied).publish(spark, root)
+        except FileExistsError:
+            # The number was taken just now.
+            continue
+
+
 def load(
-    spark: SparkSession, rows: DataFrame, root: str, repos: list[str] | None = None, rollup: Rollup | None = None
+    spark: SparkSession,
+    rows: DataFrame,
+    root: str,
+    repos: list[str] | None = None,
+    rollup: Rollup | None = None,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> int:
     """Publish `rows` as the new content of their repositories; returns how many have commits.
 
@@ -216,10 +301,13 @@ def load(
     are replaced, by nothing if they have no commits. With `rollup`, what it makes
     of the load's commits is kept beside them; it reads no other load's.
 
-    A job that dies before it publishes leaves the table as it was.
+    A job that dies before it publishes leaves the table as it was. Loads of
+    different repositories may run at once; of two that replace the same one the
+    later to publish raises `LoadConflict` and changes nothing. What was replaced
+    more than `keep_seconds` ago is deleted, and so are unpublished loads of that age.
     """
     before = Pointer.read(spark, root)
-    _sweep(spark, root, before)
+    _sweep(spark, root, keep_seconds)
     if repos is not None:
         rows = rows.filter(F.col("repo_id").isin(list(repos)))
     name = uuid.uuid4().hex
@@ -237,18 +325,7 @@ def load(
         kind: {n for n in names_in(spark, f"{folder}/kind={kind}") if "=" in n} for kind in (COMMITS, REJECTS, ROLLUPS)
     }
     emptied = {_partition(spark, "repo_id", repo) for repo in repos or []} - found[COMMITS]
-    after = Pointer(before.number)
-    seen = found[COMMITS] | found[REJECTS]
-    after.commits = {r: n for r, n in before.commits.items() if r not in emptied} | dict.fromkeys(found[COMMITS], name)
-    after.rejects = {r: n for r, n in before.rejects.items() if r not in seen | emptied} | dict.fromkeys(found[REJECTS], name)
-    after.strays = {r: n for r, n in before.strays.items() if r not in seen | emptied} | dict.fromkeys(found[COMMITS], name)
-    gone = found[COMMITS] | emptied
-    after.rollups = {r: n for r, n in before.rollups.items() if r not in gone} | dict.fromkeys(found[ROLLUPS], name)
-    counts = before.written | {f"{name}/{kind}": len(repos_) for kind, repos_ in found.items()}
-    loads = {place.split("/")[0].removeprefix("load=") for place in after.used()}
-    after.written = {key: n for key, n in counts.items() if key.split("/")[0] in loads}
-    after.retired = sorted(before.used() - after.used())
-    after.publish(spark, root)
+    _publish(spark, root, before, name, found, emptied)
     return len(found[COMMITS])
 
 
@@ -258,6 +335,7 @@ def replace_repos(
     root: str,
     repos: list[str] | None = None,
     rollup: Rollup | None = None,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> int:
     """Replace every repository that occurs in `commits`; returns how many.
 
@@ -265,7 +343,7 @@ def replace_repos(
     Their rejects go.
     """
     rows = commits.withColumn("kind", F.lit(COMMITS)).withColumn("rejects", F.lit(None).cast(REJECTS_TYPE))
-    return load(spark, rows, root, repos, rollup)
+    return load(spark, rows, root, repos, rollup, keep_seconds)
 
 
 def replace_repo(

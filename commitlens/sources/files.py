@@ -24,6 +24,14 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in filesystem(spark, path).listStatus(hadoop_path(spark, path))]
 
 
+def listed(spark: SparkSession, path: str) -> dict[str, int]:
+    """When each thing in a folder was last changed, in milliseconds."""
+    if not exists(spark, path):
+        return {}
+    found = filesystem(spark, path).listStatus(hadoop_path(spark, path))
+    return {s.getPath().getName(): s.getModificationTime() for s in found}
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = filesystem(spark, path).open(hadoop_path(spark, path))
     try:
@@ -43,9 +51,14 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a file; fails if `target` is there or the file system refuses."""
-    fs = filesystem(spark, source)
-    if fs.exists(hadoop_path(spark, target)) or not fs.rename(
-        hadoop_path(spark, source), hadoop_path(spark, target)
-    ):
+    """Rename a file; `FileExistsError` if `target` is there, `OSError` if the file system refuses.
+
+    No two renames to one target succeed where the file system sees to that, as HDFS does.
+    """
+    fs, there = filesystem(spark, source), hadoop_path(spark, target)
+    if fs.exists(there):
+        raise FileExistsError(target)
+    if not fs.rename(hadoop_path(spark, source), there):
+        if fs.exists(there):
+            raise FileExistsError(target)
         raise OSError(f"cannot rename {source} to {target}")

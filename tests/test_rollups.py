@@ -61,7 +61,7 @@ def test_a_load_scans_only_what_it_replaces(spark, tmp_path, root):
 
 def test_replaced_rollups_are_swept(spark, tmp_path, root):
     for author in ("x@x", "y@y", "z@z", "w@w"):
-        cl.ingest_logs(spark, logs(tmp_path / author, a_b=[author]), root, rollups=True)
+        cl.ingest_logs(spark, logs(tmp_path / author, a_b=[author]), root, rollups=True, keep_seconds=0)
     assert len([n for n in os.listdir(root) if n.startswith("load=")]) == 2
 
 

@@ -97,8 +97,8 @@ def test_a_load_that_dies_leaves_old_or_new_rows(spark, tmp_path, root, monkeypa
     """Whatever step fails, readers see a whole table, and the next load sweeps up."""
     old = write_logs(tmp_path / "1", a_b=[commit(H["1"]), commit(H["2"])], c_d=[commit(H["5"])])
     new = write_logs(tmp_path / "2", a_b=[commit(H["3"])])
-    cl.ingest_logs(spark, old, root)
-    cl.ingest_logs(spark, old, root)
+    cl.ingest_logs(spark, old, root, keep_seconds=0)
+    cl.ingest_logs(spark, old, root, keep_seconds=0)
     real, left = getattr(table, step), [0]
 
     def dies(*args):
@@ -111,15 +111,15 @@ def test_a_load_that_dies_leaves_old_or_new_rows(spark, tmp_path, root, monkeypa
         left[0] = calls
         monkeypatch.setattr(table, step, dies)
         try:
-            cl.ingest_logs(spark, new, root)
+            cl.ingest_logs(spark, new, root, keep_seconds=0)
         except OSError:
             pass
         monkeypatch.setattr(table, step, real)
         assert hashes(cl.read_commits(spark, root)) in ([H["1"], H["2"], H["5"]], [H["3"], H["5"]])
-    cl.ingest_logs(spark, new, root)
+    cl.ingest_logs(spark, new, root, keep_seconds=0)
     assert hashes(cl.read_commits(spark, root)) == [H["3"], H["5"]]
-    cl.ingest_logs(spark, new, root)
-    cl.ingest_logs(spark, new, root)
+    cl.ingest_logs(spark, new, root, keep_seconds=0)
+    cl.ingest_logs(spark, new, root, keep_seconds=0)
     # Two repositories, each with the load that holds it, and what the last one replaced.
     assert len([n for n in os.listdir(root) if n.startswith("load=")]) == 3
     assert not [n for n in os.listdir(root) if n.startswith("_making")]
