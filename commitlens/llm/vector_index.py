@@ -365,8 +365,8 @@ def search(
     each, and one query. An empty table gives no row.
 
     `compared` is the number of entries in the lists that a query searched; a
-    vector is in `REPLICAS` lists at most. Lists are searched until they hold `k`
-    others at least.
+    vector is in `REPLICAS` lists at most. Lists are searched until they hold twice
+    `k` others at least, or all are.
 
     Equal vectors are indexed once, with their `k` + 1 smallest keys, which is all
     an answer can hold. The index is an approximation: what no searched list
@@ -413,8 +413,8 @@ def search(
                 asked = _vectors(batch["v"], kind)
                 # A query's length does not change which vectors are nearest.
                 asked = of_length(np.pad(asked / np.abs(asked).max(axis=1)[:, None], ((0, 0), (0, 1))), longest)
-                # A vector stands in few lists: so many entries hold `k` others.
-                walks = [shared.value.within(q, prune, base, sizes, REPLICAS * (k + 1)) for q in asked]
+                # A vector stands in few lists: so many entries hold `k` others twice over.
+                walks = [shared.value.within(q, prune, base, sizes, 2 * REPLICAS * (k + 1)) for q in asked]
                 compared = np.array([sizes[w].sum() for w in walks])
                 at, cells, lists, nearest = _by_cell(walks)
                 part = batch.take(pa.array(at))
