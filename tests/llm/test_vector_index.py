@@ -88,3 +88,43 @@ def test_graph_finds_what_a_scan_finds():
 def test_empty_table(spark):
     assert search(spark.createDataFrame([], SCHEMA), is_query()).count() == 0
     assert search(spark.createDataFrame([(1, None)], SCHEMA), is_query()).count() == 0
+
+
+def test_long_tiny_and_unequal_vectors(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(0, [1.0, 2.0]), (20, [1e200, 2.0]), (1, [2.0, 1.0]), (2, [1e-200, 0.0]), (3, [1.0, 2.0, 3.0]), (4, [1.0])]
+    found = by_query(search(spark.createDataFrame(rows, schema), is_query()).collect())
+    assert found == {
+        0: [(20, 1e200), (1, 4.0), (2, 1e-200)],
+        20: [(1, 2e200), (0, 1e200), (2, 1.0)],
+    }
+    # Infinite products are kept; infinity less infinity comes last.
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 1e200]), (2, [1e200, -1e200]), (3, [1.0, 0.0])]
+    found = by_query(search(spark.createDataFrame(rows, schema), is_query()).collect())
+    assert found[0] == [(1, float("inf")), (3, 1e200), (2, float("-inf"))]
+
+
+def test_every_query_gets_k_rows_and_says_what_it_compared(spark):
+    rng = np.random.default_rng(8)
+    far = [(i, (rng.normal(size=6) * 0.01 + np.eye(6)[i % 6] * 5).tolist()) for i in range(600)]
+    found = search(spark.createDataFrame(far, SCHEMA), is_query()).collect()
+    counts = np.unique([r["query_id"] for r in found], return_counts=True)[1]
+    assert (counts == 20).all() and len(counts) == 30
+    assert all(20 < r["compared"] <= 4 * 600 for r in found)
+
+
+def test_memory_of_posting_does_not_grow_with_lists():
+    import tracemalloc
+
+    rng, peaks = np.random.default_rng(9), []
+    vectors = rng.normal(size=(256, 16))
+    for lists in (1024, 16_384):
+        centroids = rng.normal(size=(lists, 16))
+        tracemalloc.start()
+        found = list(lists_of(vectors, centroids))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        nearest = np.argmin(((vectors[:, None] - centroids[:1024]) ** 2).sum(axis=2), axis=1)
+        if lists == 1024:
+            assert [x[0] for x in found] == nearest.tolist()
+    assert max(peaks) < 64 << 20
