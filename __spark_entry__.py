@@ -298,9 +298,12 @@ def _order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _events_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each window what falls into it, whoever did it."""
     events = _events(spark, sf_dir).select("event_id", "ts", "value")
-    met = cl.interval_join(events, _order_windows(spark, sf_dir), "ts", "opens", "closes", max_bin_rows=HOT_BIN)
+    asked = {"n": ("count", None), "first": ("min", "event_id"), "most": ("max", "value")}
+    met = cl.interval_join(
+        events, _order_windows(spark, sf_dir), "ts", "opens", "closes", max_bin_rows=HOT_BIN, summary=asked
+    )
     return met.groupBy("o_orderkey").agg(
-        F.count(F.lit(1)).alias("n_events"), F.min("event_id").alias("first_event"), F.max("value").alias("most")
+        F.sum("n").alias("n_events"), F.min("first").alias("first_event"), F.max("most").alias("most")
     )
 
 

@@ -13,6 +13,11 @@ choice with the least rows and comparisons.
 A bin with many points or many intervals is split: its points are dealt to rows
 and its intervals to columns of a grid, each goes to all cells of its own row or
 column, and so every pair meets in one cell.
+
+Where only counts and extremes of an interval's points are asked for, no pair is
+made. Points and ends of intervals are numbered in one order, so an interval is a
+range of numbers; a tree with 64 children a node holds what its points come to, and
+a range is a few slices of nodes. That work grows with the rows, not with the pairs.
 """
 
 from __future__ import annotations
@@ -24,12 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commitlens.functions.names import quoted, unused
+from commitlens.operators.numbering import number_rows
 from commitlens.scratch import stored
 
 # Most rows of one side of a bin that go to one task.
 MAX_BIN_ROWS = 1_000_000
 # Positions are whole numbers of at most this many bits.
 _BITS = 63
+# A node of the tree over numbered points has 64 children, a bit each of a long.
+_FAN_BITS, _FAN = 6, 64
+_EXTREMES = {"min": (F.min, F.array_min), "max": (F.max, F.array_max)}
 
 
 def _position(df: DataFrame, name: str) -> Column:
@@ -132,6 +141,136 @@ def _split(points: DataFrame, ranges: DataFrame, on: list[str], n: _Names, max_r
     return dealt(points, n.row, n.column), dealt(ranges, n.column, n.row)
 
 
+def _shifted(number: Column, levels: int) -> Column:
+    """The node, so many levels up, that a number lies in."""
+    return F.shiftright(number, _FAN_BITS * levels)
+
+
+def _below(slot: Column) -> Column:
+    """Bits of the slots before one; 64 is behind the last."""
+    all_ = F.lit(-1).cast("long")
+    return F.when(slot >= _FAN, all_).otherwise(F.bitwise_not(F.call_function("shiftleft", all_, slot)))
+
+
+def _tree(items: DataFrame, extremes: dict[str, str], depth: int) -> DataFrame:
+    """`(level, node, mask, n, <extremes>)` over `(at, n, <extremes>)`: arrays over the children that have points.
+
+    `mask` has a bit for each of those. A node is an item of the level above.
+    """
+    levels = []
+    for level in range(depth):
+        child = F.struct("at", "n", *extremes)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % _FAN).cast("int"))
+        nodes = items.groupBy(_shifted(F.col("at"), 1).alias("node")).agg(
+            F.bit_or(bit).alias("mask"), F.array_sort(F.collect_list(child)).alias("children")
+        )
+        held = stored(nodes.select("node", "mask", *(F.col("children")[c].alias(c) for c in ("n", *extremes))))
+        levels.append(held.withColumn("level", F.lit(level)))
+        items = held.select(
+            F.col("node").alias("at"),
+            F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"),
+            *(_EXTREMES[kind][1](c).alias(c) for c, kind in extremes.items()),
+        )
+    out = levels[0]
+    for nodes in levels[1:]:
+        out = out.unionByName(nodes)
+    return out
+
+
+def _slices(first: Column, end: Column, depth: int) -> Column:
+    """Slices `(level, node, start, stop)` of nodes that make up the numbers from `first` to before `end`."""
+    out = []
+
+    def cut(level: int, a: Column, b: Column, when: Column) -> None:
+        node = _shifted(a, 1)
+        ends = ((x - node * _FAN).cast("int") for x in (a, b))
+        parts = zip(("level", "node", "start", "stop"), (F.lit(level), node, *ends))
+        out.append(F.when(when & (a < b), F.struct(*(c.alias(name) for name, c in parts))))
+
+    for level in range(depth):
+        # Whole items of this level in the range, and whole nodes of them.
+        a, b = _shifted(first + (_FAN**level - 1), level), _shifted(end, level)
+        above, under = _shifted(a + (_FAN - 1), 1), _shifted(b, 1)
+        cut(level, a, b, above > under)
+        cut(level, a, above * _FAN, above <= under)
+        cut(level, under * _FAN, b, above <= under)
+    return F.array_compact(F.array(*out))
+
+
+def _summed(
+    points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, keys: list[str], summary: dict[str, tuple[str, str | None]]
+) -> DataFrame:
+    """Every interval that holds a point, once, with the summary of its points."""
+    keys_as = [f"k{i}" for i in range(len(keys))]
+    others = [c for c in intervals.columns if c.lower() not in {k.lower() for k in keys}]
+    own = {f"c{i}": c for i, c in enumerate([*keys, *others])}
+    extremes = {f"s{i}": kind for i, (kind, _) in enumerate(summary.values()) if kind != "count"}
+    values = {f"s{i}": c for i, (kind, c) in enumerate(summary.values()) if kind != "count"}
+
+    def keyed(side: DataFrame) -> DataFrame:
+        for key in keys:
+            side = side.filter(F.col(quoted(key)).isNotNull())
+        return side
+
+    marks = keyed(points).select(
+        *(F.col(quoted(k)).alias(a) for k, a in zip(keys, keys_as)),
+        _position(points, point).alias("at"),
+        F.lit(1).alias("kind"),
+        *(F.col(quoted(c)).alias(a) for a, c in values.items()),
+    ).filter("at IS NOT NULL")
+    # A null bound lies before or behind every point.
+    bounds = keyed(intervals).select(
+        *(F.col(quoted(k)).alias(a) for k, a in zip(keys, keys_as)),
+        *(F.col(quoted(c)).alias(a) for a, c in own.items()),
+        F.coalesce(_position(intervals, low), F.lit(-(2**_BITS))).alias("low"),
+        F.coalesce(_position(intervals, high), F.lit(2**_BITS - 1)).alias("high"),
+        F.col(quoted(high)).isNull().alias("open"),
+        F.monotonically_increasing_id().alias("id"),
+    ).filter("low < high OR open")
+    # An end stands before the points at its place, but an open one behind all.
+    ends = F.array(
+        F.struct(F.col("low").alias("at"), F.lit(0).alias("kind"), F.lit(True).alias("is_low")),
+        F.struct(F.col("high").alias("at"), F.when(F.col("open"), 2).otherwise(0).alias("kind"), F.lit(False).alias("is_low")),
+    )
+    edges = bounds.select("*", F.inline(ends)).drop("low", "high", "open")
+    order = [*keys_as, "at", "kind"]
+    ranked = number_rows(marks.unionByName(edges, allowMissingColumns=True), order, "number")
+    last = ranked.agg(F.max("number")).first()[0] or 0
+    depth = 1
+    while _FAN**depth <= last:
+        depth += 1
+    items = ranked.filter("kind = 1").select(F.col("number").alias("at"), F.lit(1).cast("long").alias("n"), *extremes)
+    tree = _tree(items, extremes, depth)
+    # What an interval brings along stands with its low end.
+    brought = [F.any_value(F.when(F.col("is_low"), F.col(a)), F.lit(True)).alias(a) for a in own]
+    spans = ranked.filter("kind <> 1").groupBy("id").agg(
+        F.min(F.when(F.col("is_low"), F.col("number"))).alias("first"),
+        F.min(F.when(~F.col("is_low"), F.col("number"))).alias("end"),
+        *brought,
+    )
+    cut = spans.select("id", *own, F.inline(_slices(F.col("first"), F.col("end"), depth)))
+    before, upto = _below(F.col("start")), _below(F.col("stop"))
+    skipped = F.bit_count(F.col("mask").bitwiseAND(before))
+    within = F.bit_count(F.col("mask").bitwiseAND(upto)) - skipped
+
+    def part(name: str) -> Column:
+        return F.slice(name, skipped + 1, within)
+
+    met = cut.join(tree, ["level", "node"]).filter(within > 0).select(
+        "id",
+        *own,
+        F.aggregate(part("n"), F.lit(0).cast("long"), lambda a, b: a + b).alias("n"),
+        *(_EXTREMES[kind][1](part(a)).alias(a) for a, kind in extremes.items()),
+    )
+    whole = met.groupBy("id").agg(
+        *(F.any_value(a).alias(a) for a in own),
+        F.sum("n").alias("n"),
+        *(_EXTREMES[kind][0](a).alias(a) for a, kind in extremes.items()),
+    )
+    found = [F.col("n" if kind == "count" else f"s{i}").alias(name) for i, (name, (kind, _)) in enumerate(summary.items())]
+    return whole.select(*(F.col(a).alias(c) for a, c in own.items()), *found)
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -140,6 +279,7 @@ def interval_join(
     high: str,
     keys: list[str] | None = None,
     max_bin_rows: int = MAX_BIN_ROWS,
+    summary: dict[str, tuple[str, str | None]] | None = None,
 ) -> DataFrame:
     """Every pair of a point and an interval with `low <= point < high` and equal `keys`.
 
@@ -149,6 +289,10 @@ def interval_join(
     Null points and null keys match nothing, nor does an interval whose end is not
     behind its start. Repeated rows match as often as they stand. `max_bin_rows`
     decides how the work is dealt out, never what comes out.
+
+    With `summary`, an interval comes once and not once per point, if it holds any:
+    its columns, keys first, then of its points what each name says, `("count", None)`,
+    `("min", column)` or `("max", column)`. No pair is made, so no bin is either.
     """
     keys = list(keys or [])
     clash = {c.lower() for c in points.columns} & {c.lower() for c in intervals.columns} - {k.lower() for k in keys}
@@ -158,6 +302,8 @@ def interval_join(
              for t, c in ((points, point), (intervals, low), (intervals, high))}
     if len(kinds) > 1:
         raise TypeError(f"{point}, {low} and {high} must be of one kind")
+    if summary is not None:
+        return _summed(points, intervals, point, low, high, keys, summary)
     n = _Names.of(points, intervals)
     placed = points.withColumn(n.at, _position(points, point)).filter(F.col(n.at).isNotNull())
     count, first, last = placed.agg(F.count(F.lit(1)), F.min(n.at), F.max(n.at)).first()

@@ -105,3 +105,41 @@ def test_levels_follow_the_data():
     assert choose_levels({}, 5, 5) == {}
     widths = choose_levels({c: 1000 for c in range(63)}, 1000, 2**62)
     assert all(c - widths[c] <= 12 for c in widths)
+
+
+ASKED = {"n": ("count", None), "least": ("min", "id"), "most": ("max", "v")}
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("n, m", [(250, 120), (3000, 60), (5, 40)])
+def test_summaries_same_as_brute_force(spark, keyed, n, m):
+    points, ranges = made(n, n, m)
+    value = {i: None if i % 3 == 0 else float("nan") if i % 97 == 1 else (i * 7919 % 1009) / 8 for _, _, i in points}
+    left = spark.createDataFrame([(*p, value[p[2]]) for p in points], f"{POINTS}, v double")
+    right = spark.createDataFrame(ranges, RANGES)
+    key, expected = "k" if keyed else "other", {}
+    for *row, lo, hi, name in brute(points, ranges, keyed):
+        expected.setdefault((row[0] if keyed else row[3], lo, hi, name), []).append(row[2])
+    # A repeated interval comes as often as it stands.
+    times = {r: ranges.count(r) for r in ranges}
+    wanted = []
+    for interval, ids in expected.items():
+        kept = [value[i] for i in ids if value[i] is not None]
+        most = max(kept, key=lambda v: (v != v, v), default=None)
+        wanted += [(*interval, len(ids) // times[interval], min(ids), most)] * times[interval]
+    got = cl.interval_join(left, right if keyed else right.withColumnRenamed("k", "other"), "p", "lo", "hi",
+                           ["k"] if keyed else None, summary=ASKED)
+    assert got.columns == [key, "lo", "hi", "name", "n", "least", "most"]
+    assert list(map(repr, rows(got))) == sorted(map(repr, wanted))
+
+
+def test_summaries_make_no_pairs(spark):
+    left = spark.range(20_000).select("id", F.col("id").alias("p"), F.lit(1.5).alias("v"))
+    right = spark.range(20_000).select(F.col("id").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("id").alias("j"))
+    got = cl.interval_join(left, right, "p", "lo", "hi", summary=ASKED)
+    # 200 million pairs; a range is at most two slices a level of the tree.
+    assert "__bin" not in plan_of(got)
+    assert got.filter(F.col("n") == 20_000 - F.col("j")).filter("least = j").count() == 20_000
+    empty = cl.interval_join(left.limit(0), right, "p", "lo", "hi", summary=ASKED)
+    assert empty.collect() == []
+    assert cl.interval_join(left, right.limit(0), "p", "lo", "hi", summary=ASKED).collect() == []
