@@ -38,6 +38,8 @@ MAX_BIN_ROWS = 1_000_000
 _BITS = 63
 # A node of the tree over numbered points has 64 children, a bit each of a long.
 _FAN_BITS, _FAN = 6, 64
+# Comparisons that one row more is worth.
+_ROW = 64
 _EXTREMES = {"min": (F.min, F.array_min), "max": (F.max, F.array_max)}
 
 
@@ -58,15 +60,17 @@ def _position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: bounds must be whole numbers, dates or timestamps, not {kind.simpleString()}")
 
 
-def choose_levels(lengths: dict[int, int], points: int, spread: int) -> dict[int, int]:
+def choose_levels(lengths: dict[int, int], points: int, spread: int, met: float | None = None) -> dict[int, int]:
     """For each length class (2^c <= length < 2^(c+1)) the level, that is the exponent of its bins' width.
 
     `lengths` counts intervals by class; `spread` is how far apart the outermost
-    points are. An interval costs a row per bin that it touches and a comparison
-    per point that lies in them but not in it, a level costs a row per point.
+    points are; `met` is how many points share an interval's keys, on average, all
+    if it is None. An interval costs a row per bin that it touches and a comparison
+    per point that lies in them but not in it, a level costs a row per point. A row
+    is shuffled and so costs as much as `_ROW` comparisons.
     """
     classes = sorted(lengths)
-    density = points / max(1, spread)
+    density = (points if met is None else met) / max(1, spread) / _ROW
 
     def cost(c: int, width: int) -> float:
         # Length 1.5 * 2^c on average; the first and the last bin stick out by one width together.
@@ -113,10 +117,28 @@ def _class_of(length: Column) -> Column:
     return F.length(F.bin(length)) - 1
 
 
+def _of_shared_keys(points: DataFrame, intervals: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, float]:
+    """Rows of both sides whose keys the other side has too, and how many points an interval's keys have on average."""
+
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias(name))
+
+    both = [unused(f"__{name}", points, intervals) for name in ("points", "intervals")]
+    shared = stored(counted(points, both[0]).join(counted(intervals, both[1]), keys))
+    a, b = (F.col(c).cast("double") for c in both)
+    met = shared.agg(F.sum(a * b) / F.sum(b)).first()[0] or 0.0
+    named = shared.select(*map(quoted, keys))
+    return points.join(named, keys, "left_semi"), intervals.join(named, keys, "left_semi"), met
+
+
 def _split(points: DataFrame, ranges: DataFrame, on: list[str], n: _Names, max_rows: int) -> tuple[DataFrame, DataFrame]:
     """Grid rows and columns for both sides of every bin; one each where a bin is small."""
 
     def counted(side: DataFrame, name: str) -> DataFrame:
+        if keys := on[:-2]:
+            # Only a key with so many rows can have such a bin.
+            hot = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_rows)
+            side = side.join(F.broadcast(stored(hot.drop("__n"))), keys, "left_semi")
         cells = side.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
         return cells.filter(F.col("__n") > max_rows).select(
             *on, F.ceil(F.col("__n") / max_rows).cast("int").alias(name)
@@ -306,6 +328,9 @@ def interval_join(
         return _summed(points, intervals, point, low, high, keys, summary)
     n = _Names.of(points, intervals)
     placed = points.withColumn(n.at, _position(points, point)).filter(F.col(n.at).isNotNull())
+    met = None
+    if keys:
+        placed, intervals, met = _of_shared_keys(placed, intervals, keys)
     count, first, last = placed.agg(F.count(F.lit(1)), F.min(n.at), F.max(n.at)).first()
     if not count:
         first = last = 0
@@ -318,7 +343,7 @@ def interval_join(
     ).filter(F.col(n.low) < F.col(n.high))
     length_class = _class_of(F.col(n.high) - F.col(n.low))
     lengths = {r["c"]: r["n"] for r in bounded.groupBy(length_class.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    levels = choose_levels(lengths, count, last - first) or {0: 0}
+    levels = choose_levels(lengths, count, last - first, met) or {0: 0}
     level_of = F.create_map(*(F.lit(int(x)) for pair in sorted(levels.items()) for x in pair))
     # A bin's number is a position's leading bits, whatever its sign.
     ranged = bounded.withColumn(n.level, level_of[length_class]).withColumn(

@@ -143,3 +143,19 @@ def test_summaries_make_no_pairs(spark):
     empty = cl.interval_join(left.limit(0), right, "p", "lo", "hi", summary=ASKED)
     assert empty.collect() == []
     assert cl.interval_join(left, right.limit(0), "p", "lo", "hi", summary=ASKED).collect() == []
+
+
+def test_bins_follow_the_points_of_a_key():
+    # Of a million points an interval's key has a thousand: wider bins do, so an interval is in few of them.
+    all_points, per_key = (choose_levels({30: 100_000}, 1_000_000, 1 << 32, met)[30] for met in (None, 1_000))
+    assert per_key > all_points
+    # Some 400 points to an interval are not worth more than four rows of it.
+    assert 1.5 * 2.0 ** (30 - choose_levels({30: 100_000}, 1_000, 1 << 32)[30]) + 1 <= 4
+
+
+def test_keys_of_one_side_only_are_left_out(spark):
+    left = spark.range(1000).select((F.col("id") % 100).alias("k"), "id", F.col("id").alias("p"))
+    right = spark.createDataFrame([(3, 0, 500), (777, 0, 500)], "k long, lo long, hi long")
+    got = cl.interval_join(left, right, "p", "lo", "hi", ["k"])
+    assert sorted(r["id"] for r in got.collect()) == [3, 103, 203, 303, 403]
+    assert "LeftSemi" in plan_of(got)
