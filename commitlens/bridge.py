@@ -67,37 +67,57 @@ _NEW_HASH = """CASE WHEN o_orderkey % 9 IN (5, 6) AND o_orderkey % 7 = 0
     THEN sha1(concat('new ', o_orderkey)) ELSE {hash} END"""
 
 
-def log_lines(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
-    """`(log, key, place, value)`: text of all logs; `key` and `place` give its order."""
-    orders, commit = spark.read.parquet(f"{sf_dir}/orders.parquet"), dict(_COMMIT)
+# Lines of the logs that one task writes, about.
+TASK_LINES = 500_000
+
+
+def _rows(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
+    """Orders and line items as they are, in one table; `key` is the order's."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     if later:
         orders = orders.filter(_STILL_THERE)
-        commit["hash"] = _NEW_HASH.format(hash=commit["hash"])
-    orders = orders.select(
-        F.expr(_LOG.format(key="o_orderkey")).alias("log"),
-        F.col("o_orderkey").alias("key"),
-        *(F.expr(e).alias(name) for name, e in commit.items()),
-    )
-    pieces = F.array(*map(F.expr, (_HEADER, "NULL", _WARNING, _BAD_DATE, _BAD_HASH, "''")))
-    around = orders.select("log", "key", F.posexplode(pieces).alias("place", "value")).filter(
-        "value IS NOT NULL"
-    )
     files = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.expr(_LOG.format(key="l_orderkey")).alias("log"),
-        F.col("l_orderkey").alias("key"),
-        F.lit(1).alias("place"),
-        F.expr(_FILE).alias("value"),
+        F.col("l_orderkey").alias("key"), "l_partkey", "l_suppkey", F.lit(False).alias("is_commit")
     )
     if later:
-        files = files.join(orders, "key", "left_semi").select(files.columns)
-    return around.unionByName(files)
+        files = files.join(orders.select(F.col("o_orderkey").alias("key")), "key", "left_semi")
+    needed = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
+    commits = orders.select(F.col("o_orderkey").alias("key"), *needed, F.lit(True).alias("is_commit"))
+    return commits.unionByName(files, allowMissingColumns=True)
+
+
+def _rendered(rows: DataFrame, later: bool) -> DataFrame:
+    commit = dict(_COMMIT)
+    if later:
+        commit["hash"] = _NEW_HASH.format(hash=commit["hash"])
+    parts = rows.select(
+        F.expr(_LOG.format(key="key")).alias("log"),
+        "key",
+        "is_commit",
+        *(F.expr(e).alias(name) for name, e in commit.items()),
+        F.expr(_FILE).alias("file"),
+    )
+    around = F.array(*map(F.expr, (_HEADER, "NULL", _WARNING, _BAD_DATE, _BAD_HASH, "''")))
+    pieces = F.when(F.col("is_commit"), around).otherwise(F.array(F.lit(None), F.col("file")))
+    lines = parts.select("log", "key", "is_commit", F.posexplode(pieces).alias("place", "value"))
+    # A file without a name is a line all the same.
+    return lines.filter("value IS NOT NULL OR (NOT is_commit AND place = 1)").drop("is_commit")
+
+
+def log_lines(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
+    """`(log, key, place, value)`: text of all logs; `key` and `place` give its order."""
+    return _rendered(_rows(spark, sf_dir, later), later)
 
 
 def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = False) -> None:
-    """Write one log per repository under `folder`; a commit stays within a part file."""
+    """Write one log per repository under `folder`; a commit stays within a part file.
+
+    What is shuffled are the tables' columns, not the text made of them.
+    """
+    lines = sum(n * spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table, n in (("orders", 2), ("lineitem", 1)))
+    dealt = _rows(spark, sf_dir, later).repartition(max(1, -(-lines // TASK_LINES)), "key")
     (
-        log_lines(spark, sf_dir, later)
-        .repartition("key")
+        _rendered(dealt, later)
         .sortWithinPartitions("log", "key", "place", "value")
         .select("log", "value")
         .write.partitionBy("log")

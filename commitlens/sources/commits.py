@@ -42,6 +42,9 @@ _BLOOM_FILTERS = {
     "parquet.bloom.filter.enabled#author": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
 }
+# Columns and patterns of rows that are packed for the exchange.
+_PACKED = "__packed_"
+_SHORT_HASH, _SHORT_BYTES, _ANY_HASH = "^[a-f0-9]{40}$", 20, "^(?:[a-f0-9]{40}|[a-f0-9]{64})$"
 # How long what was replaced can still be read.
 KEEP_SECONDS = 24 * 3600
 POINTER, MAKING = "_pointer-", "_making-"
@@ -232,12 +235,46 @@ def _sweep(spark: SparkSession, root: str, keep_seconds: float) -> None:
         delete(spark, f"{root}/{POINTER}{number:012d}")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """File lists as one text, a line per file, and hashes as bytes, where they come back whole: half the bytes."""
+    plain = F.forall(
+        "files", lambda f: (F.length(f["status"]) == 1) & f["filename"].isNotNull() & ~f["filename"].contains("\n")
+    )
+    text = F.array_join(F.transform("files", lambda f: F.concat(f["status"], f["filename"])), "\n")
+    ways = {
+        "files": ((F.size("files") > 0) & plain, text),
+        "parents": ((F.size("parents") > 0) & F.forall("parents", lambda p: p.rlike(_SHORT_HASH)), F.unhex(F.array_join("parents", ""))),
+        "commit_hash": (F.col("commit_hash").rlike(_ANY_HASH), F.unhex("commit_hash")),
+    }
+    for column, (can, packed) in ways.items():
+        can = F.coalesce(can, F.lit(False))
+        rows = rows.withColumns({_PACKED + column: F.when(can, packed), column: F.when(~can, F.col(column))})
+    return rows
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    text, parents, commit_hash = (F.col(_PACKED + c) for c in ("files", "parents", "commit_hash"))
+    ways = {
+        "files": F.transform(
+            F.split(text, "\n"),
+            lambda x: F.struct(F.substring(x, 1, 1).alias("status"), F.substr(x, F.lit(2)).alias("filename")),
+        ),
+        "parents": F.transform(
+            F.sequence(F.lit(1), F.octet_length(parents), F.lit(_SHORT_BYTES)),
+            lambda at: F.lower(F.hex(F.substr(parents, at, F.lit(_SHORT_BYTES)))),
+        ),
+        "commit_hash": F.lower(F.hex(commit_hash)),
+    }
+    whole = {c: F.when(F.col(_PACKED + c).isNotNull(), way).otherwise(F.col(c)) for c, way in ways.items()}
+    return rows.withColumns(whole).drop(*(_PACKED + c for c in ways))
+
+
 def _laid_out(rows: DataFrame) -> DataFrame:
     """One exchange: rows gather by partition folder, and a folder that is too
     large for one task is split (AQE rebalancing). Sorting by author lets a
-    lookup skip row groups."""
+    lookup skip row groups. Rows are shuffled and sorted packed."""
     folder = ["kind", *PARTITION_COLUMNS]
-    return rows.hint("rebalance", *folder).sortWithinPartitions(*folder, "author")
+    return _unpacked(_packed(rows).hint("rebalance", *folder).sortWithinPartitions(*folder, "author"))
 
 
 Rollup = Callable[[DataFrame], DataFrame]
@@ -317,6 +354,7 @@ def load(
         .write.options(**_BLOOM_FILTERS)
         .partitionBy("kind", *PARTITION_COLUMNS)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("compression", "zstd")
         .parquet(folder)
     )
     if rollup is not None and names_in(spark, f"{folder}/kind={COMMITS}"):

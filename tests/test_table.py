@@ -268,3 +268,30 @@ def test_author_lookup_prunes_both_keys(spark, tmp_path, root):
     assert "repo_id" in filters and "author_first_char" in filters
     assert "EqualTo(author,a@x.org)" in plan_of(found)
     assert hashes(found) == [H["1"]]
+
+
+ODD_FILES = [
+    [("A", "a"), ("M", "b\tc")], [("A", "one\ntwo")], [("R100", "x")], [("A", None)], [(None, "x")], [("", "x")], [], None, [("T", "")],
+]
+ODD_PARENTS = [[H["1"], H["2"]], [H["1"].upper()], ["ab"], [], None, [H["1"], None], [""], ["f" * 64]]
+
+
+def test_rows_come_back_whole_from_the_exchange(spark):
+    given = [
+        (i, h, f, p)
+        for i, (h, f, p) in enumerate((h, f, p) for h in (H["1"], "F" * 40, "a" * 64, "abc", "", None) for f in ODD_FILES for p in ODD_PARENTS)
+    ]
+    kinds = "id int, commit_hash string, files array<struct<status:string,filename:string>>, parents array<string>"
+    df = spark.createDataFrame(given, kinds)
+    packed = table._packed(df)
+    assert packed.filter("files IS NULL AND __packed_files IS NOT NULL").count() > 0
+    back = table._unpacked(packed)
+    assert back.columns == df.columns and rows(back) == rows(df)
+
+
+def test_packed_rows_cross_the_exchange(spark, tmp_path, root):
+    logs = write_logs(tmp_path / "logs", a_b=[commit(H["1"], files=["M\tf", "A\tg"])])
+    rows_ = table._laid_out(cl.well_formed(cl.parse_blocks(cl.read_blocks(spark, logs))).withColumn("kind", F.lit("commits")))
+    exchange = next(line for line in rows_._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort" in line)
+    assert exchange.strip() and "__packed_files" in rows_._jdf.queryExecution().optimizedPlan().toString()
+    assert [f.filename for f in rows_.first().files] == ["f", "g"]
