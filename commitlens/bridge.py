@@ -112,13 +112,17 @@ def log_lines(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFram
 def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = False) -> None:
     """Write one log per repository under `folder`; a commit stays within a part file.
 
-    What is shuffled are the tables' columns, not the text made of them.
+    What is shuffled are the tables' columns, not the text made of them. Only what one
+    task could write is shuffled as text, and adaptive execution says how many do.
     """
     lines = sum(n * spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table, n in (("orders", 2), ("lineitem", 1)))
-    dealt = _rows(spark, sf_dir, later).repartition(max(1, -(-lines // TASK_LINES)), "key")
+    rows = _rows(spark, sf_dir, later)
+    if lines > TASK_LINES:
+        dealt = _rendered(rows.repartition(-(-lines // TASK_LINES), "key"), later)
+    else:
+        dealt = _rendered(rows, later).repartition("key")
     (
-        _rendered(dealt, later)
-        .sortWithinPartitions("log", "key", "place", "value")
+        dealt.sortWithinPartitions("log", "key", "place", "value")
         .select("log", "value")
         .write.partitionBy("log")
         .text(folder)
