@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.llm.shared_files import attempt_path, open_input, open_output
+from commitlens.llm.rows import arrow_bytes
 from commitlens.llm.tokens import encoder, slices
 from commitlens.scratch import fresh_folder, stored
 
@@ -27,6 +28,8 @@ MAGIC = b"IDSHARD1"
 # Bits per remaining key at each level of the hash.
 GAMMA = 2
 MAX_LEVELS = 64
+# What one batch of texts to a worker may hold; a text is never cut.
+_BATCH_BYTES = 4 << 20
 # Standing in for a null key, which no lookup finds.
 _NULL_KEY = np.iinfo(np.int64).min
 
@@ -225,11 +228,12 @@ def write_token_store(
     spread = ["key", F.xxhash64("text")]
     count = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     write = _write_shard(fresh_folder(spark), tokenizer, end_id)
-    written = stored(
-        rows.repartitionByRange(count, *spread)
-        .sortWithinPartitions(*spread, "text")
-        .mapInArrow(write, _MANIFEST)
-    )
+    with arrow_bytes(spark, _BATCH_BYTES):
+        written = stored(
+            rows.repartitionByRange(count, *spread)
+            .sortWithinPartitions(*spread, "text")
+            .mapInArrow(write, _MANIFEST)
+        )
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 

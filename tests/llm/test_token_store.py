@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from commitlens.llm import tokens
 from commitlens.llm.token_store import PerfectHash, ShardIndex, look_up, scan_token_store, write_token_store
 from commitlens.llm.tokens import TextEncoder, default_tokenizer
 from tests.llm.conftest import odd_rows, with_clashes
@@ -28,6 +29,26 @@ def test_ids_are_the_tokenizers_own(encoder, texts):
     assert encoder.encode(texts) == encoder._plain(texts)
 
 
+def test_words_met_again_are_learned_once_and_memory_is_bounded(encoder, monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_CACHED_WORDS", 200)
+    own, learned = TextEncoder(default_tokenizer()), []
+    monkeypatch.setattr(own, "_learn", lambda words, learn=own._learn: (learned.extend(words), learn(words)))
+    for i in range(40):
+        texts = ["common words, déjà vu", " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}" for j in range(20))]
+        assert own.encode(texts) == encoder._plain(texts)
+        assert len(own.ids) + len(own.old) <= 200 + 2 * 30
+    assert [learned.count(w) for w in (b"common", b"vu", "déjà".encode())] == [1, 1, 1]
+
+
+def test_words_of_plain_letters_go_to_the_model_alone(encoder, monkeypatch):
+    own = TextEncoder(default_tokenizer())
+    text = "Straße, naïve ÿ æon zebra. déjà"
+    want, asked = encoder._plain([text]), []
+    monkeypatch.setattr(own, "_plain", lambda texts, plain=own._plain: (asked.extend(texts), plain(texts))[1])
+    assert own.encode([text]) == want
+    assert sorted(" ".join(asked).split(" \x01 ")) == [",", "."]
+
+
 def test_ids_of_special_marks_and_nulls(encoder):
     texts = ["a<|endoftext|>b", "<|STARTOFTEXT|>", None, "don't THEY'RE ., x.", "x,. ,x"]
     assert encoder.encode(texts) == encoder._plain([t or "" for t in texts])
