@@ -1,15 +1,19 @@
 """Operator 2: main text of web pages.
 
-Markup decides where it speaks: what stands in menus, headers, footers, adverts,
-comments and the like is dropped, and a page that declares its main part, such as
-an article, is that part. Everywhere else the host decides. Windows of `MIN_TOKENS` tokens are
-compared by hash over all pages of the host, with near copies as one page; this
-is no full suffix array. What a real share of the host's pages repeats is
-boilerplate; its tokens are removed, and the runs between them are kept.
+Markup tells what stands in menus, headers, footers, adverts, comments and the
+like, and which part a page declares as its main one, such as an article. The host
+tells the rest: a suffix array over the token streams of its pages, chrome included,
+finds the substrings of `MIN_TOKENS` tokens and more that a real share of the pages
+repeat. A host of any size is dealt out in parts, each with a suffix array of its
+own; what is frequent on the host is frequent in one of them, and is then counted
+over all. On pages without a main part such tokens are removed and the runs between
+them are kept. A block of a main part goes if all of it is repeated so by the host's
+main texts and is also marked as chrome somewhere on the host.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -31,6 +35,8 @@ MIN_SHARE = 0.5
 # Smallest values of so many hashes stand for a page's pairs of tokens; pages that agree
 # in this share of them are near copies. Bands of so many find those to compare.
 SKETCH, NEAR, BAND = 64, 0.75, 4
+# Tokens of a host's pages that one suffix array takes, about. Results never depend on it.
+PART_TOKENS = 1 << 18
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose text is never shown, or is no text of the page.
@@ -94,14 +100,22 @@ class _Page(HTMLParser):
         self.chrome = chrome
         self.blocks: list[tuple[int, str]] = []
         self.text: list[str] = []
-        # Open elements: tag, drops its text, strength of the main part around.
-        self.open: list[tuple[str, bool, int]] = [("", False, 0)]
+        # Blocks of text in chrome, where that is no text.
+        self.beside: list[str] = []
+        self.aside: list[str] = []
+        # Open elements: tag, whether its text is chrome (1) or never shown (2), strength of the main part around.
+        self.open: list[tuple[str, int, int]] = [("", 0, 0)]
 
     def _flush(self) -> None:
         words = " ".join("".join(self.text).split())
         self.text.clear()
         if words:
             self.blocks.append((self.open[-1][2], words))
+        if self.aside:
+            words = " ".join("".join(self.aside).split())
+            self.aside.clear()
+            if words:
+                self.beside.append(words)
 
     def parse_comment(self, i: int, report: bool = True) -> int:
         # Pages are fed whole, so a comment without an end goes on to the page's end.
@@ -131,10 +145,11 @@ class _Page(HTMLParser):
             self._close_before(tag)
         _, drops, main = self.open[-1]
         strength = self._strength(tag, attrs)
-        drops = drops or tag in _SILENT
-        if not self.chrome:
-            drops = drops or tag in _CHROME or (tag == "header" and not main)
-            drops = drops or self._is_chrome(tag, attrs, strength, main > 0)
+        if tag in _SILENT:
+            drops = 2
+        elif not drops and not self.chrome:
+            chrome = tag in _CHROME or (tag == "header" and not main) or self._is_chrome(tag, attrs, strength, main > 0)
+            drops = int(chrome)
         self.open.append((tag, drops, main if drops else max(main, strength)))
 
     def _close_before(self, tag: str) -> None:
@@ -201,18 +216,25 @@ class _Page(HTMLParser):
             if not data.strip():
                 return
             self._end_head()
-        if not self.open[-1][1]:
+        if not (drops := self.open[-1][1]):
             self.text.append(data)
+        elif drops == 1:
+            self.aside.append(data)
 
 
-def page_blocks(html: str | None) -> tuple[bool, list[str]]:
-    """Blocks of text without chrome; whether the page declares main parts, all of which they then are."""
+def page_parts(html: str | None) -> tuple[bool, list[str], list[str]]:
+    """As `page_blocks`, and the blocks of chrome."""
     page = _Page()
     page.feed(html or "")
     page.close()
     page._flush()
     main = [words for strength, words in page.blocks if strength]
-    return bool(main), main or [words for _, words in page.blocks]
+    return bool(main), main or [words for _, words in page.blocks], page.beside
+
+
+def page_blocks(html: str | None) -> tuple[bool, list[str]]:
+    """Blocks of text without chrome; whether the page declares main parts, all of which they then are."""
+    return page_parts(html)[:2]
 
 
 def shown_blocks(html: str | None) -> list[str]:
@@ -256,16 +278,105 @@ def _stream(blocks: list[str]) -> list[str]:
     return [token for block in blocks for token in block.split()]
 
 
+def suffix_array(streams: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of all suffixes of the streams, by prefix doubling.
+
+    Returns the suffixes' places in the streams, written one after the other with an
+    end of its own after each; the length of the prefix that each shares with the
+    suffix before it; and the place at which each stream begins.
+    """
+    sizes = np.array([len(tokens) + 1 for tokens in streams], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    ends = begins + sizes - 1
+    n, words = int(sizes.sum()), {}
+    rank = np.empty(n, np.int64)
+    inner = np.ones(n, bool)
+    inner[ends] = False
+    rank[inner] = np.fromiter((words.setdefault(t, len(words)) for tokens in streams for t in tokens), np.int64, n - len(streams))
+    # No two ends are equal, so no prefix that is shared goes over one.
+    rank[ends] = len(words) + np.arange(len(streams))
+    ranks, length = [rank.astype(np.int32)], 1
+    while True:
+        key = rank * (n + 1)
+        key[: n - length] += rank[length:] + 1
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        rank[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
+        length *= 2
+        if rank[order[-1]] == n - 1:
+            break
+        ranks.append(rank.astype(np.int32))
+    shared = np.zeros(n, np.int64)
+    a, b = order[:-1].copy(), order[1:].copy()
+    for level in range(len(ranks) - 1, -1, -1):
+        inside = np.flatnonzero((a < n) & (b < n))
+        step = np.zeros(n - 1, np.int64)
+        step[inside] = (ranks[level][a[inside]] == ranks[level][b[inside]]) * (1 << level)
+        a, b = a + step, b + step
+        shared[1:] += step
+    return order, shared, begins
+
+
+def repeats_in(
+    streams: list[list[str]], groups: list[int], sought: list[bool], least: float
+) -> list[tuple[int, int]]:
+    """Windows of the repeated substrings that sought streams of at least so many groups hold: hash, groups."""
+    # A repeat of `MIN_TOKENS` tokens or more is a run of the suffix array whose neighbours share as much.
+    order, shared, begins = suffix_array(streams)
+    stream = np.searchsorted(begins, order, side="right") - 1
+    sizes = np.array([len(tokens) for tokens in streams], np.int64)
+    left = begins[stream] + sizes[stream] - order
+    run = np.cumsum(shared < MIN_TOKENS)
+    names, group = np.unique(np.array(groups, np.int64), return_inverse=True)
+    counts = (left >= MIN_TOKENS) & np.array(sought, bool)[stream]
+    pairs = np.unique(run[counts] * len(names) + group[stream[counts]])
+    runs, held = np.unique(pairs // len(names), return_counts=True)
+    frequent, held = runs[held >= least], held[held >= least]
+    # The first suffix of a run stands for all of it.
+    first = np.searchsorted(run, frequent)
+    hashes: dict[int, np.ndarray] = {}
+    found = []
+    for s, at, n in zip(stream[first].tolist(), (order[first] - begins[stream[first]]).tolist(), held.tolist()):
+        if s not in hashes:
+            hashes[s] = window_hashes(streams[s]).view(np.int64)
+        found.append((int(hashes[s][at]), n))
+    # A stream with fewer tokens is one window.
+    short: dict[int, set[int]] = {}
+    for tokens, name, wanted in zip(streams, groups, sought):
+        if wanted and 0 < len(tokens) < MIN_TOKENS:
+            short.setdefault(int(window_hashes(tokens).view(np.int64)[0]), set()).add(name)
+    return found + [(window, len(held_by)) for window, held_by in short.items() if len(held_by) >= least]
+
+
+def _covered(tokens: list[str], repeated: set[int]) -> np.ndarray:
+    """Which tokens stand in repeated windows."""
+    covered = np.zeros(len(tokens), bool)
+    marks = np.isin(window_hashes(tokens).view(np.int64), np.fromiter(repeated, np.int64, len(repeated)))
+    for i in np.flatnonzero(marks).tolist():
+        covered[i : i + MIN_TOKENS] = True
+    return covered
+
+
+def without_blocks(blocks: list[str], repeated: set[int]) -> tuple[list[str], int]:
+    """Blocks, all if none were left, without those that repeated windows cover whole; tokens of those left out."""
+    tokens = _stream(blocks)
+    if not tokens or not repeated:
+        return blocks, 0
+    covered, kept, at = _covered(tokens, repeated), [], 0
+    for block in blocks:
+        size = len(block.split())
+        if not covered[at : at + size].all():
+            kept.append(block)
+        at += size
+    return (kept, len(tokens) - len(_stream(kept))) if kept else (blocks, 0)
+
+
 def without_windows(blocks: list[str], repeated: set[int]) -> tuple[list[str], int]:
     """Blocks without the tokens of repeated windows, and how many those were."""
     tokens = _stream(blocks)
     if not tokens or not repeated:
         return blocks, 0
-    covered = np.zeros(len(tokens), bool)
-    marks = np.isin(window_hashes(tokens).view(np.int64), np.fromiter(repeated, np.int64, len(repeated)))
-    for i in np.flatnonzero(marks).tolist():
-        covered[i : i + MIN_TOKENS] = True
-    kept, at = [], 0
+    covered, kept, at = _covered(tokens, repeated), [], 0
     for block in blocks:
         words = block.split()
         run = " ".join(w for w, c in zip(words, covered[at : at + len(words)]) if not c)
@@ -277,28 +388,68 @@ def without_windows(blocks: list[str], repeated: set[int]) -> tuple[list[str], i
 
 # --- Over the table --------------------------------------------------------------
 
-_PARSED = "page_id long, url string, host string, declared boolean, blocks array<string>"
+_PARSED = "page_id long, url string, host string, declared boolean, blocks array<string>, beside array<string>"
+_STREAMS = "host string, page long, `group` long, tokens long, size int, stream binary"
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as blocks of text and blocks of chrome."""
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string())]
+    for batch in batches:
+        for part in slices(batch):
+            rows = [
+                (page_id, url, host_of(url), *page_parts(html))
+                for page_id, url, html in zip(*(c.to_pylist() for c in part.columns))
+            ]
+            if rows:
+                names = ["page_id", "url", "host", "declared", "blocks", "beside"]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
+def _show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the pages that declare their main part, chrome included."""
+    for batch in batches:
+        for part in slices(batch):
+            rows = [
+                (host_of(url), shown_blocks(html))
+                for url, html in zip(part.column("url").to_pylist(), part.column("html").to_pylist())
+                if page_blocks(html)[0]
+            ]
+            hosts, blocks = zip(*rows) if rows else ((), ())
+            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(blocks, pa.list_(pa.string()))], ["host", "blocks"])
+
+
+def _packed(blocks: list[str], beside: list[str]) -> tuple[int, bytes]:
+    raw = (" ".join(_stream(blocks)) + "\n" + " ".join(_stream(beside))).encode()
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _parse(declared: bool, evidence: bool = False):
-    """Pages that do or don't declare their main part, as blocks; as `evidence`, chrome included."""
+def _unpacked(size: int, stream: bytes) -> list[list[str]]:
+    raw = pa.decompress(stream, decompressed_size=size, codec="zstd", asbytes=True)
+    return [part.split(" ") if part else [] for part in raw.decode().split("\n")]
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string())]
-        names = ["page_id", "url", "host", "declared", "blocks"]
-        for batch in batches:
-            for part in slices(batch):
-                rows = []
-                for page_id, url, html in zip(*(c.to_pylist() for c in part.columns)):
-                    declares, blocks = page_blocks(html)
-                    if declares == declared:
-                        if evidence:
-                            blocks = shown_blocks(html)
-                        rows.append((page_id, url, host_of(url), declares, blocks))
-                if rows:
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return parse
+def _name(host: str, tokens: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join([host, *tokens])) >> 1
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Token streams of pages, each a group of its own; copies that a task meets go on once."""
+    seen: set[int] = set()
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    for batch in batches:
+        for part in slices(batch):
+            rows = []
+            for host, blocks, beside in zip(*(part.column(c).to_pylist() for c in ("host", "blocks", "beside"))):
+                tokens, chrome = _stream(blocks), _stream(beside)
+                page = _name(host, [*tokens, "\n", *chrome])
+                if (tokens or chrome) and page not in seen:
+                    seen.add(page)
+                    rows.append((host, page, page, len(tokens) + len(chrome), *_packed(blocks, beside)))
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.record_batch(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "group", "tokens", "size", "stream"]
+            )
 
 
 def sketch_of(tokens: list[str]) -> np.ndarray:
@@ -311,24 +462,22 @@ def sketch_of(tokens: list[str]) -> np.ndarray:
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages with tokens, each named by the hash of its host and stream, so that copies are one."""
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary()]
     for batch in batches:
-        hosts, names, sketches, windows = [], [], [], []
+        rows = []
         for host, blocks in zip(batch.column("host").to_pylist(), batch.column("blocks").to_pylist()):
             if tokens := _stream(blocks):
-                hosts.append(host)
-                names.append(xxhash.xxh3_64_intdigest("\n".join([host, *tokens])) >> 1)
-                sketches.append(sketch_of(tokens).tolist())
-                windows.append(np.unique(window_hashes(tokens).view(np.int64)).tolist())
-        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        columns = [pa.array(c, k) for c, k in zip((hosts, names, sketches, windows), kinds)]
-        yield pa.record_batch(columns, ["host", "page", "sketch", "windows"])
+                rows.append((host, _name(host, tokens), sketch_of(tokens).tolist(), len(tokens), *_packed(blocks, [])))
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        names = ["host", "page", "sketch", "tokens", "size", "stream"]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def repeats_of(pages: DataFrame) -> DataFrame:
-    """`(host, window)` that `MIN_SHARE` of a host's pages hold, near copies being one page."""
+def _grouped(pages: DataFrame) -> DataFrame:
+    """Streams of `(host, blocks)`, near copies in one group, named by its smallest page."""
     named = stored(
         pages.select("host", "blocks")
-        .mapInArrow(_named, "host string, page long, sketch array<long>, windows array<long>")
+        .mapInArrow(_named, "host string, page long, sketch array<long>, tokens long, size int, stream binary")
         .dropDuplicates(["page"])
     )
     cuts = F.sequence(F.lit(1), F.lit(SKETCH), F.lit(BAND))
@@ -341,97 +490,166 @@ def repeats_of(pages: DataFrame) -> DataFrame:
     )
     links = banded.join(centres, ["host", "band"]).filter((F.col("page") > F.col("c.page")) & (same >= NEAR * SKETCH))
     roots = connected_components(links.select(F.col("page").alias("a"), F.col("c.page").alias("b")))
-    grouped = stored(
+    return stored(
         named.join(roots, named["page"] == roots["node"], "left").select(
-            "host", "windows", F.coalesce("root", "page").alias("group")
+            "host", "page", F.coalesce("root", "page").alias("group"), "tokens", "size", "stream"
         )
     )
-    groups = stored(grouped.select("host", "group").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n")))
-    held = stored(
-        grouped.select("host", "group", F.explode("windows").alias("window"))
-        .distinct()
-        .groupBy("host", "window")
-        .agg(F.count(F.lit(1)).alias("held"))
-        .filter("held > 1")
-    )
-    return stored(held.join(groups, "host").filter(F.col("held") >= MIN_SHARE * F.col("n")).select("host", "window"))
 
 
-def _without_repeats(group: pa.Table) -> pa.Table:
-    rows = group.to_pylist()
-    page = next(r for r in rows if r["blocks"] is not None)
-    kept, n = without_windows(page["blocks"], {r["window"] for r in rows if r["window"] is not None})
+def _candidates(group: pa.Table) -> pa.Table:
+    """Windows that are frequent in a part of a host, with the groups that hold them there.
+
+    A row without a window says how many groups are named in the part, and how many at
+    most hold a window that is not given.
+    """
+    pages = {row["page"]: row for row in group.to_pylist()}
+    own = sum(page == row["group"] for page, row in pages.items())
+    streams, groups, sought = [], [], []
+    for row in pages.values():
+        for tokens, text in zip(_unpacked(row["size"], row["stream"]), (True, False)):
+            if tokens:
+                streams.append(tokens)
+                groups.append(row["group"])
+                sought.append(text)
+    first = next(iter(pages.values()))
+    least = max(1, math.ceil(MIN_SHARE * own))
+    if len(pages) > 1:
+        found = repeats_in(streams, groups, sought, least)
+    elif first["parts"] > 1:
+        text = [window_hashes(tokens).view(np.int64) for tokens, wanted in zip(streams, sought) if wanted]
+        found = [(window, 1) for window in np.unique(np.concatenate(text)).tolist()] if text else []
+    else:
+        found = []
+    windows, held = zip((None, own), *found)
     return pa.table(
         {
-            "page_id": pa.array([page["page_id"]], pa.int64()),
-            "url": pa.array([page["url"]], pa.string()),
-            "blocks": pa.array([kept], pa.list_(pa.string())),
-            "n_boilerplate": pa.array([n], pa.int64()),
+            "host": pa.array([first["host"]] * len(windows), pa.string()),
+            "window": pa.array(windows, pa.int64()),
+            "held": pa.array(held, pa.int64()),
+            "rest": pa.array([least - 1] * len(windows), pa.int64()),
         }
     )
 
 
-def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of its host's candidates each page holds: with its group in its text, without one in its chrome."""
+    kinds = [pa.string(), pa.int64(), pa.int64()]
+    for batch in batches:
+        for part in slices(batch):
+            rows = []
+            for host, group, size, stream, windows in zip(*(c.to_pylist() for c in part.columns)):
+                for tokens, name in zip(_unpacked(size, stream), (group, None)):
+                    if tokens:
+                        own = np.unique(window_hashes(tokens).view(np.int64))
+                        rows += [(host, w, name) for w in own[np.isin(own, windows)].tolist()]
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "window", "group"])
+
+
+def repeats_of(streams: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
+    """`(host, window, chrome)` that the texts of `MIN_SHARE` of a host's groups hold, two at least.
+
+    `chrome` says whether a page of the host also has it in its chrome. No host has
+    more of them than twice the tokens of its mean page.
+    """
+    sizes = streams.groupBy("host").agg(F.ceil(F.sum("tokens") / part_tokens).alias("parts"))
+    dealt = streams.join(stored(sizes), "host").withColumn("part", F.pmod("page", "parts"))
+    found = stored(
+        dealt.groupBy("host", "part").applyInArrow(_candidates, "host string, window long, held long, rest long")
+    )
+    hosts = stored(found.filter("window IS NULL").groupBy("host").agg(F.sum("held").alias("n"), F.sum("rest").alias("rest")))
+    # As many groups as may hold a window: those counted in a part, elsewhere the most that none counted.
+    most = F.col("more") + F.col("rest")
+    sought = stored(
+        found.filter("window IS NOT NULL")
+        .groupBy("host", "window")
+        .agg(F.sum(F.col("held") - F.col("rest")).alias("more"))
+        .join(hosts, "host")
+        .filter((most > 1) & (most >= MIN_SHARE * F.col("n")))
+        .groupBy("host")
+        .agg(F.collect_list("window").alias("windows"))
+    )
+    held = (
+        streams.join(sought, "host")
+        .select("host", "group", "size", "stream", "windows")
+        .mapInArrow(_held, "host string, window long, `group` long")
+        .distinct()
+        .groupBy("host", "window")
+        .agg(F.count("group").alias("held"), F.max(F.col("group").isNull()).alias("chrome"))
+        .filter("held > 1")
+    )
+    return stored(held.join(hosts, "host").filter(F.col("held") >= MIN_SHARE * F.col("n")).select("host", "window", "chrome"))
+
+
+def _by_host(repeats: DataFrame, name: str) -> DataFrame:
+    return stored(repeats.groupBy("host").agg(F.collect_list("window").alias(name)))
+
+
+def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages without what their host repeats."""
+    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.int64(), pa.bool_()]
+    names = ["page_id", "url", "blocks", "n_boilerplate", "declared"]
+    for batch in batches:
+        for part in slices(batch):
+            rows = []
+            for page_id, url, declared, blocks, marked, repeated in zip(*(c.to_pylist() for c in part.columns)):
+                kept, n = without_blocks(blocks, set(marked or ())) if declared else without_windows(blocks, set(repeated or ()))
+                rows.append((page_id, url, kept, n, declared))
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def extract_text(
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", part_tokens: int = PART_TOKENS
+) -> DataFrame:
     """`(key, url, text, n_chars, declared, n_boilerplate)` of every page.
 
     `text` is the page's blocks joined by blank lines, in page order: those of its
-    declared main part, all of them, or else all that is not chrome without the
-    tokens that repeat on the host (`n_boilerplate` of them). Inside a block white
-    space is one space. A declared main part is taken as it is: passages that
-    articles share are text, not boilerplate.
+    declared main part, or else all that is not chrome without the tokens that repeat
+    on the host. Inside a block white space is one space. Of a declared main part,
+    whole blocks go that the texts of half of the host's pages repeat and that a page
+    of the host marks as chrome, unless nothing were left; passages that articles
+    share are text otherwise. `n_boilerplate` tokens went.
 
     A null html is an empty page and has an empty text. A page whose url has no host
-    is a host of its own. Rows that repeat a page are rows each; with near copies
-    they count as one page when repeats are sought. An empty table gives no row; other columns are not read.
+    is a host of its own. Rows that repeat a page are rows each; they count as one page
+    when repeats are sought, as do near copies where a page declares no main part.
+    `part_tokens` bounds a suffix array, about; it never changes a result. An empty
+    table gives no row; other columns are not read.
     """
     rows = pages.select(
         F.col(key).cast("long").alias("page_id"),
         F.col(url).cast("string").alias("url"),
         F.col(html).cast("string").alias("html"),
     )
-    declared = rows.mapInArrow(_parse(True), _PARSED).select(
-        "page_id", "url", "blocks", F.lit(0).cast("long").alias("n_boilerplate"), F.lit(True).alias("declared")
+    own = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    # Parsed once, kept for all uses.
+    parsed = stored(
+        rows.mapInArrow(_parse, _PARSED).withColumn("host", F.when(F.col("host") == "", own).otherwise(F.col("host"))),
+        compression="zstd",
     )
-    # Few on hosts with clean markup: blocks of the other pages, kept for three uses.
-    own = F.concat(F.lit("\0"), F.col("row").cast("string"))
-    others = stored(
-        rows.mapInArrow(_parse(False), _PARSED)
-        .withColumn("row", F.monotonically_increasing_id())
-        .withColumn("host", F.when(F.col("host") == "", own).otherwise(F.col("host")))
-    )
-    evidence = others.select("host", "blocks")
+    streams = parsed.select("host", "blocks", "beside").mapInArrow(_streams, _STREAMS)
+    marked = _by_host(repeats_of(streams, part_tokens).filter("chrome"), "marked")
+    others = parsed.filter("NOT declared").select("host", "blocks")
+    evidence = others
     if not others.isEmpty():
         # What declared pages show, chrome included, tells about the others of their host.
-        beside = rows.mapInArrow(_parse(True, evidence=True), _PARSED).select("host", "blocks")
+        beside = rows.mapInArrow(_show, "host string, blocks array<string>")
         evidence = evidence.unionByName(beside.join(stored(others.select("host").distinct()), "host", "leftsemi"))
-    repeated = repeats_of(evidence)
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                found = [
-                    np.unique(window_hashes(t).view(np.int64)) if (t := _stream(b)) else np.zeros(0, np.int64)
-                    for b in part.column("blocks").to_pylist()
-                ]
-                at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-                columns = [part.column("row").take(at), part.column("host").take(at), pa.array(np.concatenate(found))]
-                yield pa.record_batch(columns, ["row", "host", "window"])
-
-    held = stored(others.select("row", "host", "blocks").mapInArrow(windows, "row long, host string, window long"))
-    marks = held.join(repeated, ["host", "window"]).select("row", "window")
-    bare = (
-        others.select("row", "page_id", "url", "blocks")
-        .unionByName(marks, allowMissingColumns=True)
-        .groupBy("row")
-        .applyInArrow(_without_repeats, "page_id long, url string, blocks array<string>, n_boilerplate long")
-        .withColumn("declared", F.lit(False))
-    )
+    repeated = _by_host(repeats_of(_grouped(evidence), part_tokens), "repeated")
     text = F.array_join("blocks", "\n\n")
-    return declared.unionByName(bare).select(
-        F.col("page_id").alias(key),
-        F.col("url").alias(url),
-        text.alias("text"),
-        F.length(text).cast("long").alias("n_chars"),
-        "declared",
-        "n_boilerplate",
+    return (
+        parsed.join(marked, "host", "left")
+        .join(repeated, "host", "left")
+        .select("page_id", "url", "declared", "blocks", "marked", "repeated")
+        .mapInArrow(_text, "page_id long, url string, blocks array<string>, n_boilerplate long, declared boolean")
+        .select(
+            F.col("page_id").alias(key),
+            F.col("url").alias(url),
+            text.alias("text"),
+            F.length(text).cast("long").alias("n_chars"),
+            "declared",
+            "n_boilerplate",
+        )
     )

@@ -57,11 +57,12 @@ def scope(spark: SparkSession) -> Iterator[None]:
             filesystem(spark, folder).delete(hadoop_path(spark, folder), True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """`df` computed now and read back from parquet: its lineage ends there.
 
     Unlike a checkpoint it is computed once and can be read column by column.
+    `compression` is parquet's, the session's by default.
     """
     folder = fresh_folder(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from commitlens.llm.html_text import MIN_TOKENS, extract_text, host_of, page_blocks, without_windows, window_hashes
+from commitlens.llm.html_text import MIN_TOKENS, extract_text, host_of, page_blocks, suffix_array, without_windows, window_hashes
 
 ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style>
 <script>var t="</p>";</script></head><body class="x"><nav><ul><li><a href="/a">Menu</a></li></ul></nav>
@@ -190,3 +192,74 @@ def test_shared_passages_near_copies_and_null_urls_keep_their_text(spark):
 )
 def test_omitted_ends_and_names(html, expected):
     assert page_blocks(html) == ("<article>" in html, expected)
+
+
+def test_suffix_array():
+    rng = random.Random(5)
+    for _ in range(60):
+        streams = [[rng.choice("abc") for _ in range(rng.randrange(12))] for _ in range(rng.randrange(1, 6))]
+        order, shared, begins = suffix_array(streams)
+        suffixes = []
+        for i, begin in enumerate(begins.tolist()):
+            for at in range(len(streams[i]) + 1):
+                suffixes.append((begin + at, streams[i][at:]))
+        suffixes = dict(suffixes)
+        assert sorted(order.tolist()) == sorted(suffixes)
+        seen = [suffixes[at] for at in order.tolist()]
+        for before, after, n in zip(seen, seen[1:], shared[1:].tolist()):
+            common = 0
+            while common < min(len(before), len(after)) and before[common] == after[common]:
+                common += 1
+            assert n == common
+        # Suffixes with a prefix in common stand together.
+        prefixes = ["".join(x[:2]) for x in seen if len(x) >= 2]
+        assert len([a for a, b in zip(prefixes, prefixes[1:] + [""]) if a != b]) == len(set(prefixes))
+
+
+NOTICE = "please support our work and read the terms of this site"
+
+
+def repeating_hosts():
+    """Hosts with declared pages, others, near copies, copies and short pages."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(24):
+        words = " ".join(f"w{rng.randrange(4000)}" for _ in range(rng.randrange(5, 30)))
+        notice = f"<div><p>{NOTICE}</p></div>" if i % 3 else ""
+        marked = f"<footer>{NOTICE}</footer>" if i % 8 == 0 else ""
+        rows.append((i, f"http://a.com/{i}", f"<article><p>{words}</p>{notice}</article>{marked}"))
+        rows.append((100 + i, f"http://b.com/{i}", f"<article><p>{words}</p>{notice}</article>"))
+        rows.append((200 + i, f"http://c.com/{i}", f"<p>{words}</p><div>{BOILER if i % 2 else NOTICE}</div>{marked}"))
+        rows.append((300 + i, f"http://c.com/near{i}", f"<p>{' '.join(f'n{j}' for j in range(60) if j != i + 9)}</p><p>{BOILER}</p>"))
+    rows.append((400, "http://c.com/x", f"<article>{BOILER} and more</article>"))
+    return rows + rows[:9] + rows[2:3] * 30
+
+
+def test_blocks_of_articles_that_the_host_repeats_and_marks_go(spark):
+    rows = repeating_hosts()
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r["page_id"]: r for r in extract_text(pages).collect()}
+    for i in range(24):
+        # Two thirds of the pages have the notice in their article, three mark it as a footer.
+        assert NOTICE not in found[i]["text"] and found[i]["text"].startswith("w")
+        assert found[i]["n_boilerplate"] == (11 if i % 3 else 0)
+        # No page of this host marks it.
+        assert (NOTICE in found[100 + i]["text"]) == bool(i % 3)
+
+
+def test_what_only_chrome_repeats_stays_in_articles(spark):
+    footer = f"<footer>{NOTICE}</footer>"
+    rows = [(i, f"http://a.com/{i}", f"<article><p>text number {i}</p></article>{footer}") for i in range(9)]
+    rows.append((10, "http://a.com/about", f"<article><p>About us</p><p>{NOTICE}</p></article>{footer}"))
+    # Nor is anything taken that leaves an article empty.
+    rows += [(20 + i, f"http://b.com/{i}", f"<article><p>{NOTICE}</p></article>{footer * i}") for i in range(4)]
+    found = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[10] == f"About us\n\n{NOTICE}"
+    assert [found[20 + i] for i in range(4)] == [NOTICE] * 4
+
+
+@pytest.mark.parametrize("part_tokens", [1, 60, 400])
+def test_parts_of_hosts_change_nothing(spark, part_tokens):
+    pages = spark.createDataFrame(repeating_hosts(), "page_id long, url string, html string").repartition(3)
+    whole, parts = (sorted(map(tuple, extract_text(pages, **opts).collect())) for opts in ({}, {"part_tokens": part_tokens}))
+    assert parts == whole and sum(r[-1] for r in whole) > 500
