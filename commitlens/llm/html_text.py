@@ -8,7 +8,7 @@ repeat. A host of any size is dealt out in parts, each with a suffix array of it
 own; what is frequent on the host is frequent in one of them, and is then counted
 over all. On pages without a main part such tokens are removed and the runs between
 them are kept. A block of a main part goes if all of it is repeated so by the host's
-main texts and is also marked as chrome somewhere on the host.
+main texts and by what its pages mark as chrome as well.
 """
 
 from __future__ import annotations
@@ -295,17 +295,21 @@ def suffix_array(streams: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.n
     rank[inner] = np.fromiter((words.setdefault(t, len(words)) for tokens in streams for t in tokens), np.int64, n - len(streams))
     # No two ends are equal, so no prefix that is shared goes over one.
     rank[ends] = len(words) + np.arange(len(streams))
-    ranks, length = [rank.astype(np.int32)], 1
+    # A suffix's rank is the first slot of those with the same prefix; only slots that share one are sorted again.
+    order = np.argsort(rank, kind="stable")
+    key, slots, ranks, length = rank[order], np.arange(n), [], 1
     while True:
-        key = rank * (n + 1)
-        key[: n - length] += rank[length:] + 1
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        rank[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
-        length *= 2
-        if rank[order[-1]] == n - 1:
-            break
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[order[slots]] = np.maximum.accumulate(np.where(fresh, slots, 0))
         ranks.append(rank.astype(np.int32))
+        slots = slots[~(fresh & np.concatenate((fresh[1:], [True])))]
+        if not len(slots):
+            break
+        # What shares so much with another goes on beyond it.
+        at = order[slots]
+        key = rank[at] * n + rank[at + length]
+        again = np.argsort(key, kind="stable")
+        order[slots], key, length = at[again], key[again], length * 2
     shared = np.zeros(n, np.int64)
     a, b = order[:-1].copy(), order[1:].copy()
     for level in range(len(ranks) - 1, -1, -1):
@@ -388,21 +392,23 @@ def without_windows(blocks: list[str], repeated: set[int]) -> tuple[list[str], i
 
 # --- Over the table --------------------------------------------------------------
 
-_PARSED = "page_id long, url string, host string, declared boolean, blocks array<string>, beside array<string>"
-_STREAMS = "host string, page long, `group` long, tokens long, size int, stream binary"
+_PARSED = "page_id long, url string, host string, declared boolean, blocks array<string>, beside array<string>, tokens long"
+_STREAMS = "host string, page long, `group` long, size int, stream binary"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages as blocks of text and blocks of chrome."""
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string())]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), pa.int64()]
     for batch in batches:
         for part in slices(batch):
-            rows = [
-                (page_id, url, host_of(url), *page_parts(html))
-                for page_id, url, html in zip(*(c.to_pylist() for c in part.columns))
-            ]
+            rows = []
+            for page_id, url, html in zip(*(c.to_pylist() for c in part.columns)):
+                declared, blocks, beside = page_parts(html)
+                # Words of a block stand one space apart.
+                tokens = sum(block.count(" ") + 1 for block in blocks + beside)
+                rows.append((page_id, url, host_of(url), declared, blocks, beside, tokens))
             if rows:
-                names = ["page_id", "url", "host", "declared", "blocks", "beside"]
+                names = ["page_id", "url", "host", "declared", "blocks", "beside", "tokens"]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
@@ -436,7 +442,7 @@ def _name(host: str, tokens: list[str]) -> int:
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token streams of pages, each a group of its own; copies that a task meets go on once."""
     seen: set[int] = set()
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     for batch in batches:
         for part in slices(batch):
             rows = []
@@ -445,11 +451,10 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = _name(host, [*tokens, "\n", *chrome])
                 if (tokens or chrome) and page not in seen:
                     seen.add(page)
-                    rows.append((host, page, page, len(tokens) + len(chrome), *_packed(blocks, beside)))
+                    rows.append((host, page, page, *_packed(blocks, beside)))
             columns = zip(*rows) if rows else [()] * len(kinds)
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "group", "tokens", "size", "stream"]
-            )
+            names = ["host", "page", "group", "size", "stream"]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def sketch_of(tokens: list[str]) -> np.ndarray:
@@ -533,28 +538,29 @@ def _candidates(group: pa.Table) -> pa.Table:
 
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Which of its host's candidates each page holds: with its group in its text, without one in its chrome."""
-    kinds = [pa.string(), pa.int64(), pa.int64()]
+    """Which of its host's candidates each page holds, in its text or in its chrome."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_()]
     for batch in batches:
         for part in slices(batch):
             rows = []
             for host, group, size, stream, windows in zip(*(c.to_pylist() for c in part.columns)):
-                for tokens, name in zip(_unpacked(size, stream), (group, None)):
+                for tokens, chrome in zip(_unpacked(size, stream), (False, True)):
                     if tokens:
                         own = np.unique(window_hashes(tokens).view(np.int64))
-                        rows += [(host, w, name) for w in own[np.isin(own, windows)].tolist()]
+                        rows += [(host, w, group, chrome) for w in own[np.isin(own, windows)].tolist()]
             columns = zip(*rows) if rows else [()] * len(kinds)
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "window", "group"])
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "window", "group", "chrome"])
 
 
-def repeats_of(streams: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
+def repeats_of(streams: DataFrame, sizes: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
     """`(host, window, chrome)` that the texts of `MIN_SHARE` of a host's groups hold, two at least.
 
-    `chrome` says whether a page of the host also has it in its chrome. No host has
-    more of them than twice the tokens of its mean page.
+    `sizes` holds the host and tokens of each page, or of several at once.
+    `chrome` says whether as many have it in their chrome too. No host has more
+    windows than twice the tokens of its mean page.
     """
-    sizes = streams.groupBy("host").agg(F.ceil(F.sum("tokens") / part_tokens).alias("parts"))
-    dealt = streams.join(stored(sizes), "host").withColumn("part", F.pmod("page", "parts"))
+    parts = stored(sizes.groupBy("host").agg(F.ceil(F.sum("tokens") / part_tokens).alias("parts")))
+    dealt = streams.join(parts, "host").withColumn("part", F.pmod("page", "parts"))
     found = stored(
         dealt.groupBy("host", "part").applyInArrow(_candidates, "host string, window long, held long, rest long")
     )
@@ -573,13 +579,14 @@ def repeats_of(streams: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
     held = (
         streams.join(sought, "host")
         .select("host", "group", "size", "stream", "windows")
-        .mapInArrow(_held, "host string, window long, `group` long")
+        .mapInArrow(_held, "host string, window long, `group` long, chrome boolean")
         .distinct()
         .groupBy("host", "window")
-        .agg(F.count("group").alias("held"), F.max(F.col("group").isNull()).alias("chrome"))
-        .filter("held > 1")
+        .agg(F.count_if(~F.col("chrome")).alias("held"), F.count_if("chrome").alias("marked"))
+        .join(hosts, "host")
     )
-    return stored(held.join(hosts, "host").filter(F.col("held") >= MIN_SHARE * F.col("n")).select("host", "window", "chrome"))
+    least = F.greatest(F.lit(2), MIN_SHARE * F.col("n"))
+    return stored(held.filter(F.col("held") >= least).select("host", "window", (F.col("marked") >= least).alias("chrome")))
 
 
 def _by_host(repeats: DataFrame, name: str) -> DataFrame:
@@ -608,9 +615,9 @@ def extract_text(
     `text` is the page's blocks joined by blank lines, in page order: those of its
     declared main part, or else all that is not chrome without the tokens that repeat
     on the host. Inside a block white space is one space. Of a declared main part,
-    whole blocks go that the texts of half of the host's pages repeat and that a page
-    of the host marks as chrome, unless nothing were left; passages that articles
-    share are text otherwise. `n_boilerplate` tokens went.
+    whole blocks go that half of the host's pages have in their texts and half mark as
+    chrome, unless nothing were left; passages that articles share are text otherwise.
+    `n_boilerplate` tokens went.
 
     A null html is an empty page and has an empty text. A page whose url has no host
     is a host of its own. Rows that repeat a page are rows each; they count as one page
@@ -630,14 +637,15 @@ def extract_text(
         compression="zstd",
     )
     streams = parsed.select("host", "blocks", "beside").mapInArrow(_streams, _STREAMS)
-    marked = _by_host(repeats_of(streams, part_tokens).filter("chrome"), "marked")
+    marked = _by_host(repeats_of(streams, parsed, part_tokens).filter("chrome"), "marked")
     others = parsed.filter("NOT declared").select("host", "blocks")
     evidence = others
     if not others.isEmpty():
         # What declared pages show, chrome included, tells about the others of their host.
         beside = rows.mapInArrow(_show, "host string, blocks array<string>")
         evidence = evidence.unionByName(beside.join(stored(others.select("host").distinct()), "host", "leftsemi"))
-    repeated = _by_host(repeats_of(_grouped(evidence), part_tokens), "repeated")
+    grouped = _grouped(evidence)
+    repeated = _by_host(repeats_of(grouped, grouped, part_tokens), "repeated")
     text = F.array_join("blocks", "\n\n")
     return (
         parsed.join(marked, "host", "left")
