@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +27,8 @@ SAMPLE_ROWS = 400
 SAMPLE_CHARS = 1024
 # Bytes coded at once.
 BLOCK_BYTES = 1 << 13
+# Bytes of text that one language codes before the next does.
+GROUP_BYTES = 1 << 20
 # How every text is coded, whatever its length: matches from four bytes on.
 SETTINGS = dict(
     window_log=18, chain_log=18, hash_log=17, min_match=4, search_log=4,
@@ -39,15 +41,28 @@ SCALE_BYTES = 1.5
 MIN_MARGIN = 0.01
 UNDETERMINED = "und"
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Words of letters, those one space apart found at once; possessive, so that nothing is kept for a way back.
+_WORDS = re.compile(r"[^\W\d_]++(?: [^\W\d_]++)*+")
 
 
 def normalised(text: str | None) -> str:
     """Lower-cased words of letters with single spaces; empty if there is no letter."""
-    words = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    words = " ".join(_WORDS.findall((text or "").lower()))
     return words if any(map(str.isalpha, words)) else ""
 
 
+def _groups(raws: Iterable[bytes], size: int) -> Iterator[list[bytes]]:
+    """`raws` in lists, each closed by the text that brings it to `size` bytes."""
+    group, held = [], 0
+    for raw in raws:
+        group.append(raw)
+        held += len(raw)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    yield group
+
+
 def _coder(raw: bytes) -> zstandard.ZstdCompressor:
     raw = b"\n".join([raw] * -(-_LEAST_RAW // len(raw)))
     parameters = zstandard.ZstdCompressionParameters(**SETTINGS)
@@ -65,9 +80,20 @@ class Compressors:
 
     def sizes(self, text: str) -> list[int]:
         """Coded bytes of the whole text per language."""
-        raw = text.encode()
-        blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
-        return [sum(len(coder.compress(b)) for b in blocks) for coder in self.coders]
+        return self.sizes_of([text.encode()])[0]
+
+    def sizes_of(self, raws: list[bytes]) -> list[list[int]]:
+        """Coded bytes of each whole text per language.
+
+        A language codes all texts before the next one does: its dictionary's tables
+        fill the processor's cache, and those of the next push them out.
+        """
+        found: list[list[int]] = [[] for _ in raws]
+        for coder in self.coders:
+            for raw, sizes in zip(raws, found):
+                blocks = (raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES))
+                sizes.append(sum(len(coder.compress(b)) for b in blocks))
+        return found
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score from 0 to 1, and margin: what the next best costs more, as a share.
@@ -75,10 +101,17 @@ class Compressors:
         Ties go to the language that sorts first. A null, or a text without a
         letter, is `und` with score and margin 0.
         """
-        words = normalised(text)
-        if not words or not self.languages:
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: Iterable[str | None]) -> list[tuple[str, float, float]]:
+        """`predict` of each text; coded texts are held a group of `GROUP_BYTES` at a time."""
+        raws = (normalised(text).encode() for text in texts)
+        return [self._decided(sizes) for group in _groups(raws, GROUP_BYTES) for sizes in self.sizes_of(group)]
+
+    def _decided(self, sizes: list[int]) -> tuple[str, float, float]:
+        # Only a text without a letter has no coded bytes.
+        if not any(sizes):
             return UNDETERMINED, 0.0, 0.0
-        sizes = self.sizes(words)
         best = min(sizes)
         if len(sizes) == 1:
             return self.languages[0], 1.0, 1.0
@@ -145,7 +178,7 @@ def with_language(
             _loaded.clear()
             _loaded[content] = Compressors(shared.value)
         coders = _loaded[content]
-        return [dict(zip(RESULT.names, coders.predict(t))) for t in texts]
+        return [dict(zip(RESULT.names, found)) for found in coders.predict_all(texts)]
 
     return with_computed(docs, name, RESULT, F.col(text).cast("string"), compute, keep)
 

@@ -1,8 +1,12 @@
 import math
+import random
+import re
 
 from pyspark.sql import functions as F
 
+from commitlens.llm import language
 from commitlens.llm.language import (
+    BLOCK_BYTES,
     LEARNED_BYTES,
     Compressors,
     identify_language,
@@ -83,3 +87,41 @@ def test_dictionaries_learn_more_than_openings(spark):
     rows = [(i, "licence " * 200 + "body " * 1000, "en") for i in range(20)]
     learned = learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert learned["en"].count(b"body") > learned["en"].count(b"licence")
+
+
+def test_normalised_splits_at_every_other_character():
+    draw = random.Random(3)
+    letters = "ab Z É ß İ ² ½ ١ 7 _ . - \u0301 \u00a0 \u2028 \n \t 漢 ʼ \U0001d7d9 \U0001f600".split(" ") + [" "] * 6
+    for _ in range(5000):
+        text = "".join(draw.choices(letters, k=draw.randrange(20)))
+        words = re.sub(r"[\W\d_]+", " ", text.lower()).strip()
+        assert normalised(text) == (words if any(map(str.isalpha, words)) else "")
+
+
+class _Noted:
+    """A coder that notes its name at every call."""
+
+    def __init__(self, coder, name, calls):
+        self.coder, self.name, self.calls = coder, name, calls
+
+    def compress(self, raw):
+        self.calls.append((self.name, len(raw)))
+        return self.coder.compress(raw)
+
+
+def test_a_language_codes_a_group_of_texts_before_the_next_does(monkeypatch):
+    learned = {"x": b"lorem ipsum dolor sit amet " * 200, "y": b"the quick brown fox jumps over it " * 200}
+    plain, noted, calls = Compressors(learned), Compressors(learned), []
+    noted.coders = [_Noted(c, n, calls) for c, n in zip(noted.coders, noted.languages)]
+    texts = ["the fox", None, "lorem ipsum " * 2000, "", "12", "dolor sit the amet quick"] * 20
+    monkeypatch.setattr(language, "GROUP_BYTES", 100_000)
+    found = noted.predict_all(texts)
+    assert found == [plain.predict(t) for t in texts] and found[1] == ("und", 0.0, 0.0)
+    # Every text whole in each language, in blocks.
+    whole = sum(len(normalised(t)) for t in texts)
+    assert [sum(n for name, n in calls if name == x) for x in "xy"] == [whole, whole]
+    assert max(n for _, n in calls) == BLOCK_BYTES
+    # A group ends with the text that fills it: five long ones, four times.
+    switches = sum(a[0] != b[0] for a, b in zip(calls, calls[1:]))
+    assert switches <= 2 * (whole // 100_000 + 1) - 1
+    assert noted.predict_all([]) == [] and Compressors({}).predict_all(["a", None]) == [("und", 0.0, 0.0)] * 2
