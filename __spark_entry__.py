@@ -409,7 +409,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "users_events_in_windows": _users_events_in_windows,
         "conversation_text": _conversation_text,
         "conversation_pieces": _conversation_pieces,
-        "log_sizes": lambda spark, sf_dir: cl.log_sizes(spark, bridge.logs_of(spark, sf_dir)),
+        "log_sizes": lambda spark, sf_dir: cl.log_sizes(spark, bridge.plain_logs_of(spark, sf_dir)),
         "commits_sample": _commits_sample,
         "commits_schema": _commits_schema,
         "sql_selected_repos": lambda spark, sf_dir: cl.run_sql(

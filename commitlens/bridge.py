@@ -7,7 +7,7 @@ authors and subjects, renames, git warnings, broken headers, impossible dates.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commitlens.plans.ingest import ingest_logs
@@ -71,25 +71,43 @@ _NEW_HASH = """CASE WHEN o_orderkey % 9 IN (5, 6) AND o_orderkey % 7 = 0
 TASK_LINES = 500_000
 
 
-def _rows(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
-    """Orders and line items as they are, in one table; `key` is the order's."""
+def _tables(spark: SparkSession, sf_dir: str, later: bool) -> tuple[DataFrame, DataFrame]:
+    """Orders of that day and all line items; `key` is the order's."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     if later:
         orders = orders.filter(_STILL_THERE)
-    files = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_orderkey").alias("key"), "l_partkey", "l_suppkey", F.lit(False).alias("is_commit")
-    )
+    # One struct, null for line items, is shuffled in fewer bytes than columns that are.
+    commits = orders.select(F.col("o_orderkey").alias("key"), F.struct("o_custkey", "o_orderstatus", "o_orderdate").alias("commit"))
+    files = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("key"), "l_partkey", "l_suppkey")
+    return commits, files
+
+
+def _rows(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
+    """Orders and line items as they are, in one table; without line items whose order has gone."""
+    commits, files = _tables(spark, sf_dir, later)
     if later:
-        files = files.join(orders.select(F.col("o_orderkey").alias("key")), "key", "left_semi")
-    needed = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
-    commits = orders.select(F.col("o_orderkey").alias("key"), *needed, F.lit(True).alias("is_commit"))
+        files = files.join(commits.select("key"), "key", "left_semi")
     return commits.unionByName(files, allowMissingColumns=True)
 
 
+def _dealt(spark: SparkSession, sf_dir: str, later: bool, tasks: int) -> DataFrame:
+    """`_rows`, dealt out by key with one shuffle: which orders have gone is seen behind it."""
+    commits, files = _tables(spark, sf_dir, later)
+    rows = commits.unionByName(files, allowMissingColumns=True).repartition(tasks, "key")
+    if not later:
+        return rows
+    there = F.max(F.col("commit").isNotNull()).over(Window.partitionBy("key"))
+    kept = F.col("commit").isNotNull() | (F.col("key").isNotNull() & F.col("there"))
+    return rows.withColumn("there", there).filter(kept).drop("there")
+
+
 def _rendered(rows: DataFrame, later: bool) -> DataFrame:
     commit = dict(_COMMIT)
     if later:
         commit["hash"] = _NEW_HASH.format(hash=commit["hash"])
+    is_commit = F.col("commit").isNotNull()
+    # Line items have no order's columns, from which nothing is worked out for them then.
+    rows = rows.select("key", is_commit.alias("is_commit"), F.when(is_commit, F.col("key")).alias("o_orderkey"), "commit.*", "l_partkey", "l_suppkey")
     parts = rows.select(
         F.expr(_LOG.format(key="key")).alias("log"),
         "key",
@@ -109,23 +127,24 @@ def log_lines(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFram
     return _rendered(_rows(spark, sf_dir, later), later)
 
 
-def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = False) -> None:
+def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = False, compression: str = "gzip") -> None:
     """Write one log per repository under `folder`; a commit stays within a part file.
 
     What is shuffled are the tables' columns, not the text made of them. Only what one
     task could write is shuffled as text, and adaptive execution says how many do.
+    A part file is what one task writes, so it need not be split to be read and may be
+    compressed.
     """
     lines = sum(n * spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table, n in (("orders", 2), ("lineitem", 1)))
-    rows = _rows(spark, sf_dir, later)
     if lines > TASK_LINES:
-        dealt = _rendered(rows.repartition(-(-lines // TASK_LINES), "key"), later)
+        dealt = _rendered(_dealt(spark, sf_dir, later, -(-lines // TASK_LINES)), later)
     else:
-        dealt = _rendered(rows, later).repartition("key")
+        dealt = _rendered(_rows(spark, sf_dir, later), later).repartition("key")
     (
         dealt.sortWithinPartitions("log", "key", "place", "value")
         .select("log", "value")
         .write.partitionBy("log")
-        .text(folder)
+        .text(folder, compression=compression)
     )
 
 
@@ -157,6 +176,11 @@ def logs_of(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "logs", lambda folder: write_logs(spark, sf_dir, folder))
 
 
+def plain_logs_of(spark: SparkSession, sf_dir: str) -> str:
+    """The same logs as plain text, whose files are as long as the text."""
+    return once(spark, sf_dir, "plain", lambda folder: write_logs(spark, sf_dir, folder, compression="none"))
+
+
 def later_logs_of(spark: SparkSession, sf_dir: str) -> str:
     """Logs of a later day: `org_p5` has none, `org_p2` lacks authors, `org_p3` has new commits."""
     return once(spark, sf_dir, "later", lambda folder: write_logs(spark, sf_dir, folder, later=True))

@@ -1,7 +1,12 @@
-"""Rendered logs: what is shuffled for them."""
+"""Rendered logs: what is shuffled and written for them."""
+
+import glob
+import os
+
+import pytest
 
 from commitlens import bridge
-from tests.conftest import plan_of
+from tests.conftest import plan_of, rows
 
 
 def test_columns_are_shuffled_not_text(spark, small):
@@ -21,3 +26,38 @@ def test_lines_of_repeated_and_null_keys(spark, tmp_path):
     # A line item without a part is a line without text, as it always was.
     assert lines.filter("key = 5 AND value IS NULL").count() == 1
     assert lines.filter("key = 5 AND place = 5").count() == 2
+
+
+def _odd_tables(spark, folder):
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp"
+    # Of a later day 8 has gone, of the two orders 3 one; 12 stays, and so does one without a customer.
+    made = [(3, 2, "F", None), (3, 1, "O", None), (12, 5, "F", None), (8, 1, "F", None), (4, 2, "F", None), (21, None, "F", None), (5, None, "O", None), (None, 1, "O", None)]
+    spark.createDataFrame(made, orders).write.parquet(f"{folder}/orders.parquet")
+    items = [(k, 7, 8) for k in (3, 3, 12, 8, 4, 21, 5, 99, None)] + [(12, None, 1)]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("later", [False, True])
+def test_dealt_rows_are_those_of_the_join(spark, tmp_path, later):
+    sf_dir = _odd_tables(spark, tmp_path)
+    dealt = bridge._dealt(spark, sf_dir, later, 3)
+    # One exchange on either day.
+    assert plan_of(dealt).count("- Exchange (") == 1
+    found = rows(dealt)
+    assert found == rows(bridge._rows(spark, sf_dir, later))
+    assert sum(row[1] is None and row[0] in (4, 8, 99, None) for row in found) == (0 if later else 4)
+
+
+@pytest.mark.parametrize("later", [False, True])
+def test_packed_logs_hold_the_text_of_plain_ones(spark, small, tmp_path, monkeypatch, later):
+    monkeypatch.setattr(bridge, "TASK_LINES", 3000)
+    sizes = {}
+    for kind, options in (("plain", {"compression": "none"}), ("packed", {})):
+        bridge.write_logs(spark, small, str(tmp_path / kind), later, **options)
+        files = glob.glob(f"{tmp_path}/{kind}/log=*.gitlog/part-*")
+        sizes[kind] = sum(os.path.getsize(f) for f in files)
+        assert len(files) >= 8 and all(f.endswith(".gz") == (kind == "packed") for f in files)
+    assert sizes["packed"] < 0.5 * sizes["plain"]
+    plain, packed = (rows(spark.read.option("recursiveFileLookup", True).text(str(tmp_path / kind))) for kind in sizes)
+    assert plain == packed
