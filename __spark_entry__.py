@@ -101,8 +101,8 @@ def _with_lists(commits: DataFrame) -> DataFrame:
 def _commits_after_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingested, ingested again a day later, and a repository whose log has gone emptied."""
     root = f"{fresh_folder(spark)}/commits"
-    cl.ingest_logs(spark, bridge.logs_of(spark, sf_dir), root)
-    later = bridge.later_logs_of(spark, sf_dir)
+    first, later = bridge.logs_of_both_days(spark, sf_dir)
+    cl.ingest_logs(spark, first, root)
     cl.ingest_logs(spark, later, root)
     cl.replace_repo(spark, cl.well_formed(cl.parse_blocks(cl.read_blocks(spark, later))), root, "org_p5")
     return _with_lists(cl.read_commits(spark, root))
@@ -110,8 +110,9 @@ def _commits_after_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _twice_with_rollups(spark: SparkSession, sf_dir: str, root: str) -> object:
     """Ingested, and ingested again a day later, each load with its rollups."""
-    cl.ingest_logs(spark, bridge.logs_of(spark, sf_dir), root, rollups=True)
-    return cl.ingest_logs(spark, bridge.later_logs_of(spark, sf_dir), root, rollups=True)
+    first, later = bridge.logs_of_both_days(spark, sf_dir)
+    cl.ingest_logs(spark, first, root, rollups=True)
+    return cl.ingest_logs(spark, later, root, rollups=True)
 
 
 def _rollups(spark: SparkSession, sf_dir: str, repos: list[str] | None = None) -> DataFrame:

@@ -67,6 +67,8 @@ _NEW_HASH = """CASE WHEN o_orderkey % 9 IN (5, 6) AND o_orderkey % 7 = 0
     THEN sha1(concat('new ', o_orderkey)) ELSE {hash} END"""
 
 
+# The days that logs are rendered for; on the later one some commits have gone.
+DAYS = {"first": False, "later": True}
 # Lines of the logs that one task writes, about.
 TASK_LINES = 500_000
 
@@ -90,15 +92,19 @@ def _rows(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
     return commits.unionByName(files, allowMissingColumns=True)
 
 
-def _dealt(spark: SparkSession, sf_dir: str, later: bool, tasks: int) -> DataFrame:
-    """`_rows`, dealt out by key with one shuffle: which orders have gone is seen behind it."""
-    commits, files = _tables(spark, sf_dir, later)
-    rows = commits.unionByName(files, allowMissingColumns=True).repartition(tasks, "key")
-    if not later:
-        return rows
-    there = F.max(F.col("commit").isNotNull()).over(Window.partitionBy("key"))
-    kept = F.col("commit").isNotNull() | (F.col("key").isNotNull() & F.col("there"))
-    return rows.withColumn("there", there).filter(kept).drop("there")
+def _dealt(spark: SparkSession, sf_dir: str, tasks: int) -> DataFrame:
+    """Orders and line items in one table as on the first day, dealt out by key."""
+    commits, files = _tables(spark, sf_dir, False)
+    return commits.unionByName(files, allowMissingColumns=True).repartition(tasks, "key")
+
+
+def _left(dealt: DataFrame) -> DataFrame:
+    """What of `_dealt` is there on a later day, seen behind the shuffle: `_rows` of that day."""
+    is_commit = F.col("commit").isNotNull()
+    marked = dealt.withColumns({"o_orderkey": F.col("key"), "o_custkey": F.col("commit.o_custkey")}).withColumn("stays", F.coalesce(is_commit & F.expr(_STILL_THERE), F.lit(False)))
+    there = F.max("stays").over(Window.partitionBy("key"))
+    kept = F.when(is_commit, F.col("stays")).otherwise(F.col("there") & F.col("key").isNotNull())
+    return marked.withColumn("there", there).filter(kept).select(dealt.columns)
 
 
 def _rendered(rows: DataFrame, later: bool) -> DataFrame:
@@ -127,6 +133,17 @@ def log_lines(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFram
     return _rendered(_rows(spark, sf_dir, later), later)
 
 
+def _tasks(spark: SparkSession, sf_dir: str) -> int:
+    lines = sum(n * spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table, n in (("orders", 2), ("lineitem", 1)))
+    return -(-lines // TASK_LINES)
+
+
+def _write(lines: DataFrame, folder: str, compression: str, *folders: str) -> None:
+    # The writer sorts by its folders, and loses the lines' order, unless they come first here.
+    ordered = lines.sortWithinPartitions(*folders, "log", "key", "place", "value").select(*folders, "log", "value")
+    ordered.write.partitionBy(*folders, "log").text(folder, compression=compression)
+
+
 def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = False, compression: str = "gzip") -> None:
     """Write one log per repository under `folder`; a commit stays within a part file.
 
@@ -135,17 +152,28 @@ def write_logs(spark: SparkSession, sf_dir: str, folder: str, later: bool = Fals
     A part file is what one task writes, so it need not be split to be read and may be
     compressed.
     """
-    lines = sum(n * spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table, n in (("orders", 2), ("lineitem", 1)))
-    if lines > TASK_LINES:
-        dealt = _rendered(_dealt(spark, sf_dir, later, -(-lines // TASK_LINES)), later)
+    tasks = _tasks(spark, sf_dir)
+    if tasks > 1:
+        dealt = _dealt(spark, sf_dir, tasks)
+        lines = _rendered(_left(dealt) if later else dealt, later)
     else:
-        dealt = _rendered(_rows(spark, sf_dir, later), later).repartition("key")
-    (
-        dealt.sortWithinPartitions("log", "key", "place", "value")
-        .select("log", "value")
-        .write.partitionBy("log")
-        .text(folder, compression=compression)
+        lines = _rendered(_rows(spark, sf_dir, later), later).repartition("key")
+    _write(lines, folder, compression)
+
+
+def write_logs_of_both_days(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """`write_logs` into `day=first` and `day=later` under `folder`, from one shuffle unless one task could write them."""
+    tasks = _tasks(spark, sf_dir)
+    if tasks <= 1:
+        for day, later in DAYS.items():
+            write_logs(spark, sf_dir, f"{folder}/day={day}", later)
+        return
+    # Both read one exchange, which Spark reuses.
+    dealt = _dealt(spark, sf_dir, tasks)
+    first, later = (
+        _rendered(_left(dealt) if later else dealt, later).withColumn("day", F.lit(day)) for day, later in DAYS.items()
     )
+    _write(first.unionByName(later), folder, "gzip", "day")
 
 
 _written: dict[tuple, str] = {}
@@ -161,9 +189,13 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(out)
 
 
+def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir, what, _state(spark, sf_dir))
+
+
 def once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
     """Folder that `write` filled earlier in this session from the same tables, or fills now."""
-    key = (spark.sparkContext.applicationId, sf_dir, what, _state(spark, sf_dir))
+    key = _key(spark, sf_dir, what)
     if key not in _written or not exists(spark, _written[key]):
         folder = f"{fresh_folder(spark)}/{what}"
         write(folder)
@@ -186,6 +218,16 @@ def later_logs_of(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "later", lambda folder: write_logs(spark, sf_dir, folder, later=True))
 
 
+def logs_of_both_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """`logs_of` and `later_logs_of`, rendered from one shuffle if neither is there."""
+    keys = {day: _key(spark, sf_dir, what) for day, what in zip(DAYS, ("logs", "later"), strict=True)}
+    if not any(key in _written and exists(spark, _written[key]) for key in keys.values()):
+        folder = f"{fresh_folder(spark)}/days"
+        write_logs_of_both_days(spark, sf_dir, folder)
+        _written.update({key: f"{folder}/day={day}" for day, key in keys.items()})
+    return logs_of(spark, sf_dir), later_logs_of(spark, sf_dir)
+
+
 def table_of(spark: SparkSession, sf_dir: str) -> str:
     """Commits table ingested from those logs; written once per session."""
     return once(

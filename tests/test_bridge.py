@@ -6,6 +6,7 @@ import os
 import pytest
 
 from commitlens import bridge
+from commitlens.sources.gitlog import read_blocks
 from tests.conftest import plan_of, rows
 
 
@@ -41,7 +42,8 @@ def _odd_tables(spark, folder):
 @pytest.mark.parametrize("later", [False, True])
 def test_dealt_rows_are_those_of_the_join(spark, tmp_path, later):
     sf_dir = _odd_tables(spark, tmp_path)
-    dealt = bridge._dealt(spark, sf_dir, later, 3)
+    dealt = bridge._dealt(spark, sf_dir, 3)
+    dealt = bridge._left(dealt) if later else dealt
     # One exchange on either day.
     assert plan_of(dealt).count("- Exchange (") == 1
     found = rows(dealt)
@@ -49,15 +51,24 @@ def test_dealt_rows_are_those_of_the_join(spark, tmp_path, later):
     assert sum(row[1] is None and row[0] in (4, 8, 99, None) for row in found) == (0 if later else 4)
 
 
-@pytest.mark.parametrize("later", [False, True])
-def test_packed_logs_hold_the_text_of_plain_ones(spark, small, tmp_path, monkeypatch, later):
-    monkeypatch.setattr(bridge, "TASK_LINES", 3000)
-    sizes = {}
-    for kind, options in (("plain", {"compression": "none"}), ("packed", {})):
-        bridge.write_logs(spark, small, str(tmp_path / kind), later, **options)
-        files = glob.glob(f"{tmp_path}/{kind}/log=*.gitlog/part-*")
-        sizes[kind] = sum(os.path.getsize(f) for f in files)
-        assert len(files) >= 8 and all(f.endswith(".gz") == (kind == "packed") for f in files)
-    assert sizes["packed"] < 0.5 * sizes["plain"]
-    plain, packed = (rows(spark.read.option("recursiveFileLookup", True).text(str(tmp_path / kind))) for kind in sizes)
-    assert plain == packed
+@pytest.mark.parametrize("task_lines", [3000, 10**9])
+def test_packed_logs_of_both_days_hold_the_text_of_plain_ones(spark, small, tmp_path, monkeypatch, task_lines):
+    monkeypatch.setattr(bridge, "TASK_LINES", task_lines)
+    bridge.write_logs_of_both_days(spark, small, str(tmp_path / "both"))
+    for day, later in (("first", False), ("later", True)):
+        bridge.write_logs(spark, small, str(tmp_path / day), later, compression="none")
+        plain, packed = (glob.glob(f"{tmp_path}/{at}/log=*.gitlog/part-*") for at in (day, f"both/day={day}"))
+        assert all(f.endswith(".gz") for f in packed) and not any(f.endswith(".gz") for f in plain)
+        assert sum(map(os.path.getsize, packed)) < 0.5 * sum(map(os.path.getsize, plain))
+        # Whole blocks: their lines in order as well.
+        blocks = [rows(read_blocks(spark, str(tmp_path / at))) for at in (day, f"both/day={day}")]
+        assert blocks[0] == blocks[1] and all(block.count("author: ") >= 1 for _, block in blocks[0])
+
+
+def test_both_days_are_rendered_once(spark, tmp_path, monkeypatch):
+    sf_dir, written = _odd_tables(spark, tmp_path), []
+    write = bridge.write_logs_of_both_days
+    monkeypatch.setattr(bridge, "write_logs_of_both_days", lambda *args: (written.append(args), write(*args)))
+    first, later = bridge.logs_of_both_days(spark, sf_dir)
+    assert (bridge.logs_of(spark, sf_dir), bridge.later_logs_of(spark, sf_dir)) == (first, later)
+    assert bridge.logs_of_both_days(spark, sf_dir) == (first, later) and len(written) == 1
